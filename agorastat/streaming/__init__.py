@@ -1,0 +1,5 @@
+"""No streaming operator exists: every source and report here is a batch one.
+
+``operators.aggregates.by_period`` holds no global sort, so it can also be
+applied to a streaming frame that carries a watermark.
+"""
