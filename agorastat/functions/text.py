@@ -97,18 +97,15 @@ def words(c: Column | str) -> Column:
 
 
 def clean_text(c: Column | str) -> Column:
-    """Drop HTML, code, URLs, punctuation and digits; squeeze and lower-case."""
+    """Drop HTML, code, URLs, punctuation and digits; squeeze and lower-case.
+
+    Punctuation, digits and white space all end as one blank, so one pass
+    replaces every run of them.
+    """
     text = F.coalesce(as_column(c), F.lit(""))
-    for pattern in (
-        "<[^>]+>",
-        "(?s)```.*?```",
-        "`[^`]+`",
-        f"https?://[^{SPACE}]+",
-        f"[^{WORD}{SPACE}]",
-        r"\p{Nd}+",
-    ):
+    for pattern in ("<[^>]+>", "(?s)```.*?```", "`[^`]+`", f"https?://[^{SPACE}]+", r"[^\p{L}\p{Nl}\p{No}_]+"):
         text = F.regexp_replace(text, pattern, " ")
-    return F.lower(squeeze(text))
+    return F.lower(F.trim(text))
 
 
 def split_tokens(c: Column | str) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,11 +26,9 @@ def hot_keys(
     return sizes.filter(F.col("_n") >= limit).select(*on, slices.alias("_slices"))
 
 
-def _same(left: DataFrame, right: DataFrame, on: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for name in on:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
+def same(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Equality of two lists of columns, where null equals null."""
+    return reduce(Column.__and__, (F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right, strict=True)))
 
 
 def lookup_join(
@@ -39,23 +38,30 @@ def lookup_join(
     how: str = "inner",
     salt_by: Sequence[str] | None = None,
     min_rows: int = MIN_HOT_ROWS,
+    count_in: DataFrame | None = None,
 ) -> DataFrame:
     """Join many rows to a table with one row per key.
 
     Rows of a hot key are spread over slices by a hash of ``salt_by`` (default:
     all columns), and only the look-up rows of hot keys are repeated. The salt is
-    a hash, so a recomputed task yields the same rows.
+    a hash, so a recomputed task yields the same rows. ``count_in`` is a cheaper frame
+    with the same keys to find the hot ones in.
     """
     on = list(on)
-    hot = F.broadcast(hot_keys(rows, on, min_rows))
-    salt = F.xxhash64(*[rows[c] for c in (salt_by or rows.columns)])
-    marked = rows.join(hot, _same(rows, hot, on), "left").select(
-        rows["*"], F.coalesce(F.pmod(salt, F.col("_slices")), F.lit(0)).alias("_slice")
+    hot_names = [f"_hot{i}" for i in range(len(on))]
+    lookup_names = [f"_key{i}" for i in range(len(on))]
+    counted = rows if count_in is None else count_in
+    hot = F.broadcast(hot_keys(counted, on, min_rows).toDF(*hot_names, "_slices"))
+
+    salt = F.pmod(F.xxhash64(*(salt_by or rows.columns)), F.col("_slices"))
+    marked = rows.join(hot, same(on, hot_names), "left").select(
+        *rows.columns, F.coalesce(salt, F.lit(0)).alias("_slice")
     )
-    spread = lookup.join(hot, _same(lookup, hot, on), "left").select(
-        lookup["*"],
-        F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1)).alias("_slice"),
+    named = lookup.withColumnsRenamed(dict(zip(on, lookup_names)))
+    last = (F.coalesce("_slices", F.lit(1)) - 1).cast("bigint")
+    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), last))
+    spread = named.join(hot, same(lookup_names, hot_names), "left").select(
+        *named.columns, copies.alias("_of_slice")
     )
-    joined = marked.join(spread, _same(marked, spread, [*on, "_slice"]), how)
-    extra = [spread[c] for c in lookup.columns if c not in on]
-    return joined.select(*[marked[c] for c in rows.columns], *extra)
+    joined = marked.join(spread, same([*on, "_slice"], [*lookup_names, "_of_slice"]), how)
+    return joined.select(*rows.columns, *[c for c in lookup.columns if c not in on])

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from agorastat.operators.joins import MIN_HOT_ROWS, lookup_join
+from agorastat.operators.joins import MIN_HOT_ROWS, lookup_join, same
 from agorastat.sources.storage import materialize
 
 RANGES = 256
@@ -47,8 +47,7 @@ def running_counts(df: DataFrame, value: str, by: Sequence[str] = (), ranges: in
     offsets = placed.groupBy(*by, "_range").agg(
         F.sum("Rows").alias("_n"), F.count(F.lit(1)).alias("_d")
     ).select(
-        *by,
-        "_range",
+        *[F.col(k).alias(f"_place{i}") for i, k in enumerate([*by, "_range"])],
         F.coalesce(F.sum("_n").over(lower), F.lit(0)).alias("_rows_below"),
         F.coalesce(F.sum("_d").over(lower), F.lit(0)).alias("_values_below"),
         F.sum("_n").over(group).alias("TotalRows"),
@@ -57,11 +56,11 @@ def running_counts(df: DataFrame, value: str, by: Sequence[str] = (), ranges: in
     if not by:
         offsets = F.broadcast(offsets)  # at most RANGES rows
     keys = [*by, "_range"]
-    matched = F.lit(True)
-    for k in keys:
-        matched = matched & local[k].eqNullSafe(offsets[k])
-    return local.join(offsets, matched).select(
-        *[local[c] for c in (*by, value, "Rows")],
+    names = [f"_place{i}" for i in range(len(keys))]
+    return local.join(offsets, same(keys, names)).select(
+        *by,
+        value,
+        "Rows",
         (F.col("_rows_below") + F.col("_rows") - F.col("Rows")).alias("Before"),
         (F.col("_values_below") + F.col("_values") - 1).alias("ValuesBefore"),
         "TotalRows",

@@ -12,6 +12,7 @@ cannot reach the threshold.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import HashingTF, MinHashLSH, SQLTransformer, Word2Vec
@@ -31,9 +32,13 @@ ROUNDING = 1e-9
 
 
 def token_sets(df: DataFrame, tokens: str, key: str = "Id") -> DataFrame:
-    """``(Id, Tokens)``: sorted distinct 64-bit token numbers; rows without a token are left out."""
-    numbers = F.array_sort(F.array_distinct(F.transform(tokens, lambda t: F.xxhash64(t))))
-    return df.select(F.col(key).alias("Id"), numbers.alias("Tokens")).filter(F.size("Tokens") > 0)
+    """``(Id, Tokens)``: sorted distinct 64-bit token numbers.
+
+    Empty sets stay: a filter here would be pushed below the projection and run the
+    whole tokenisation a second time. They have no key and so no candidate.
+    """
+    numbers = F.sort_array(F.array_distinct(F.transform(tokens, lambda t: F.xxhash64(t))))
+    return df.select(F.col(key).alias("Id"), numbers.alias("Tokens"))
 
 
 def _with_digest(sets: DataFrame) -> DataFrame:
@@ -54,7 +59,7 @@ def _frequencies(sets: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("n"))
     every = sets.sparkSession.range(FREQUENCY_CELLS).join(cells, "id", "left")
     filled = every.select(F.struct("id", F.coalesce("n", F.lit(0)).alias("n")).alias("c"))
-    listed = filled.agg(F.array_sort(F.collect_list("c")).alias("cells"))
+    listed = filled.agg(F.sort_array(F.collect_list("c")).alias("cells"))
     return listed.select(F.transform("cells", lambda c: c["n"]))
 
 
@@ -66,12 +71,16 @@ def _ordered(sets: DataFrame) -> DataFrame:
         cell = F.pmod(t, F.lit(FREQUENCY_CELLS)).cast("int")
         return F.struct(F.get("_freq", cell).alias("f"), t.alias("t"))
 
-    order = F.transform(F.array_sort(F.transform("Tokens", place)), lambda p: p["t"])
+    order = F.transform(F.sort_array(F.transform("Tokens", place)), lambda p: p["t"])
     return ranked.withColumns({"Tokens": order, "Size": F.size("Tokens")}).drop("_freq")
 
 
 def _keys(sets: DataFrame, threshold: float, key_rows: int, key_tokens: int) -> DataFrame:
-    """``(Key, Blocks, Depth, Pos, Side, Id, Size)``: where a set meets its candidates."""
+    """``(Key, Blocks, Depth, Pos, Side, Id, Size)``: where a set meets its candidates.
+
+    A pair that shares a crowded key shares a longer key too, so a row of a crowded
+    key is replaced by rows that add each later token of its prefix.
+    """
     required = _required(F.col("Size"), threshold)
     row = ["Side", "Id", "Size"]
 
@@ -82,25 +91,23 @@ def _keys(sets: DataFrame, threshold: float, key_rows: int, key_tokens: int) ->
     level = sets.select(*row, F.posexplode(first).alias("Pos", "Key"))
     done = []
     for depth in range(1, key_tokens + 1):
-        crowded = level.groupBy("Key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > key_rows)
+        level = materialize(level, "keys")
+        sizes = level.groupBy("Key").agg(F.count(F.lit(1)).alias("_n"))
+        crowded = materialize(sizes.filter(F.col("_n") > key_rows), "crowded")
+        own = ["Key", F.lit(depth).alias("Depth"), "Pos", *row]
+        if crowded.isEmpty():
+            done.append(level.select(*own, F.lit(1).alias("Blocks")))
+            break
         tagged = lookup_join(level, crowded, ["Key"], "left", salt_by=["Id"])
-        blocks = F.coalesce(F.ceil(F.col("_n") / key_rows), F.lit(1)).cast("int")
+        blocks = F.coalesce(F.ceil(F.col("_n") / key_rows), F.lit(1)).cast("int").alias("Blocks")
         if depth == key_tokens:
-            done.append(tagged.select("Key", blocks.alias("Blocks"), F.lit(depth).alias("Depth"), "Pos", *row))
+            done.append(tagged.select(*own, blocks))
             break
-        fits = tagged.filter(F.col("_n").isNull())
-        done.append(fits.select("Key", F.lit(1).alias("Blocks"), F.lit(depth).alias("Depth"), "Pos", *row))
+        done.append(tagged.filter(F.col("_n").isNull()).select(*own, blocks))
         large = tagged.filter(F.col("_n").isNotNull())
         # Two sets that both need no longer overlap than this key stay with it.
-        done.append(
-            large.filter(required <= depth).select(
-                F.xxhash64("Key", F.lit("short")).alias("Key"),
-                blocks.alias("Blocks"),
-                F.lit(depth).alias("Depth"),
-                "Pos",
-                *row,
-            )
-        )
+        short = large.filter(required <= depth).withColumn("Key", F.xxhash64("Key", F.lit("short")))
+        done.append(short.select(*own, blocks))
         tokens = sets.select("Side", "Id", "Tokens")
         rest = F.slice("Tokens", F.col("Pos") + 2, F.greatest(prefix_end(depth + 1) - F.col("Pos") - 1, F.lit(0)))
         longer = large.join(tokens, ["Side", "Id"]).select(
@@ -111,10 +118,9 @@ def _keys(sets: DataFrame, threshold: float, key_rows: int, key_tokens: int) ->
             (F.col("Pos") + 1 + F.col("_step")).alias("Pos"),
             F.xxhash64("Key", "_token").alias("Key"),
         )
-    keys = done[0]
-    for part in done[1:]:
-        keys = keys.unionByName(part)
-    return keys
+    if len(done) == 1:
+        return done[0]
+    return materialize(reduce(DataFrame.unionByName, done), "keys")
 
 
 def _block_sides(keys: DataFrame, left: Column, right: Column) -> tuple[DataFrame, DataFrame]:
@@ -143,7 +149,7 @@ def _similar(
     if not 0 < threshold <= 1:
         raise ValueError("the threshold must be above 0 and at most 1")
     ordered = materialize(_ordered(sets), "sets")
-    keys = materialize(_keys(ordered, threshold, key_rows, key_tokens), "keys")
+    keys = _keys(ordered, threshold, key_rows, key_tokens)
     everything = F.lit(True)
     a, b = _block_sides(
         keys,
@@ -160,13 +166,14 @@ def _similar(
         (F.least(size_a, size_b) >= F.greatest(size_a, size_b) * threshold - ROUNDING)
         & (possible >= overlap)
     ).select("IdA", "IdB").distinct()
+    candidates = materialize(candidates, "candidates")
 
     def tokens(side: int, suffix: str) -> DataFrame:
         chosen = ordered.filter(F.col("Side") == side) if two_sided else ordered
         return chosen.select(F.col("Id").alias(f"Id{suffix}"), F.col("Tokens").alias(f"Tokens{suffix}"))
 
     compared = lookup_join(candidates, tokens(0, "A"), ["IdA"])
-    compared = lookup_join(compared, tokens(1, "B"), ["IdB"], salt_by=["IdA"])
+    compared = lookup_join(compared, tokens(1, "B"), ["IdB"], salt_by=["IdA"], count_in=candidates)
     shared = F.size(F.array_intersect("TokensA", "TokensB"))
     union = F.size("TokensA") + F.size("TokensB") - shared
     scored = compared.select("IdA", "IdB", (shared / union).alias("Similarity"))
@@ -190,7 +197,7 @@ def similar_pairs(
     sets = _with_digest(token_sets(df, tokens, key))
     digest = ["_h1", "_h2"]
     # One reader for the groups and one for the members.
-    sets = materialize(sets, "token-sets")
+    sets = materialize(sets, "token-sets").filter(F.size("Tokens") > 0)
     groups = sets.groupBy("Tokens", *digest).agg(F.min("Id").alias("Id"))
     distinct_sets = groups.select(F.lit(0).alias("Side"), "Id", "Tokens")
     members = lookup_join(
@@ -211,7 +218,9 @@ def near_duplicates(
     texts = df.select(key, text)
     first = texts.toDF("IdA", "Text1")
     second = texts.toDF("IdB", "Text2")
-    named = lookup_join(lookup_join(pairs, first, ["IdA"], salt_by=["IdB"]), second, ["IdB"], salt_by=["IdA"])
+    pairs = materialize(pairs, "pairs")
+    named = lookup_join(pairs, first, ["IdA"], salt_by=["IdB"])
+    named = lookup_join(named, second, ["IdB"], salt_by=["IdA"], count_in=pairs)
     return named.select(
         F.col("IdA").alias("QuestionId1"),
         F.col("Text1").alias(f"{text}1"),

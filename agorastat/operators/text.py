@@ -37,7 +37,7 @@ def preprocess(
     max_length: int | None = None,
 ) -> DataFrame:
     """X-02: cleaned, lower-cased tokens without stop words, optionally within a length."""
-    tokens = tx.split_tokens(tx.clean_text(text))
+    tokens = F.split(tx.clean_text(text), " ")  # already squeezed: single blanks only
     if remove_stop_words:
         tokens = tx.remove_words(tokens, stop_words(extra_stop_words))
     if min_length is not None or max_length is not None:

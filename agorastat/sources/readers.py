@@ -89,6 +89,16 @@ def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None =
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash rows over all cores when the input has fewer splits than that.
+
+    One row group is read by one task. Before costly work per row, such as on texts, a
+    small file is worth a shuffle; a large input is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
