@@ -36,7 +36,6 @@ COMPARED_GRIDS = {
     "random_forest": {"numTrees": [20, 50], "maxDepth": [5, 10]},
     "logistic": {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5]},
 }
-METRICS = {"accuracy": "accuracy", "f1": "f1", "precision": "weightedPrecision", "recall": "weightedRecall"}
 
 
 def prepare(
@@ -85,10 +84,7 @@ def evaluate(predictions: DataFrame) -> dict[str, float | None]:
     rows = predictions.select(*[c for c in ("label", "prediction", "rawPrediction") if c in predictions.columns])
     rows = rows.persist()
     try:
-        result: dict[str, float | None] = {
-            name: MulticlassClassificationEvaluator(metricName=metric).evaluate(rows)
-            for name, metric in METRICS.items()
-        }
+        result: dict[str, float | None] = metrics_table(rows).first().asDict()
         binary = "rawPrediction" in rows.columns and class_count(rows) == 2
         result["auc"] = BinaryClassificationEvaluator().evaluate(rows) if binary else None
     finally:

@@ -29,7 +29,8 @@ def read_xml(
 
     A row may span lines, so a file is read by one task. ``read_table`` splits.
     """
-    reader = spark.read.format("xml").option("rowTag", row_tag).option("attributePrefix", ATTRIBUTE)
+    options = {"rowTag": row_tag, "attributePrefix": ATTRIBUTE, "ignoreSurroundingSpaces": False}
+    reader = spark.read.format("xml").options(**options)
     return _without_prefix((reader.schema(schema) if schema else reader).load(path))
 
 
@@ -67,7 +68,8 @@ def read_table(
     fields = ", ".join(f"{ATTRIBUTE}{name} STRING" for name, _ in schemas.columns(table))
     lines = spark.read.text(path).select(F.ltrim("value").alias("line"))
     rows = lines.filter(F.col("line").startswith(f"<{row_tag} "))
-    parsed = rows.select(F.from_xml("line", fields, {"rowTag": row_tag, "attributePrefix": ATTRIBUTE}).alias("r"))
+    options = {"rowTag": row_tag, "attributePrefix": ATTRIBUTE, "ignoreSurroundingSpaces": "false"}
+    parsed = rows.select(F.from_xml("line", fields, options).alias("r"))
     return typed_rows(_without_prefix(parsed.select("r.*")), table, keep_malformed)
 
 

@@ -4,5 +4,5 @@ from importlib import import_module
 
 from bindings.registry import ORACLES, QUERIES
 
-for _family in ("scalar", "aggregates", "trends", "language", "similarity"):
+for _family in ("scalar", "aggregates", "trends", "language", "similarity", "models", "sources"):
     import_module(f"bindings.{_family}")
