@@ -167,7 +167,9 @@ def word_ngrams(tokens: Column | str, n: int = 2) -> Column:
 
 def char_ngrams(c: Column | str, n: int = 3) -> Column:
     """Lower-cased runs of ``n`` characters; null and shorter text give []."""
-    return _runs(F.split(F.lower(F.coalesce(as_column(c), F.lit(""))), ""), n, "")
+    characters = F.split(F.lower(as_column(c)), "")
+    long_enough = F.length(as_column(c)) >= n
+    return F.when(long_enough, _runs(characters, n, "")).otherwise(no_strings())
 
 
 # --- other string helpers (P-18, P-19, P-22) -------------------------------

@@ -98,7 +98,7 @@ def tag_post_lists(posts: DataFrame, list_size: int = 10_000) -> DataFrame:
         "Part", F.pmod(F.xxhash64("Id"), "Parts").cast("int")
     )
     return placed.groupBy("Tag", "Part").agg(
-        F.count(F.lit(1)).alias("PostIdsCount"), F.array_sort(F.collect_list("Id")).alias("PostIds")
+        F.count(F.lit(1)).alias("PostIdsCount"), F.sort_array(F.collect_list("Id")).alias("PostIds")
     )
 
 

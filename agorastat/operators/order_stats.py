@@ -16,27 +16,21 @@ from pyspark.sql import functions as F
 from agorastat.operators.joins import MIN_HOT_ROWS, lookup_join, same
 from agorastat.sources.storage import materialize
 
-RANGES = 256
 
-
-def running_counts(df: DataFrame, value: str, by: Sequence[str] = (), ranges: int = RANGES) -> DataFrame:
+def running_counts(df: DataFrame, value: str, by: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
     """One row per distinct value (of a group) with its place in ascending order.
 
     ``Rows``: rows with this value; ``Before``: rows with a smaller one;
     ``ValuesBefore``: distinct smaller values; ``TotalRows`` and ``TotalValues`` of the
-    group. Null counts as the smallest value.
+    group. Null counts as the smallest value. ``ranges`` defaults to the number of
+    shuffle partitions.
     """
     by = list(by)
     values = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("Rows"))
-    cuts = F.percentile_approx(value, [i / ranges for i in range(1, ranges)], F.lit(20 * ranges))
-    if by:
-        bounds = values.groupBy(*by).agg(cuts.alias("_cuts"))
-        placed = lookup_join(values, bounds, by)
-    else:
-        placed = values.withColumn("_cuts", values.agg(cuts).scalar())
-    range_no = F.size(F.filter(F.coalesce("_cuts", F.array()), lambda c: c < F.col(value)))
-    # The cuts are approximate, so a second evaluation could differ: keep one.
-    placed = materialize(placed.withColumn("_range", range_no).drop("_cuts"), "ranges")
+    order = [*by, value]
+    ranged = values.repartitionByRange(ranges, *order) if ranges else values.repartitionByRange(*order)
+    # Range borders come from a sample: keep the ranges of one evaluation.
+    placed = materialize(ranged.withColumn("_range", F.spark_partition_id()), "ranges")
 
     inside = W.partitionBy(*by, "_range").orderBy(value).rowsBetween(W.unboundedPreceding, 0)
     local = placed.withColumns(
@@ -54,7 +48,7 @@ def running_counts(df: DataFrame, value: str, by: Sequence[str] = (), ranges: in
         F.sum("_d").over(group).alias("TotalValues"),
     )
     if not by:
-        offsets = F.broadcast(offsets)  # at most RANGES rows
+        offsets = F.broadcast(offsets)  # one row per range
     keys = [*by, "_range"]
     names = [f"_place{i}" for i in range(len(keys))]
     return local.join(offsets, same(keys, names)).select(

@@ -61,6 +61,10 @@ def split(df: DataFrame, test_share: float = 0.2, seed: int = 42, key: str | Non
     return df.filter(share >= test_share), df.filter(share < test_share)
 
 
+def _slim(prepared: DataFrame, key: str | None) -> DataFrame:
+    return prepared.select(*([key] if key else []), "features", "label")
+
+
 def classifier(algorithm: str, classes: int = 2, seed: int = 42, **settings) -> Estimator:
     """An untrained classifier; boosting of more than two classes trains one model per class."""
     if algorithm == "random_forest":
@@ -137,14 +141,13 @@ def train(
     **settings,
 ) -> tuple[Model, dict[str, float | None]]:
     """A-52: a model fitted on the training rows and its metrics on the test rows."""
-    prepared = prepare(df, features, label).select(*([key] if key else []), "features", "label")
-    fitted, test = split(prepared, test_share, seed, key)
-    fitted = fitted.persist()
+    prepared = _slim(prepare(df, features, label), key).persist()
     try:
-        model = classifier(algorithm, class_count(fitted), seed, **settings).fit(fitted)
+        fitted, test = split(prepared, test_share, seed, key)
+        model = classifier(algorithm, class_count(prepared), seed, **settings).fit(fitted)
+        return model, evaluate(model.transform(test))
     finally:
-        fitted.unpersist()
-    return model, evaluate(model.transform(test))
+        prepared.unpersist()
 
 
 def search(
@@ -187,14 +190,13 @@ def train_with_cv(
     **settings,
 ) -> tuple[Model, dict[str, float | None]]:
     """A-53: grid search on the training rows, metrics on rows held out from it."""
-    prepared = prepare(df, features, label).select(*([key] if key else []), "features", "label")
-    fitted, test = split(prepared, test_share, seed, key)
-    fitted = fitted.persist()
+    prepared = _slim(prepare(df, features, label), key).persist()
     try:
+        fitted, test = split(prepared, test_share, seed, key)
         model = search(fitted, algorithm, grid, folds, seed=seed, **settings)
+        return model, evaluate(model.transform(test))
     finally:
-        fitted.unpersist()
-    return model, evaluate(model.transform(test))
+        prepared.unpersist()
 
 
 def compare_models(
@@ -206,16 +208,15 @@ def compare_models(
     key: str | None = None,
 ) -> DataFrame:
     """A-54: one row of test metrics per algorithm; ``best`` marks the highest F1."""
-    fitted, test = split(prepared.select(*([key] if key else []), "features", "label"), test_share, seed, key)
-    fitted, test = fitted.persist(), test.persist()
+    slim = _slim(prepared, key).persist()
     try:
+        fitted, test = split(slim, test_share, seed, key)
         rows = []
         for algorithm, grid in grids.items():
             model = search(fitted, algorithm, grid, folds, "f1", seed)
             rows.append((algorithm, *evaluate(model.transform(test)).values()))
     finally:
-        fitted.unpersist()
-        test.unpersist()
+        slim.unpersist()
     best = max(rows, key=lambda r: r[2])[0]
     schema = "model string, accuracy double, f1 double, precision double, recall double, auc double, best boolean"
     return prepared.sparkSession.createDataFrame([(*r, r[0] == best) for r in rows], schema)

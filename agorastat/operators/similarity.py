@@ -334,7 +334,7 @@ def group_means(vectors: DataFrame, group: str, vector: str = "Vector") -> DataF
     """Mean vector per group, averaged per dimension so that tasks combine partial sums."""
     cells = vectors.select(group, F.posexplode(vector).alias("_pos", "_x"))
     means = cells.groupBy(group, "_pos").agg(F.avg(F.col("_x").cast("double")).alias("_mean"))
-    listed = means.groupBy(group).agg(F.array_sort(F.collect_list(F.struct("_pos", "_mean"))).alias("_cells"))
+    listed = means.groupBy(group).agg(F.sort_array(F.collect_list(F.struct("_pos", "_mean"))).alias("_cells"))
     return listed.select(group, F.transform("_cells", lambda c: c["_mean"]).alias("Mean"))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from agorastat.functions import text as tx
 from agorastat.operators.joins import MIN_HOT_ROWS, lookup_join
+from agorastat.sources.storage import materialize
 
 # Words without information in technical questions.
 DOMAIN_STOP_WORDS = """
@@ -105,9 +106,10 @@ def word_tokens(
         mapped = F.transform(tokens, lambda t: F.coalesce(F.try_element_at(table, t), t))
         return df.withColumn(output, mapped if lemmas else tokens)
     single = df.select(key, F.posexplode(tokens).alias("pos", "token"))
+    single = materialize(single, "tokens")  # the hot tokens are counted first
     found = lookup_join(single, lemmas, ["token"], "left", min_rows=min_hot_rows)
     word = F.struct("pos", F.coalesce("lemma", "token").alias("word"))
-    regrouped = found.groupBy(key).agg(F.array_sort(F.collect_list(word)).alias("_words"))
+    regrouped = found.groupBy(key).agg(F.sort_array(F.collect_list(word)).alias("_words"))
     result = df.join(regrouped, key, "left")
     listed = F.coalesce(F.transform("_words", lambda w: w["word"]), tx.no_strings())
     return result.withColumn(output, listed).drop("_words")

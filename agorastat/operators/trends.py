@@ -114,7 +114,7 @@ def forecast(
     """
     chosen = trends if tags is None else trends.filter(F.col("Tag").isin(list(tags)))
     history = chosen.groupBy("Tag").agg(
-        F.array_sort(F.collect_list(F.struct("Period", "QuestionCount"))).alias("_points")
+        F.sort_array(F.collect_list(F.struct("Period", "QuestionCount"))).alias("_points")
     ).filter(F.size("_points") >= min_history)
     values = F.transform("_points", lambda p: p["QuestionCount"].cast("double"))
     smoothed = F.aggregate(

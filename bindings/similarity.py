@@ -92,16 +92,14 @@ def sql_top(queries: str, corpus: str, threshold: float, k: int) -> str:
 
 
 
-@query("a46_similar_questions", f"WITH {DOC_TOKENS}, turns AS (SELECT conv_id * 100 + turn AS Id, {sql_words('lower(text)')} AS t FROM conversations), "
-       f"texts AS (SELECT doc_id AS Id, {sql_words('lower(text)')} AS t FROM documents), {sql_top('turns', 'texts', 0.1, 5).strip()}")
+@query("a46_similar_questions", f"WITH {DOC_TOKENS}, asked AS (SELECT Id, t FROM docs JOIN labels ON Id = doc_id), {sql_top('asked', 'docs', 0.5, 5).strip()}")
 def similar_questions(spark, d):
-    words = tx.words(F.lower("text")).alias("ProcessedText")
-    turns = table(spark, d, "conversations").select((F.col("conv_id") * 100 + F.col("turn")).alias("Id"), words)
-    texts = _documents(spark, d).select(F.col("doc_id").alias("Id"), words)
-    return tidy(sim.similar_questions(texts, turns, threshold=0.1, k=5))
+    tokens = _as_ids(_tokens(spark, d), "doc_id", "ProcessedText")
+    asked = tokens.join(table(spark, d, "labels"), F.col("Id") == F.col("doc_id"), "left_semi")
+    return tidy(sim.similar_questions(tokens, asked, k=5))
 
 
-@query("a46_similar_to_longest", f"WITH {DOC_TOKENS}, one AS (SELECT * FROM docs WHERE Id = (SELECT MIN(doc_id) FROM labels)), {sql_top('one', 'docs', 0.2, 10).strip()}")
+@query("a46_similar_to_one", f"WITH {DOC_TOKENS}, one AS (SELECT * FROM docs WHERE Id = (SELECT MIN(doc_id) FROM labels)), {sql_top('one', 'docs', 0.2, 10).strip()}")
 def similar_to_one(spark, d):
     tokens = _as_ids(_tokens(spark, d), "doc_id", "ProcessedText")
     first = table(spark, d, "labels").agg(F.min("doc_id")).first()[0]
