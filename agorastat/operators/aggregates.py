@@ -195,7 +195,7 @@ def share_of_total(df: DataFrame, column: str, weight: Column | None = None) ->
     """A-29: total per value and its percentage of the grand total."""
     amount = F.count(F.lit(1)) if weight is None else F.sum(weight)
     totals = df.groupBy(column).agg(amount.alias("Total"))
-    grand = df.agg(amount).scalar()
+    grand = totals.agg(F.sum("Total")).scalar()  # over the totals, so the rows are read once
     return totals.withColumn("Percent", F.try_divide(F.col("Total"), grand) * 100)
 
 

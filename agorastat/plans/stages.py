@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from agorastat.operators import clean, quality, text, topics
 from agorastat.sources.readers import read_parquet, read_table
-from agorastat.sources.writers import save_parquet
+from agorastat.sources.writers import repartition_and_save, save_parquet
 
 MODES = {"full": ("etl", "nlp", "ml"), "etl": ("etl",), "nlp": ("nlp",), "ml": ("ml",)}
 
@@ -35,7 +35,7 @@ def run_etl(spark: SparkSession, paths: Paths) -> DataFrame:
     """
     posts = read_table(spark, "posts", f"{paths.raw}/Posts.xml")
     questions = clean.clean_posts(clean.questions(posts))
-    save_parquet(questions, paths.questions, ["Year", "Month"])
+    repartition_and_save(questions, paths.questions, partition_by=["Year", "Month"])
     return read_parquet(spark, paths.questions)
 
 

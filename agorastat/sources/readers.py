@@ -38,13 +38,15 @@ def _typed(raw: Column, kind: str) -> Column:
     return F.try_to_timestamp(raw) if kind == "TIMESTAMP" else raw.try_cast(kind.lower())
 
 
-def typed_rows(raw: DataFrame, table: str, keep_malformed: bool = False) -> DataFrame:
+def typed_rows(
+    raw: DataFrame, table: str, keep_malformed: bool = False, names: Sequence[str] | None = None
+) -> DataFrame:
     """Cast text columns to the table's types; unreadable values become null.
 
     ``keep_malformed`` adds ``Malformed``: the names of the columns that had
     a value which could not be read.
     """
-    columns = schemas.columns(table)
+    columns = [(name, kind) for name, kind in schemas.columns(table) if names is None or name in names]
     typed = [_typed(F.col(name), kind).alias(name) for name, kind in columns]
     if not keep_malformed:
         return raw.select(*typed)
@@ -57,20 +59,26 @@ def typed_rows(raw: DataFrame, table: str, keep_malformed: bool = False) -> Data
 
 
 def read_table(
-    spark: SparkSession, table: str, path: str, row_tag: str = "row", keep_malformed: bool = False
+    spark: SparkSession,
+    table: str,
+    path: str,
+    columns: Sequence[str] | None = None,
+    row_tag: str = "row",
+    keep_malformed: bool = False,
 ) -> DataFrame:
-    """S-02: one dump table, one row element per line.
+    """S-02: one dump table, one row element per line; only the named columns are parsed.
 
     The lines are read as text, so a single large file is split over many
     tasks, and parsed by the built-in XML parser with every attribute as text:
     a malformed number then costs its value and not the whole read.
     """
-    fields = ", ".join(f"{ATTRIBUTE}{name} STRING" for name, _ in schemas.columns(table))
+    wanted = [name for name, _ in schemas.columns(table) if columns is None or name in columns]
+    fields = ", ".join(f"{ATTRIBUTE}{name} STRING" for name in wanted)
     lines = spark.read.text(path).select(F.ltrim("value").alias("line"))
     rows = lines.filter(F.col("line").startswith(f"<{row_tag} "))
     options = {"rowTag": row_tag, "attributePrefix": ATTRIBUTE, "ignoreSurroundingSpaces": "false"}
     parsed = rows.select(F.from_xml("line", fields, options).alias("r"))
-    return typed_rows(_without_prefix(parsed.select("r.*")), table, keep_malformed)
+    return typed_rows(_without_prefix(parsed.select("r.*")), table, keep_malformed, wanted)
 
 
 def read_dump(spark: SparkSession, directory: str) -> dict[str, DataFrame]:

@@ -70,19 +70,19 @@ def repartition_and_save(
     spread: int = 1,
     **options,
 ) -> None:
-    """S-12: repartition, then save as Parquet.
+    """S-12: redistribute the rows, then save as Parquet.
 
-    With ``partition_by`` rows of one folder go to the same ``spread`` tasks, so
-    that a folder gets few files; a larger ``spread`` splits a dominant folder.
+    With ``partition_by`` the rows of one folder come together, so a folder gets few
+    files. Without a number Spark sizes the tasks itself: small folders share one and a
+    dominant folder is split. With a number, ``spread`` tasks write each folder.
     """
     keys = [as_column(c) for c in partition_by or ()]
+    if num_partitions is None:
+        save_parquet(df.hint("rebalance", *keys), path, partition_by, **options)
+        return
     if keys and spread > 1:
-        keys.append(F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread)))
-    if num_partitions:
-        df = df.repartition(num_partitions, *keys)
-    elif keys:
-        df = df.repartition(*keys)
-    save_parquet(df, path, partition_by, **options)
+        keys.append(F.pmod(F.xxhash64(*df.columns), F.lit(spread)))
+    save_parquet(df.repartition(num_partitions, *keys), path, partition_by, **options)
 
 
 def sample(df: DataFrame, fraction: float = 0.1, seed: int = 42, key: str | None = None) -> DataFrame:

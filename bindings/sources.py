@@ -28,7 +28,7 @@ POST_COLUMNS = ["Id", "PostTypeId", "AcceptedAnswerId", "CreationDate", "Score"]
 def read_table(spark, d):
     path = scratch_path(spark, "s02")
     writers.save_xml(raw_posts(spark, d), path, "posts")
-    read = readers.read_table(spark, "posts", path)
+    read = readers.read_table(spark, "posts", path, [*POST_COLUMNS, "Body", "Title", "Tags"])
     return tidy(read.select(*POST_COLUMNS, F.md5("Body").alias("Body"), "Title", "Tags"))
 
 
@@ -116,7 +116,7 @@ def profile(spark, d):
 @query("s12_repartition_and_save", "SELECT event_type, COUNT(*) AS Rows FROM events GROUP BY ALL")
 def repartition_and_save(spark, d):
     path = scratch_path(spark, "s12")
-    writers.repartition_and_save(table(spark, d, "events"), path, 8, ["event_type"], spread=2)
+    writers.repartition_and_save(table(spark, d, "events"), path, partition_by=["event_type"])
     return readers.read_parquet(spark, path).groupBy("event_type").agg(F.count(F.lit(1)).alias("Rows"))
 
 
@@ -134,7 +134,7 @@ def sample_copy(spark, d):
 
 
 def _pages(spark, d):
-    """Orders as API pages: a page per customer with its questions as items."""
+    """Orders as API pages: a hundred questions of neighbouring numbers as the items of a page."""
     item = F.struct(
         F.col("o_orderkey").alias("question_id"),
         F.concat("o_orderpriority", F.lit(" order")).alias("title"),
@@ -145,7 +145,7 @@ def _pages(spark, d):
         F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).alias("creation_date"),
         F.struct(F.col("o_custkey").cast("int").alias("reputation")).alias("owner"),
     )
-    return table(spark, d, "orders").groupBy("o_custkey").agg(F.collect_list(item).alias("items")).select("items")
+    return table(spark, d, "orders").groupBy(F.floor(F.col("o_orderkey") / 100)).agg(F.collect_list(item).alias("items")).select("items")
 
 
 @query("s16_api_pages", """SELECT o_orderkey AS question_id, o_orderpriority || ' order' AS title, o_orderstatus || ' x' AS body,
