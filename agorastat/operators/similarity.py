@@ -76,19 +76,20 @@ def _ordered(sets: DataFrame) -> DataFrame:
 
 
 def _keys(sets: DataFrame, threshold: float, key_rows: int, key_tokens: int) -> DataFrame:
-    """``(Key, Blocks, Depth, Pos, Side, Id, Size)``: where a set meets its candidates.
+    """``(Key, Blocks, Depth, Pos, Side, Id, Size, Loose)``: where a set meets its candidates.
 
     A pair that shares a crowded key shares a longer key too, so a row of a crowded
-    key is replaced by rows that add each later token of its prefix.
+    key is replaced by rows that add each later token of its prefix. ``Loose`` counts
+    the prefix tokens of the set that were replaced.
     """
     required = _required(F.col("Size"), threshold)
-    row = ["Side", "Id", "Size"]
+    row = ["Side", "Id", "Size", "Loose"]
 
     def prefix_end(depth: int) -> Column:
         return F.least(F.col("Size"), F.col("Size") - required + depth)
 
     first = F.slice("Tokens", F.lit(1), prefix_end(1))
-    level = sets.select(*row, F.posexplode(first).alias("Pos", "Key"))
+    level = sets.select("Side", "Id", "Size", F.lit(0).cast("bigint").alias("Loose"), F.posexplode(first).alias("Pos", "Key"))
     done = []
     for depth in range(1, key_tokens + 1):
         level = materialize(level, "keys")
@@ -99,6 +100,9 @@ def _keys(sets: DataFrame, threshold: float, key_rows: int, key_tokens: int) ->
             done.append(level.select(*own, F.lit(1).alias("Blocks")))
             break
         tagged = lookup_join(level, crowded, ["Key"], "left", salt_by=["Id"])
+        if depth == 1:
+            replaced = F.count("_n").over(W.partitionBy("Side", "Id"))
+            tagged = tagged.withColumn("Loose", replaced if key_tokens > 1 else F.lit(0).cast("bigint"))
         blocks = F.coalesce(F.ceil(F.col("_n") / key_rows), F.lit(1)).cast("int").alias("Blocks")
         if depth == key_tokens:
             done.append(tagged.select(*own, blocks))
@@ -130,7 +134,7 @@ def _block_sides(keys: DataFrame, left: Column, right: Column) -> tuple[DataFram
     placed = keys.withColumn("_own", own).withColumn("_other", others)
 
     def side(df: DataFrame, cell: Column, suffix: str) -> DataFrame:
-        named = [F.col(c).alias(f"{c}{suffix}") for c in ("Id", "Size", "Pos")]
+        named = [F.col(c).alias(f"{c}{suffix}") for c in ("Id", "Size", "Pos", "Loose")]
         return df.select("Key", "Depth", cell.alias("_cell"), *named)
 
     return (
@@ -162,10 +166,19 @@ def _similar(
     size_a, size_b = F.col("SizeA"), F.col("SizeB")
     overlap = (size_a + size_b) * (threshold / (1 + threshold)) - ROUNDING
     possible = F.col("Depth") + F.least(size_a - F.col("PosA") - 1, size_b - F.col("PosB") - 1)
-    candidates = met.filter(
-        (F.least(size_a, size_b) >= F.greatest(size_a, size_b) * threshold - ROUNDING)
-        & (possible >= overlap)
-    ).select("IdA", "IdB").distinct()
+    near = met.filter(F.least(size_a, size_b) >= F.greatest(size_a, size_b) * threshold - ROUNDING)
+    # Shared tokens lie in both prefixes (counted, or replaced) or behind a prefix.
+    # The first shared key also bounds the overlap by what follows it.
+    shared = near.groupBy("IdA", "IdB").agg(
+        F.count_if(F.col("Depth") == 1).alias("_met"),
+        F.max(possible).alias("_possible"),
+        *[F.any_value(c).alias(c) for c in ("SizeA", "SizeB", "LooseA", "LooseB")],
+    )
+    behind = F.greatest(_required(size_a, threshold), _required(size_b, threshold)) - 1
+    candidates = shared.filter(
+        (F.col("_met") + F.least("LooseA", "LooseB") + behind >= overlap)
+        & (F.col("_possible") >= overlap)
+    ).select("IdA", "IdB")
     candidates = materialize(candidates, "candidates")
 
     def tokens(side: int, suffix: str) -> DataFrame:
@@ -245,12 +258,15 @@ def similar_questions(
     Of equal token sets only the first ``k`` ids can be in a result, so only
     these are compared; this loses nothing.
     """
+    sides = token_sets(queries, tokens, key).withColumn("Side", F.lit(0)).unionByName(
+        token_sets(corpus, tokens, key).withColumn("Side", F.lit(1))
+    )
+    sides = materialize(_with_digest(sides), "token-sets")
     same = W.partitionBy("_h1", "_h2").orderBy("Id")
-    first_copies = _with_digest(token_sets(corpus, tokens, key)).withColumn(
-        "_copy", F.row_number().over(same)
-    ).filter(F.col("_copy") <= k)
-    sides = token_sets(queries, tokens, key).select(F.lit(0).alias("Side"), "Id", "Tokens").unionByName(
-        first_copies.select(F.lit(1).alias("Side"), "Id", "Tokens")
+    first_copies = sides.filter(F.col("Side") == 1).withColumn("_copy", F.row_number().over(same))
+    columns = ["Side", "Id", "Tokens"]
+    sides = sides.filter(F.col("Side") == 0).select(*columns).unionByName(
+        first_copies.filter(F.col("_copy") <= k).select(*columns)
     )
     scored = _similar(sides, threshold, True, key_rows, key_tokens)
     best = W.partitionBy("IdA").orderBy(F.desc("Similarity"), "IdB")

@@ -26,12 +26,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-TEXT_KEYS = {"documents": "doc_id", "pages": "page_id"}
+SPREAD_KEYS = {"documents": "doc_id", "pages": "page_id", "lineitem": "l_orderkey"}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     df = read_parquet(spark, f"{folder}/{name}.parquet")
-    return spread(df, TEXT_KEYS[name]) if name in TEXT_KEYS else df
+    return spread(df, SPREAD_KEYS[name]) if name in SPREAD_KEYS else df
 
 
 def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
