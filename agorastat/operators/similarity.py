@@ -15,13 +15,14 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import HashingTF, MinHashLSH, SQLTransformer, Word2Vec
+from pyspark.ml.feature import HashingTF, MinHashLSH, SQLTransformer, Word2VecModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from agorastat.functions.text import char_ngrams
 from agorastat.functions.vectors import cosine
+from agorastat.operators.features import word_vectors
 from agorastat.operators.joins import lookup_join
 from agorastat.sources.storage import materialize
 
@@ -326,14 +327,20 @@ def minhash_model(
 
 
 def document_vectors(
-    df: DataFrame, tokens: str = "ProcessedText", vector_size: int = 100, min_count: int = 5, max_iter: int = 10, seed: int = 42
-) -> tuple[DataFrame, PipelineModel]:
-    """A-48: mean word vector per row in ``word2vec_features``, and the fitted model."""
-    word2vec = Word2Vec(
-        inputCol=tokens, outputCol="word2vec_features", vectorSize=vector_size, minCount=min_count, maxIter=max_iter, seed=seed
+    df: DataFrame,
+    tokens: str = "ProcessedText",
+    vector_size: int = 100,
+    min_count: int = 5,
+    max_iter: int = 10,
+    seed: int = 42,
+    model: Word2VecModel | None = None,
+) -> tuple[DataFrame, Word2VecModel]:
+    """A-48: mean word vector per row in ``word2vec_features``; fits a model when none is given."""
+    if model is not None:
+        return model.transform(df), model
+    return word_vectors(
+        df, tokens, "word2vec_features", vector_size, min_count=min_count, max_iter=max_iter, seed=seed
     )
-    model = Pipeline(stages=[word2vec]).fit(df)
-    return model.transform(df), model
 
 
 def score_pairs(

@@ -326,14 +326,14 @@ def count_vectors(spark, d):
 
 @query("v03_word_vectors")
 def word_vectors(spark, d):
-    vectors, _ = ft.word_vectors(_tokens(spark, d), vector_size=20, max_iter=1, partitions=4)
+    vectors, _ = ft.word_vectors(_tokens(spark, d), vector_size=20, max_iter=1)
     return _vector(vectors, "Word2VecFeatures").select("doc_id", "size")
 
 
 @query("v04_similar_words")
 def similar_words(spark, d):
     tokens = text.word_tokens(_documents(spark, d), "text", "ProcessedText", key="doc_id").select("doc_id", "ProcessedText")
-    _, model = ft.word_vectors(tokens, vector_size=20, max_iter=1, partitions=4)
+    _, model = ft.word_vectors(tokens, vector_size=20, max_iter=1)
     word = agg.word_frequency(tokens, k=1).first()["Word"]
     return tidy(ft.similar_words(model, word))
 

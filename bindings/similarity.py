@@ -72,11 +72,11 @@ def near_duplicate_titles(spark, d):
 
 
 @query("a45_near_duplicate_turns", f"""WITH src AS (SELECT conv_id * 100 + turn AS Id, lower(text) AS x FROM conversations),
-grams AS (SELECT Id, {GRAMS.format('x')} AS t FROM src), {sql_pairs('grams', 0.6)}
+grams AS (SELECT Id, {GRAMS.format('x')} AS t FROM src), {sql_pairs('grams', 0.55)}
 SELECT IdA AS QuestionId1, IdB AS QuestionId2, ROUND(Similarity, 6) AS Similarity FROM pairs""")
 def near_duplicate_turns(spark, d):
     turns = table(spark, d, "conversations").select((F.col("conv_id") * 100 + F.col("turn")).alias("Id"), "text")
-    return tidy(sim.near_duplicates(turns, "text", threshold=0.6).select("QuestionId1", "QuestionId2", "Similarity"))
+    return tidy(sim.near_duplicates(turns, "text", threshold=0.55).select("QuestionId1", "QuestionId2", "Similarity"))
 
 
 def sql_top(queries: str, corpus: str, threshold: float, k: int) -> str:

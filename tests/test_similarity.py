@@ -115,3 +115,5 @@ def test_document_vectors(spark):
     df = frame(spark, [frozenset([1, 2, 3])] * 6)
     vectors, model = sim.document_vectors(df, vector_size=4, max_iter=1)
     assert vectors.select(F.col("word2vec_features")).first()[0].size == 4
+    again, _ = sim.document_vectors(df, model=model)
+    assert again.first()["word2vec_features"] == vectors.first()["word2vec_features"]
