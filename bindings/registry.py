@@ -171,7 +171,6 @@ def raw_posts(spark: SparkSession, folder: str) -> DataFrame:
 # --- regular expressions shared with the SQL -------------------------------
 
 SPACE, WORD = tx.SPACE, tx.WORD
-STOP_SQL = "('{}')"
 
 
 def sql_strip(column: str) -> str:
