@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from agorastat.sources.storage import materialize, scratch_path
 
-__all__ = ["materialize", "read", "row_mapper", "scratch_path", "spans_digest", "text_blocks", "utf8", "word_codes"]
+__all__ = ["byte_table", "mapped", "materialize", "read", "row_mapper", "scratch_path", "segment_sums", "ship", "text_blocks", "utf8", "word_codes"]
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -40,11 +40,6 @@ def row_mapper(
     return run
 
 
-def spans_digest(spans: list[tuple[str, int, int]]) -> str:
-    """``kind:start:end`` of the spans, comma-joined in the given order."""
-    return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
-
-
 BLOCK_BYTES = 16 << 20  # text that one step in a task holds as words
 
 
@@ -95,3 +90,28 @@ def ship(spark: SparkSession) -> None:
     archive = os.path.join(tempfile.mkdtemp(prefix="agorastat-"), "agorastat-package")
     context.addPyFile(shutil.make_archive(archive, "zip", root, "agorastat"))
     _shipped.add(context.applicationId)
+
+
+def byte_table(separators: str = "", keep_case: bool = False) -> np.ndarray:
+    """A table for ``mapped``: A-Z become a-z, the given ASCII characters a space."""
+    table = np.arange(256, dtype=np.uint8)
+    if not keep_case:
+        table[65:91] += 32
+    table[[ord(c) for c in separators]] = 32
+    return table
+
+
+def mapped(texts: pa.Array, table: np.ndarray) -> pa.Array:
+    """Large strings with each byte replaced by the table; the table must leave bytes from 128 alone."""
+    if not len(texts):
+        return texts
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data else np.zeros(0, np.uint8)
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets - offsets[0]), pa.py_buffer(table[raw]))
+
+
+def segment_sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of the stretches that ``starts`` bounds (one bound more than stretches); empty ones give 0."""
+    ends = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
+    return ends[starts[1:]] - ends[starts[:-1]]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorastat.llm import packing
+from agorastat.llm import packing, quality
 from agorastat.llm.common import read, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,3 +33,63 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 @query("op6_best_fit_packing")
 def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(packing.token_pieces(read(spark, folder, "documents")))
+
+
+_RULES_SQL = quality.RULES
+_RATES_SQL = ",\n".join(
+    f"""CASE WHEN sum(f{i} * f{i} * 1.0 / n) OVER () / sum(n) OVER () - (sum(f{i}) OVER () / sum(n) OVER ()) ** 2 > 1e-12
+        THEN (f{i} + greatest(1.0, (sum(f{i}) OVER () / sum(n) OVER ()) * (1 - sum(f{i}) OVER () / sum(n) OVER ())
+                / (sum(f{i} * f{i} * 1.0 / n) OVER () / sum(n) OVER () - (sum(f{i}) OVER () / sum(n) OVER ()) ** 2) - 1)
+                * (sum(f{i}) OVER () / sum(n) OVER ()))
+             / (n + greatest(1.0, (sum(f{i}) OVER () / sum(n) OVER ()) * (1 - sum(f{i}) OVER () / sum(n) OVER ())
+                / (sum(f{i} * f{i} * 1.0 / n) OVER () / sum(n) OVER () - (sum(f{i}) OVER () / sum(n) OVER ()) ** 2) - 1))
+        ELSE sum(f{i}) OVER () / sum(n) OVER () END AS r{i}"""
+    for i in range(len(_RULES_SQL))
+)
+
+
+@query(
+    "op4_host_quality_rules",
+    f"""
+    WITH texts AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+    words AS (SELECT doc_id, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w FROM texts),
+    grams AS (
+        SELECT doc_id, i, list_slice(w, i, i + 4) AS g
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM words)
+    ),
+    twice AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM grams),
+    repeats AS (
+        SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words
+        FROM twice, (SELECT unnest(range(0, 5)) AS k) WHERE c > 1 GROUP BY doc_id
+    ),
+    lines AS (
+        SELECT doc_id, count(*) - count(DISTINCT l) AS n_dup_lines
+        FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM texts)
+        WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id
+    ),
+    metrics AS (
+        SELECT t.doc_id, source, CAST(len(w) AS BIGINT) AS n_words,
+               CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+               CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+               coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+        FROM texts t JOIN words USING (doc_id) LEFT JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)
+    ),
+    hosts AS (
+        SELECT source AS host, count(*) AS n,
+               {", ".join(f"count(*) FILTER (WHERE {rule}) AS f{i}" for i, rule in enumerate(_RULES_SQL.values()))}
+        FROM metrics GROUP BY source
+    ),
+    rates AS (SELECT host, {_RATES_SQL} FROM hosts),
+    rejected AS (
+        SELECT host FROM rates
+        WHERE greatest({", ".join(f"r{i}" for i in range(len(_RULES_SQL)))}) > {quality.HostPolicy().reject_above}
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+           ({quality.BASE_FAILED}) AS base_failed,
+           NOT ({quality.BASE_FAILED}) AND NOT EXISTS (
+               SELECT 1 FROM rejected WHERE rejected.host IS NOT DISTINCT FROM metrics.source) AS kept
+    FROM metrics
+    """,
+)
+def host_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_verdicts(read(spark, folder, "documents"))
