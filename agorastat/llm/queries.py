@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorastat.llm import packing, quality
+from agorastat.llm import decontamination, packing, quality
 from agorastat.llm.common import read, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +93,40 @@ _RATES_SQL = ",\n".join(
 )
 def host_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_verdicts(read(spark, folder, "documents"))
+
+
+@query(
+    "op9_prefix_filtered_decontamination",
+    r"""
+    WITH docs AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+    ),
+    items AS (
+        SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+    ),
+    windows AS (
+        SELECT DISTINCT item_id, array_to_string(list_slice(w, i, i + 9), ' ') AS g, least(len(w), 10) AS n
+        FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)
+    ),
+    sizes AS (SELECT DISTINCT n FROM windows),
+    grams AS (
+        SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS g
+        FROM (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM docs, sizes)
+    ),
+    found AS (SELECT doc_id, i, grams.n, item_id FROM grams JOIN windows ON grams.g = windows.g AND grams.n = windows.n),
+    hit AS (
+        SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id
+    ),
+    listed AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+    )
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
+    """,
+)
+def prefix_filtered_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contamination_report(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
