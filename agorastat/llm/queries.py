@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorastat.llm import decontamination, packing, quality
+from agorastat.llm import decontamination, packing, quality, simhash
 from agorastat.llm.common import read, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,3 +130,8 @@ def host_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 )
 def prefix_filtered_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contamination_report(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+@query("op10_gray_order_simhash")
+def gray_order_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, folder, "documents"))
