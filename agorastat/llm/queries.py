@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorastat.llm import decontamination, packing, quality, simhash
+from agorastat.llm import decontamination, packing, pii, quality, simhash
 from agorastat.llm.common import read, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,3 +135,8 @@ def prefix_filtered_decontamination(spark: SparkSession, folder: str) -> DataFra
 @query("op10_gray_order_simhash")
 def gray_order_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, folder, "documents"))
+
+
+@query("op3_skip_chain_pii")
+def skip_chain_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.report(read(spark, folder, "documents"))
