@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorastat.llm import decontamination, packing, pii, quality, simhash
+from agorastat.llm import attribution, chat, decontamination, packing, pii, quality, secrets, simhash
 from agorastat.llm.common import read, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -140,3 +140,38 @@ def gray_order_simhash(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_skip_chain_pii")
 def skip_chain_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.report(read(spark, folder, "documents"))
+
+
+@query("op2_offset_mapped_token_counts")
+def offset_mapped_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return attribution.token_counts(read(spark, folder, "documents"))
+
+
+@query("op1_blob_ledger_secrets")
+def blob_ledger_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.report(read(spark, folder, "documents"))
+
+
+_CONTROL_SQL = "|".join(
+    "".join("\\" + c if c in "[]|" else c for c in s[0]) + r"\\*" + "".join("\\" + c if c in "[]|" else c for c in s[1:])
+    for s in chat.CONTROL
+)
+
+
+@query(
+    "op8_grammar_round_trip_chat",
+    f"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+    )
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(length(role) + length(text) + len(regexp_extract_all(text, '{_CONTROL_SQL}'))
+                    + {len(chat.OPEN) + len(chat.CLOSE) + 2}) AS BIGINT) AS formatted_chars
+    FROM turns GROUP BY conv_id
+    """,
+)
+def grammar_round_trip_chat(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.report(read(spark, folder, "conversations"))
