@@ -40,7 +40,7 @@ def row_mapper(
     return run
 
 
-BLOCK_BYTES = 16 << 20  # text that one step in a task holds as words
+BLOCK_BYTES = 8 << 20  # text that one step in a task holds as words
 
 
 def text_blocks(column: pa.Array, most: int = BLOCK_BYTES) -> Iterator[tuple[int, pa.Array]]:
