@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorastat.llm import attribution, chat, decontamination, packing, pii, quality, secrets, simhash
+from agorastat.llm import attribution, chat, decontamination, packing, pii, quality, secrets, simhash, substrings
 from agorastat.llm.common import read, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -175,3 +175,8 @@ _CONTROL_SQL = "|".join(
 )
 def grammar_round_trip_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.report(read(spark, folder, "conversations"))
+
+
+@query("op7_two_stage_suffix_dedup")
+def two_stage_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.remove_repeats(read(spark, folder, "documents"))
