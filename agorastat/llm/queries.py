@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorastat.llm import attribution, chat, decontamination, packing, pii, quality, secrets, simhash, substrings
+from agorastat.llm import attribution, chat, decontamination, licenses, packing, pii, quality, secrets, simhash, substrings
 from agorastat.llm.common import read, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -180,3 +180,46 @@ def grammar_round_trip_chat(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_two_stage_suffix_dedup")
 def two_stage_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.remove_repeats(read(spark, folder, "documents"))
+
+
+_NOTICES_SQL = ", ".join(
+    f"({n}, '{name}', '{b}', {len(bigrams)})"
+    for n, (name, text) in enumerate(licenses.NOTICES)
+    for bigrams in [licenses.template_bigrams(text)]
+    for b in sorted(bigrams)
+)
+
+
+@query(
+    "op5_bigram_dice_licenses",
+    rf"""
+    WITH templates(template, license, bigram, size) AS (VALUES {_NOTICES_SQL}),
+    paragraphs AS (
+        SELECT doc_id, regexp_split_to_array(text, '\n(?:[\x20\x09\x0B-\x0D]*\n)+') AS p FROM documents
+    ),
+    passages AS (
+        SELECT doc_id, 'line' AS part, unnest(range(0, len(l))) AS number, unnest(l) AS t
+        FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)
+        UNION ALL
+        SELECT * FROM (SELECT doc_id, 'paragraph', unnest(range(0, len(p))), unnest(p) AS t FROM paragraphs) WHERE contains(t, chr(10))
+    ),
+    words AS (
+        SELECT doc_id, part, number, list_filter(string_split(regexp_replace(
+            translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+', ' ', 'g'), ' '),
+            lambda x: x <> '') AS w FROM passages
+    ),
+    bigrams AS (
+        SELECT DISTINCT doc_id, part, number, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS bigram
+        FROM (SELECT *, unnest(range(1, greatest(len(w), 2))) AS i FROM words WHERE len(w) > 0)
+    ),
+    sized AS (SELECT doc_id, part, number, bigram, count(*) OVER (PARTITION BY doc_id, part, number) AS n FROM bigrams),
+    scored AS (
+        SELECT doc_id, part, number, template, license, 2 * count(*) / (n + size) AS similarity
+        FROM sized JOIN templates USING (bigram) GROUP BY doc_id, part, number, n, template, license, size
+    )
+    SELECT doc_id, part, number, arg_min(license, (-similarity, template)) AS license, max(similarity) AS similarity
+    FROM scored WHERE similarity >= {licenses.AT_LEAST} GROUP BY doc_id, part, number
+    """,
+)
+def bigram_dice_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_findings(read(spark, folder, "documents"))
