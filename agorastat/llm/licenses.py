@@ -66,8 +66,12 @@ def words_of(text: Column) -> Column:
 
 def bigrams_of(words: Column) -> Column:
     """Distinct pairs of neighbouring words; a single word is paired with nothing, no word gives none."""
-    pairs = F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.concat_ws(" ", F.element_at(words, i), F.element_at(words, i + 1)))
-    return F.when(F.size(words) > 1, F.array_distinct(pairs)).otherwise(words)
+
+    def pairs(w: Column) -> Column:
+        joined = F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w)), lambda x, y: F.concat_ws(" ", x, y))
+        return F.when(F.size(w) > 1, F.array_distinct(joined)).otherwise(w)
+
+    return F.element_at(F.transform(F.array(words), pairs), 1)  # names the words, so that they are computed once
 
 
 def size_bounds(size: int, at_least: float) -> tuple[int, int]:

@@ -209,8 +209,9 @@ _NOTICES_SQL = ", ".join(
             lambda x: x <> '') AS w FROM passages
     ),
     bigrams AS (
-        SELECT DISTINCT doc_id, part, number, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS bigram
-        FROM (SELECT *, unnest(range(1, greatest(len(w), 2))) AS i FROM words WHERE len(w) > 0)
+        SELECT doc_id, part, number, unnest(list_distinct(
+            CASE WHEN len(w) = 1 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END)) AS bigram
+        FROM words
     ),
     sized AS (SELECT doc_id, part, number, bigram, count(*) OVER (PARTITION BY doc_id, part, number) AS n FROM bigrams),
     scored AS (
