@@ -31,8 +31,6 @@ not no never neither nobody nothing don't doesn't didn't won't wouldn't
 can't cannot couldn't shouldn't
 """.split()
 
-MAX_LEXICON_WORDS = 20_000  # the lists become part of the plan
-
 
 @dataclass(frozen=True)
 class Lexicon:
@@ -43,11 +41,6 @@ class Lexicon:
     intensifiers: Mapping[str, float] = field(default_factory=lambda: dict(INTENSIFIERS))
     negators: frozenset[str] = frozenset(NEGATORS)
 
-    def __post_init__(self) -> None:
-        size = sum(map(len, (self.positive, self.negative, self.intensifiers, self.negators)))
-        if size > MAX_LEXICON_WORDS:
-            raise ValueError(f"lexicon of {size} words; the limit is {MAX_LEXICON_WORDS}")
-
 
 def _listed(word: Column, entries) -> Column:
     return word.isin(sorted(entries)) if entries else F.lit(False)

@@ -8,22 +8,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.001  # at most 1 / HOT_SHARE keys can be hot, which bounds the broadcast
-MIN_HOT_ROWS = 200_000
-MAX_SLICES = 1024
+from agorastat.sources.storage import materialize
 
+SLICE_ROWS = 200_000  # rows of one key that one task takes
 
-def hot_keys(
-    df: DataFrame, on: Sequence[str], min_rows: int = MIN_HOT_ROWS, share: float = HOT_SHARE
-) -> DataFrame:
-    """Keys with at least ``min_rows`` rows and ``share`` of all rows, and their slice count.
 
-    Never more than ``1 / share`` rows, whatever the table size.
-    """
+def hot_keys(df: DataFrame, on: Sequence[str], slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Every key with more than ``slice_rows`` rows, and into how many slices of about that size it goes."""
     sizes = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    limit = F.greatest(F.lit(min_rows), F.lit(share) * sizes.agg(F.sum("_n")).scalar())
-    slices = F.least(F.lit(MAX_SLICES), F.ceil(F.col("_n") / F.lit(min_rows)) + 1).cast("int")
-    return sizes.filter(F.col("_n") >= limit).select(*on, slices.alias("_slices"))
+    return sizes.filter(F.col("_n") > slice_rows).select(*on, F.ceil(F.col("_n") / slice_rows).alias("_slices"))
 
 
 def same(left: Sequence[str], right: Sequence[str]) -> Column:
@@ -37,21 +30,26 @@ def lookup_join(
     on: Sequence[str],
     how: str = "inner",
     salt_by: Sequence[str] | None = None,
-    min_rows: int = MIN_HOT_ROWS,
+    slice_rows: int = SLICE_ROWS,
     count_in: DataFrame | None = None,
 ) -> DataFrame:
     """Join many rows to a table with one row per key.
 
-    Rows of a hot key are spread over slices by a hash of ``salt_by`` (default:
-    all columns), and only the look-up rows of hot keys are repeated. The salt is
+    Rows of a key with more than ``slice_rows`` rows are spread over slices by a hash of ``salt_by`` (default:
+    all columns), and only the look-up rows of these keys are repeated. The salt is
     a hash, so a recomputed task yields the same rows. ``count_in`` is a cheaper frame
-    with the same keys to find the hot ones in.
+    with the same keys to count. The list of such keys is written first, so Spark broadcasts
+    it only where its size allows.
     """
     on = list(on)
     hot_names = [f"_hot{i}" for i in range(len(on))]
     lookup_names = [f"_key{i}" for i in range(len(on))]
     counted = rows if count_in is None else count_in
-    hot = F.broadcast(hot_keys(counted, on, min_rows).toDF(*hot_names, "_slices"))
+    hot = materialize(hot_keys(counted, on, slice_rows).toDF(*hot_names, "_slices"), "hot-keys")
+    if hot.isEmpty():
+        named = lookup.withColumnsRenamed(dict(zip(on, lookup_names)))
+        joined = rows.join(named, same(on, lookup_names), how)
+        return joined.select(*rows.columns, *[c for c in lookup.columns if c not in on])
 
     salt = F.pmod(F.xxhash64(*(salt_by or rows.columns)), F.col("_slices"))
     marked = rows.join(hot, same(on, hot_names), "left").select(

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from agorastat.operators.joins import MIN_HOT_ROWS, lookup_join, same
+from agorastat.operators.joins import SLICE_ROWS, lookup_join, same
 from agorastat.sources.storage import materialize
 
 
@@ -66,22 +66,24 @@ def global_ranks(
     df: DataFrame,
     ranks: Mapping[str, tuple[str, str]],
     salt_by: Sequence[str] | None = None,
-    min_rows: int = MIN_HOT_ROWS,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """W-08: rank rows of the whole table; ``ranks`` maps a new column to (kind, column).
 
     Kinds: ``rank`` and ``dense_rank`` count from the largest value down,
     ``percent_rank`` from the smallest up.
     """
+    base = materialize(df, "ranked")  # read by the counts of each column; columns do not nest
+    df = base
     for column in dict.fromkeys(c for _, c in ranks.values()):
-        places = running_counts(df, column)
+        places = running_counts(base.select(column), column)
         forms = {
             "rank": F.col("TotalRows") - F.col("Before") - F.col("Rows") + 1,
             "dense_rank": F.col("TotalValues") - F.col("ValuesBefore"),
             "percent_rank": F.coalesce(F.try_divide("Before", F.col("TotalRows") - 1), F.lit(0.0)),
         }
         wanted = [forms[kind].alias(name) for name, (kind, c) in ranks.items() if c == column]
-        df = lookup_join(df, places.select(column, *wanted), [column], salt_by=salt_by, min_rows=min_rows)
+        df = lookup_join(df, places.select(column, *wanted), [column], salt_by=salt_by, slice_rows=slice_rows, count_in=base.select(column))
     return df
 
 

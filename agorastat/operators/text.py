@@ -9,8 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agorastat.functions import text as tx
-from agorastat.operators.joins import MIN_HOT_ROWS, lookup_join
-from agorastat.sources.storage import materialize
 
 # Words without information in technical questions.
 DOMAIN_STOP_WORDS = """
@@ -20,8 +18,6 @@ way thing something anything nothing would could should might must like
 know think look see seem find give
 """.split()
 
-MAX_INLINE_LEMMAS = 10_000  # a larger dictionary is joined as a table
-
 
 def stop_words(extra: Iterable[str] = DOMAIN_STOP_WORDS) -> list[str]:
     """X-04: English stop words and the domain words."""
@@ -88,31 +84,23 @@ def word_tokens(
     lemmas: Mapping[str, str] | DataFrame | None = None,
     key: str = "Id",
     min_length: int = 3,
-    min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """X-08: letter-only tokens without stop words, each replaced by its lemma.
 
-    A small dictionary becomes part of the expression. A table with columns
-    ``token`` and ``lemma`` is joined; frequent tokens are spread over tasks. Without
-    a lemma a token stays as it is. ``key`` must identify a row.
+    The dictionary is a table with columns ``token`` and ``lemma``, or a mapping that becomes one. Only
+    the distinct tokens of a row meet it; what is found returns as one small map per
+    row. Without a lemma a token stays as it is. ``key`` must identify a row.
     """
     tokens = tx.letter_tokens(text, stop_words(()), min_length)
     if lemmas is None:
         return df.withColumn(output, tokens)
     if not isinstance(lemmas, DataFrame):
-        if len(lemmas) > MAX_INLINE_LEMMAS:
-            raise ValueError(f"pass a dictionary of more than {MAX_INLINE_LEMMAS} words as a table")
-        table = F.create_map(*[F.lit(x) for pair in lemmas.items() for x in pair])
-        mapped = F.transform(tokens, lambda t: F.coalesce(F.try_element_at(table, t), t))
-        return df.withColumn(output, mapped if lemmas else tokens)
-    single = df.select(key, F.posexplode(tokens).alias("pos", "token"))
-    single = materialize(single, "tokens")  # the hot tokens are counted first
-    found = lookup_join(single, lemmas, ["token"], "left", min_rows=min_hot_rows)
-    word = F.struct("pos", F.coalesce("lemma", "token").alias("word"))
-    regrouped = found.groupBy(key).agg(F.sort_array(F.collect_list(word)).alias("_words"))
-    result = df.join(regrouped, key, "left")
-    listed = F.coalesce(F.transform("_words", lambda w: w["word"]), tx.no_strings())
-    return result.withColumn(output, listed).drop("_words")
+        lemmas = df.sparkSession.createDataFrame(list(lemmas.items()), "token string, lemma string")
+    single = df.select(key, F.explode(F.array_distinct(tokens)).alias("token"))
+    found = single.join(lemmas.select("token", "lemma"), "token")  # a frequent token is split by adaptive execution
+    maps = found.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("token", "lemma"))).alias("_lemmas"))
+    known = F.transform(tokens, lambda t: F.coalesce(F.try_element_at("_lemmas", t), t))
+    return df.join(maps, key, "left").withColumn(output, F.when(F.col("_lemmas").isNull(), tokens).otherwise(known)).drop("_lemmas")
 
 
 def join_tokens(df: DataFrame, columns: Sequence[str], output: str = "all_tokens") -> DataFrame:

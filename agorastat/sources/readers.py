@@ -22,16 +22,39 @@ def _without_prefix(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.removeprefix(ATTRIBUTE) for c in df.columns])
 
 
+# The rest of an opening tag up to the first > outside quotes.
+_TAG_REST = """^((?:[^<>"']++|"[^"<]*+"|'[^'<]*+')*+)>"""
+
+
+def _pieces(spark: SparkSession, path: str, row_tag: str) -> DataFrame:
+    """What follows each ``<row_tag`` up to the next one, as ``piece``, and the rest of its opening tag, ``head`` (empty if broken).
+
+    A raw < cannot stand in an attribute, so the tag itself is a safe separator: a file is
+    split over tasks whatever its line breaks. What stands before the first row, and tags that only begin like the row's, go.
+    """
+    pieces = spark.read.option("lineSep", f"<{row_tag}").text(path).withColumnRenamed("value", "piece")
+    own = pieces.filter(F.col("piece").rlike(r"^(?:/?>|\s+[^\s<])"))
+    return own.withColumn("head", F.regexp_extract("piece", _TAG_REST, 0))
+
+
 def read_xml(
     spark: SparkSession, path: str, row_tag: str = "row", schema: StructType | str | None = None
 ) -> DataFrame:
-    """S-01: any XML file; attributes become columns.
+    """S-01: any XML file of row elements that do not nest; attributes become columns.
 
-    A row may span lines, so a file is read by one task. ``read_table`` splits.
+    Without a schema it is inferred by a pass of the built-in reader. The rows are then parsed
+    element by element, split over tasks; broken elements are left out.
     """
-    options = {"rowTag": row_tag, "attributePrefix": ATTRIBUTE, "ignoreSurroundingSpaces": False}
+    options = {"rowTag": row_tag, "attributePrefix": ATTRIBUTE, "ignoreSurroundingSpaces": "false"}
     reader = spark.read.format("xml").options(**options)
-    return _without_prefix((reader.schema(schema) if schema else reader).load(path))
+    fields = (reader.schema(schema) if schema else reader).load(path).schema
+    closing = f"</{row_tag}>"
+    inner = F.when(F.col("head").endswith("/>"), F.col("head")).when(
+        F.col("piece").contains(closing), F.concat(F.substring_index("piece", closing, 1), F.lit(closing))
+    )
+    elements = _pieces(spark, path, row_tag).filter("head <> ''").select(F.concat(F.lit(f"<{row_tag}"), inner).alias("x"))
+    parsed = elements.filter(F.col("x").isNotNull()).select(F.from_xml("x", fields, options | {"mode": "PERMISSIVE"}).alias("r"))
+    return _without_prefix(parsed.select("r.*"))
 
 
 def _typed(raw: Column, kind: str) -> Column:
@@ -66,19 +89,31 @@ def read_table(
     row_tag: str = "row",
     keep_malformed: bool = False,
 ) -> DataFrame:
-    """S-02: one dump table, one row element per line; only the named columns are parsed.
+    """S-02: one dump table; only the named columns are parsed.
 
-    The lines are read as text, so a single large file is split over many
-    tasks, and parsed by the built-in XML parser with every attribute as text:
-    a malformed number then costs its value and not the whole read.
+    Rows may stand on one line or span several. They are parsed by the built-in XML parser with every
+    attribute as text, so a malformed number costs its value and not the row. A row that is not
+    XML is left out; with ``keep_malformed`` it is a row of nulls whose ``Malformed`` holds its text.
     """
     wanted = [name for name, _ in schemas.columns(table) if columns is None or name in columns]
-    fields = ", ".join(f"{ATTRIBUTE}{name} STRING" for name in wanted)
-    lines = spark.read.text(path).select(F.ltrim("value").alias("line"))
-    rows = lines.filter(F.col("line").startswith(f"<{row_tag} "))
-    options = {"rowTag": row_tag, "attributePrefix": ATTRIBUTE, "ignoreSurroundingSpaces": "false"}
-    parsed = rows.select(F.from_xml("line", fields, options).alias("r"))
-    return typed_rows(_without_prefix(parsed.select("r.*")), table, keep_malformed, wanted)
+    fields = ", ".join(f"{ATTRIBUTE}{name} STRING" for name in wanted) + ", _broken_ STRING"
+    options = {
+        "rowTag": row_tag,
+        "attributePrefix": ATTRIBUTE,
+        "ignoreSurroundingSpaces": "false",
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": "_broken_",
+    }
+    attributes = F.regexp_replace("head", "/?>$", "")
+    element = F.when(F.col("head") != "", F.concat(F.lit(f"<{row_tag}"), attributes, F.lit("/>")))
+    read = _pieces(spark, path, row_tag).select("piece", F.from_xml(element, fields, options).alias("r"))
+    broken = F.col("r").isNull() | F.col("r._broken_").isNotNull()
+    good = typed_rows(_without_prefix(read.filter(~broken).select("r.*")), table, keep_malformed, wanted)
+    if not keep_malformed:
+        return good
+    text = F.array(F.concat(F.lit(f"<{row_tag}"), F.rtrim("piece")))
+    lost = [F.lit(None).cast(kind.lower()).alias(name) for name, kind in schemas.columns(table) if name in wanted]
+    return good.unionByName(read.filter(broken).select(*lost, text.alias("Malformed")))
 
 
 def read_dump(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
@@ -99,16 +134,6 @@ def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None =
     return df.select(*columns) if columns else df
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash rows over all cores when the input has fewer splits than that.
-
-    One row group is read by one task. Before costly work per row, such as on texts, a
-    small file is worth a shuffle; a large input is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def read_csv(
     spark: SparkSession,
     path: str,

@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from agorastat.functions import text as tx
-from agorastat.functions.sentiment import Lexicon
+from agorastat.functions.sentiment import INTENSIFIERS, NEGATIVE, NEGATORS, POSITIVE, Lexicon
 from agorastat.operators import aggregates as agg, features as ft, sentiment as se, text
 from bindings.registry import SPACE, query, raw_questions, sql_clean, sql_list, sql_words, table, tidy
 
@@ -212,17 +212,24 @@ def analyze(spark, d):
     return tidy(scored_documents(spark, d).select("doc_id", "lang", "SentimentScore", "SentimentScoreLabel"))
 
 
-@query("n02_default_lexicon", f"""SELECT doc_id, len(list_filter({sql_words('lower(text)')}, lambda x: x = 'best')) AS best,
-  len(list_filter({sql_words('lower(text)')}, lambda x: x = 'no')) AS no FROM documents""")
+_LISTS = {
+    "positive": POSITIVE,
+    "negative": NEGATIVE,
+    "intensifiers": list(INTENSIFIERS),
+    "negators": NEGATORS,
+}
+_LISTED_SQL = ", ".join(
+    f"len(list_filter({sql_words('lower(text)')}, lambda x: list_contains({sql_list(words)}, x))) AS {name}" for name, words in _LISTS.items()
+)
+
+
+@query("n02_default_lexicon", f"SELECT doc_id, {_LISTED_SQL} FROM documents")
 def default_lexicon(spark, d):
     default = Lexicon()
     tokens = tx.words(F.lower("text"))
-    counted = _documents(spark, d).select(
-        "doc_id",
-        F.size(F.filter(tokens, lambda w: w.isin(sorted(default.positive)))).alias("best"),
-        F.size(F.filter(tokens, lambda w: w.isin(sorted(default.negators - {"not", "never", "nothing"})))).alias("no"),
-    )
-    return tidy(counted)
+    listed = {name: sorted(getattr(default, name)) for name in _LISTS}
+    counts = [F.size(F.filter(tokens, lambda w: w.isin(words))).alias(name) for name, words in listed.items()]
+    return tidy(_documents(spark, d).select("doc_id", *counts))
 
 
 @query("n05_analyze_comments", f"{TURN_SCORES} SELECT conv_id, turn, ROUND(SentimentScore, 6) AS SentimentScore, SentimentScoreLabel FROM scored")
@@ -230,12 +237,6 @@ def analyze_comments(spark, d):
     return tidy(scored_turns(spark, d).select("conv_id", "turn", "SentimentScore", "SentimentScoreLabel"))
 
 
-@query("n06_vader_or_lexicon")
-def vader_or_lexicon(spark, d):
-    scored = se.analyze_with_vader(_documents(spark, d), "text", lexicon=LEXICON)
-    return tidy(scored.drop("text"))
-
-
 @query("n07_inclusive_labels", f"""{DOC_SCORES} SELECT doc_id, CASE WHEN SentimentScore >= 0.05 THEN 'positive' WHEN SentimentScore <= -0.05 THEN 'negative' ELSE 'neutral' END AS label FROM scored""")
 def inclusive_labels(spark, d):
     scored = se.analyze(_documents(spark, d), "text", "score", LEXICON, cut=0.05, inclusive=True)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agorastat.functions import text as tx
-from agorastat.sources.readers import read_parquet, spread
+from agorastat.sources.readers import read_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,12 +26,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-SPREAD_KEYS = {"documents": "doc_id", "pages": "page_id", "lineitem": "l_orderkey"}
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    df = read_parquet(spark, f"{folder}/{name}.parquet")
-    return spread(df, SPREAD_KEYS[name]) if name in SPREAD_KEYS else df
+    return read_parquet(spark, f"{folder}/{name}.parquet")
 
 
 def tidy(df: DataFrame, digits: int = 6) -> DataFrame:

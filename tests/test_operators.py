@@ -108,14 +108,14 @@ def test_lookup_join_is_a_plain_join(skewed, how, min_rows):
     rows, lookup, left, right = skewed
     names = dict(lookup)
     expected = [(i, k, names.get(k)) for i, k in rows if how == "left" or k in names]
-    got = lookup_join(left, right, ["k"], how, salt_by=["i"], min_rows=min_rows).collect()
+    got = lookup_join(left, right, ["k"], how, salt_by=["i"], slice_rows=min_rows).collect()
     assert sorted(map(tuple, got), key=str) == sorted(expected, key=str)
 
 
-def test_hot_keys_are_few_and_split(skewed):
+def test_hot_keys_are_split_by_their_size(skewed):
     _, _, left, _ = skewed
-    hot = {r["k"]: r["_slices"] for r in hot_keys(left, ["k"], min_rows=100, share=0.1).collect()}
-    assert hot == {0: 11}
+    hot = {r["k"]: r["_slices"] for r in hot_keys(left, ["k"], 100).collect()}
+    assert hot == {0: 10}
 
 
 def test_tag_post_lists_keep_every_id(spark):
@@ -137,7 +137,7 @@ def test_global_ranks_equal_sql(spark, ranges, monkeypatch):
     if ranges:
         plain = order_stats.running_counts
         monkeypatch.setattr(order_stats, "running_counts", lambda *a, **k: plain(*a, **k, ranges=ranges))
-    got = order_stats.global_ranks(df, spec, salt_by=["id"], min_rows=50)
+    got = order_stats.global_ranks(df, spec, salt_by=["id"], slice_rows=50)
     df.createOrReplaceTempView("ranked_rows")
     expected = spark.sql(
         """SELECT id, score, views, RANK() OVER (ORDER BY score DESC) r, DENSE_RANK() OVER (ORDER BY views DESC) d,
