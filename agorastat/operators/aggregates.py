@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from agorastat.functions.scalar import period
 from agorastat.functions.text import parse_tags
 from agorastat.operators.joins import lookup_join
+from agorastat.sources.storage import materialize
 
 
 def top(df: DataFrame, measure: str, key: str | Sequence[str], k: int | None = None) -> DataFrame:
@@ -90,7 +91,7 @@ def tag_post_lists(posts: DataFrame, list_size: int = 10_000) -> DataFrame:
     A tag of any size is spread over its parts by a hash of the id, so no task
     holds a whole popular tag and no id is dropped.
     """
-    tagged = posts.select(F.explode(parse_tags("Tags")).alias("Tag"), "Id")
+    tagged = materialize(posts.select(F.explode(parse_tags("Tags")).alias("Tag"), "Id"), "tagged")  # counted, then placed
     parts = tagged.groupBy("Tag").agg(
         F.ceil(F.count(F.lit(1)) / F.lit(list_size)).cast("int").alias("Parts")
     )

@@ -275,9 +275,50 @@ def similar_questions(
     return ranked.select(F.col("IdA").alias("QueryId"), F.col("IdB").alias("Id"), "Similarity", "Rank")
 
 
-def similar_by_id(corpus: DataFrame, value, k: int = 10, key: str = "Id", **options) -> DataFrame:
-    """A-46: the rows most similar to one row; an unknown id gives no row."""
-    return similar_questions(corpus, corpus.filter(F.col(key) == value), k=k, key=key, **options)
+def similar_by_id(
+    corpus: DataFrame, value, tokens: str = "ProcessedText", threshold: float = 0.5, k: int = 10, key: str = "Id"
+) -> DataFrame:
+    """A-46: the rows most similar to one row; an unknown id gives no row.
+
+    The tokens of that row are a scalar, so the corpus is read in one pass without any key or shuffle
+    but the choice of the ``k`` best.
+    """
+    sets = token_sets(corpus, tokens, key)
+    asked = sets.filter(F.col("Id") == value).agg(F.first("Tokens")).scalar()
+    compared = sets.withColumn("_asked", asked).filter(F.size("_asked") > 0)
+    shared = F.size(F.array_intersect("Tokens", "_asked"))
+    scored = compared.withColumn("Similarity", shared / (F.size("Tokens") + F.size("_asked") - shared))
+    best = scored.filter((F.size("Tokens") > 0) & (F.col("Similarity") >= threshold - ROUNDING))
+    best = best.orderBy(F.desc("Similarity"), "Id").limit(k).select("Id", "Similarity")
+    ranked = best.withColumn("Rank", F.row_number().over(W.orderBy(F.desc("Similarity"), "Id")))  # k rows
+    return ranked.select(F.lit(value).alias("QueryId"), "Id", "Similarity", "Rank")
+
+
+def duplicate_groups(df: DataFrame, tokens: str = "ProcessedText", key: str = "Id") -> DataFrame:
+    """A-43: ``(Id, GroupId)`` of every row; rows with the same token set are one group, named by its least id.
+
+    A row without tokens is a group of its own.
+    """
+    sets = materialize(_with_digest(token_sets(df, tokens, key)), "token-sets")
+    digest = ["_h1", "_h2"]
+    least = sets.filter(F.size("Tokens") > 0).groupBy(*digest).agg(F.min("Id").alias("GroupId"))
+    named = lookup_join(sets.select("Id", *digest), least, digest, "left", salt_by=["Id"])
+    return named.select("Id", F.coalesce("GroupId", "Id").alias("GroupId"))
+
+
+def _unordered(df: DataFrame, ids: Sequence[str]) -> DataFrame:
+    a, b = F.col(ids[0]), F.col(ids[1])
+    return df.filter(a != b).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+
+
+def confirmed_pairs(predicted: DataFrame, truth: DataFrame, predicted_ids: Sequence[str], truth_ids: Sequence[str]) -> DataFrame:
+    """J-04: predicted unordered pairs ``(a, b)`` that are true links."""
+    return _unordered(predicted, predicted_ids).join(_unordered(truth, truth_ids), ["a", "b"], "left_semi")
+
+
+def missed_pairs(predicted: DataFrame, truth: DataFrame, predicted_ids: Sequence[str], truth_ids: Sequence[str]) -> DataFrame:
+    """J-05: true unordered links ``(a, b)`` that were not predicted."""
+    return _unordered(truth, truth_ids).join(_unordered(predicted, predicted_ids), ["a", "b"], "left_anti")
 
 
 def pair_metrics(
@@ -285,20 +326,53 @@ def pair_metrics(
     truth: DataFrame,
     predicted_ids: Sequence[str] = ("QuestionId1", "QuestionId2"),
     truth_ids: Sequence[str] = ("PostId", "RelatedPostId"),
+    groups: DataFrame | None = None,
 ) -> DataFrame:
-    """A-25, A-47, J-04, J-05: one row of counts, precision, recall and F1 over unordered pairs."""
+    """A-25, A-47: one row of counts, precision, recall and F1 over unordered links.
 
-    def unordered(df: DataFrame, ids: Sequence[str], mark: str) -> DataFrame:
-        a, b = F.col(ids[0]), F.col(ids[1])
-        pairs = df.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-        return pairs.distinct().withColumn(mark, F.lit(1))
-
-    both = unordered(predicted, predicted_ids, "p").join(unordered(truth, truth_ids, "t"), ["a", "b"], "full")
-    hit, claim = F.col("t").isNotNull(), F.col("p").isNotNull()
+    With ``groups(Id, GroupId)`` both sides count in whole groups: a predicted pair stands for
+    every link between the two groups, and a group for every link inside it. The links are counted
+    from the groups' sizes and never listed.
+    """
+    p, t = _unordered(predicted, predicted_ids), _unordered(truth, truth_ids)
+    if groups is None:
+        claims = p.withColumn("links", F.lit(1).cast("bigint"))
+        true = t.withColumn("hits", F.lit(1).cast("bigint"))
+    else:
+        groups = materialize(groups.select("Id", "GroupId"), "groups")
+        sizes = groups.groupBy("GroupId").agg(F.count(F.lit(1)).alias("n"))
+
+        def by_group(pairs: DataFrame) -> DataFrame:
+            for side in ("a", "b"):
+                named = groups.select(F.col("Id").alias(side), F.col("GroupId").alias("_g"))
+                joined = pairs.join(named, side, "left")
+                pairs = joined.withColumn(side, F.coalesce("_g", side)).drop("_g")
+            return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+        def sized(pairs: DataFrame) -> DataFrame:
+            for side in ("a", "b"):
+                pairs = pairs.join(sizes.select(F.col("GroupId").alias(side), F.col("n").alias(f"n{side}")), side, "left")
+            return pairs
+
+        across = sized(by_group(p).filter("a <> b").distinct()).select(
+            "a", "b", (F.coalesce("na", F.lit(1)) * F.coalesce("nb", F.lit(1))).alias("links")
+        )
+        inside = sizes.filter("n > 1").select(
+            F.col("GroupId").alias("a"), F.col("GroupId").alias("b"), F.expr("n * (n - 1) div 2").alias("links")
+        )
+        claims = across.unionByName(inside)
+        true = by_group(t).groupBy("a", "b").agg(F.count(F.lit(1)).alias("hits"))
+    both = claims.join(true, ["a", "b"], "full").fillna(0, ["hits"])
+    claim = F.col("links").isNotNull()
     counts = both.agg(
-        F.count_if(hit & claim).alias("true_positives"),
-        F.count_if(claim & ~hit).alias("false_positives"),
-        F.count_if(hit & ~claim).alias("false_negatives"),
+        *[
+            F.coalesce(F.sum(F.when(condition, value)), F.lit(0)).alias(name)
+            for name, condition, value in (
+                ("true_positives", claim, F.col("hits")),
+                ("false_positives", claim, F.col("links") - F.col("hits")),
+                ("false_negatives", ~claim, F.col("hits")),
+            )
+        ]
     )
     tp, fp, fn = (F.col(c) for c in counts.columns)
     zero = F.lit(0.0)

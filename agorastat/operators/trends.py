@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from agorastat.functions.scalar import growth, period
 from agorastat.operators.aggregates import per_tag
+from agorastat.sources.storage import materialize
 
 STEPS = {
     "day": "INTERVAL 1 DAY",
@@ -60,9 +61,10 @@ def trending_tags(
     """W-02, J-02, A-24: growth at the last period of tags with enough questions.
 
     The total comes from a window with the same partitioning as the lag, so
-    there is one shuffle and no join. ``latest`` skips the scan for the last period.
+    there is one shuffle and no join. Without ``latest`` the series is written once to find its last period.
     """
     if latest is None:
+        trends = materialize(trends, "trends")  # the facts are read once, the series twice
         latest = trends.agg(F.max("Period")).scalar()
     totals = F.sum("QuestionCount").over(W.partitionBy("Tag"))
     current = with_growth(trends, lookback).withColumn("TotalQuestions", totals)
@@ -157,6 +159,7 @@ def yearly_growth(trends: DataFrame) -> DataFrame:
 
 def emerging_tags(trends: DataFrame, min_growth: float = 50.0, min_questions: int = 50) -> DataFrame:
     """W-07: tags with strong growth in the last year."""
+    trends = materialize(trends, "trends")
     latest = trends.agg(F.max(F.year("Period"))).scalar()
     return yearly_growth(trends).filter(
         (F.col("Year") == latest)

@@ -107,12 +107,12 @@ def posts_with_tag_names(posts: DataFrame, tags: DataFrame, key: str = "Id") ->
     vocabulary = posts.select(F.explode("TagsList").alias("Tag")).distinct()
     starts = F.sequence(F.lit(1), F.length("Tag"))
     suffixes = vocabulary.filter(F.length("Tag") > 0).select("Tag", F.explode(starts).alias("s"))
-    lengths = F.sequence(F.lit(1), F.length("Tag") - F.col("s") + 1)
-    pieces = suffixes.select("Tag", "s", F.explode(lengths).alias("n")).select(
+    names = tags.select("TagName").distinct()
+    lengths = names.select(F.length("TagName").alias("n")).distinct()  # only lengths that a name has
+    pieces = suffixes.join(lengths, F.col("n") <= F.length("Tag") - F.col("s") + 1).select(
         "Tag", F.expr("substring(Tag, s, n)").alias("TagName")
     ).distinct()
-    names = pieces.join(tags.select("TagName").distinct(), "TagName")
-    per_tag = names.groupBy("Tag").agg(F.collect_set("TagName").alias("_names"))
+    per_tag = pieces.join(names, "TagName").groupBy("Tag").agg(F.collect_set("TagName").alias("_names"))
     found = lookup_join(
         posts.select(key, F.explode(F.array_distinct("TagsList")).alias("Tag")), per_tag, ["Tag"], salt_by=[key]
     )

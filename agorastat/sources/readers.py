@@ -106,12 +106,12 @@ def read_table(
     }
     attributes = F.regexp_replace("head", "/?>$", "")
     element = F.when(F.col("head") != "", F.concat(F.lit(f"<{row_tag}"), attributes, F.lit("/>")))
-    read = _pieces(spark, path, row_tag).select("piece", F.from_xml(element, fields, options).alias("r"))
+    read = _pieces(spark, path, row_tag).select("piece", "head", F.from_xml(element, fields, options).alias("r"))
     broken = F.col("r").isNull() | F.col("r._broken_").isNotNull()
     good = typed_rows(_without_prefix(read.filter(~broken).select("r.*")), table, keep_malformed, wanted)
     if not keep_malformed:
         return good
-    text = F.array(F.concat(F.lit(f"<{row_tag}"), F.rtrim("piece")))
+    text = F.array(F.concat(F.lit(f"<{row_tag}"), F.when(F.col("head") == "", F.rtrim("piece")).otherwise(F.col("head"))))
     lost = [F.lit(None).cast(kind.lower()).alias(name) for name, kind in schemas.columns(table) if name in wanted]
     return good.unionByName(read.filter(broken).select(*lost, text.alias("Malformed")))
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from agorastat.functions import text as tx, vectors as vec
 from agorastat.operators import similarity as sim
+from agorastat.sources.storage import materialize
 from bindings.language import TOKENS, _documents, _tokens
 from bindings.registry import query, sql_words, table, tidy
 
@@ -106,29 +109,38 @@ def similar_to_one(spark, d):
     return tidy(sim.similar_by_id(tokens, first, k=10, threshold=0.2))
 
 
-@query("a44_minhash_signatures")
+@query("a44_minhash_signatures", f"""WITH {DOC_TOKENS}, s AS (SELECT list_sort(list_distinct(t)) AS t FROM docs WHERE len(t) > 0)
+SELECT 5 AS tables, COUNT(*) AS rows, 0 AS unlike_copies FROM s""")
 def minhash_signatures(spark, d):
+    """Five tables for every row with a token, and equal sets have equal signatures."""
     tokens = _as_ids(_tokens(spark, d), "doc_id", "ProcessedText")
     signed = sim.minhash_model(tokens).transform(tokens)
-    return signed.select("Id", F.size("hashes").cast("bigint").alias("tables"))
+    shown = F.array(*[vector_to_array(F.col("hashes")[i]) for i in range(5)])
+    sets = signed.select(F.xxhash64(F.sort_array(F.array_distinct("ProcessedText"))).alias("s"), shown.alias("h"), F.size("hashes").alias("n"))
+    per_set = sets.groupBy("s").agg(F.min("n").alias("n"), F.count(F.lit(1)).alias("rows"), F.count_distinct("h").alias("kinds"))
+    return tidy(per_set.agg(F.min("n").alias("tables"), F.sum("rows").alias("rows"), F.count_if(F.col("kinds") > 1).alias("unlike_copies")))
 
 
-TRUTH = """truth AS (SELECT a.doc_id AS PostId, b.doc_id AS RelatedPostId FROM documents a JOIN (SELECT text, lang, MIN(doc_id) AS doc_id FROM documents GROUP BY ALL) b
-  ON a.text = b.text AND a.lang = b.lang AND a.doc_id <> b.doc_id)"""
+TRUTH = """truth AS (SELECT * FROM (SELECT doc_id AS PostId, lag(doc_id) OVER (PARTITION BY text, lang ORDER BY doc_id) AS RelatedPostId
+  FROM documents) WHERE RelatedPostId IS NOT NULL)"""
 
 
 def _truth(spark, d):
-    """Pairs of a repeated text with its first copy, later id first."""
-    docs = _documents(spark, d).select("doc_id", "text", "lang")
-    first = docs.groupBy("text", "lang").agg(F.min("doc_id").alias("RelatedPostId"))
-    return docs.join(first, ["text", "lang"]).filter(F.col("doc_id") != F.col("RelatedPostId")).select(
-        F.col("doc_id").alias("PostId"), "RelatedPostId"
-    )
+    """Links of each repeated text with the copy before it, so most are between later copies."""
+    before = F.lag("doc_id").over(W.partitionBy("text", "lang").orderBy("doc_id"))
+    linked = _documents(spark, d).select(F.col("doc_id").alias("PostId"), before.alias("RelatedPostId"))
+    return linked.filter("RelatedPostId IS NOT NULL")
+
 
+GROUPS_SQL = """member AS (SELECT sets.Id, g.Id AS GroupId FROM sets JOIN g USING (t)
+  UNION ALL SELECT Id, Id FROM docs WHERE len(t) = 0 OR t IS NULL)"""
 
-METRICS_SQL = f"""WITH {DOC_TOKENS}, {sql_pairs('docs', 0.85)}, {TRUTH},
-j AS (SELECT p.IdA IS NOT NULL AS claim, t.a IS NOT NULL AS hit FROM pairs p
-  FULL JOIN (SELECT least(PostId, RelatedPostId) AS a, greatest(PostId, RelatedPostId) AS b FROM truth) t ON p.IdA = t.a AND p.IdB = t.b),
+METRICS_SQL = f"""WITH {DOC_TOKENS}, {sql_pairs('docs', 0.85)}, {TRUTH}, {GROUPS_SQL},
+claimed AS (
+  SELECT x.Id AS a, y.Id AS b FROM member x JOIN member y ON x.GroupId = y.GroupId AND x.Id < y.Id
+  UNION SELECT least(x.Id, y.Id), greatest(x.Id, y.Id) FROM near_pairs p JOIN member x ON x.GroupId = p.IdA JOIN member y ON y.GroupId = p.IdB),
+j AS (SELECT p.a IS NOT NULL AS claim, t.a IS NOT NULL AS hit FROM claimed p
+  FULL JOIN (SELECT DISTINCT least(PostId, RelatedPostId) AS a, greatest(PostId, RelatedPostId) AS b FROM truth) t ON p.a = t.a AND p.b = t.b),
 n AS (SELECT COUNT(*) FILTER (claim AND hit) AS tp, COUNT(*) FILTER (claim AND NOT hit) AS fp, COUNT(*) FILTER (hit AND NOT claim) AS fn FROM j)
 """
 
@@ -136,7 +148,14 @@ n AS (SELECT COUNT(*) FILTER (claim AND hit) AS tp, COUNT(*) FILTER (claim AND N
 @query("a47_duplicate_metrics", METRICS_SQL + """SELECT tp AS true_positives, fp AS false_positives, fn AS false_negatives,
   ROUND(tp / (tp + fp), 6) AS precision, ROUND(tp / (tp + fn), 6) AS recall, ROUND(2 * tp / (2 * tp + fp + fn), 6) AS f1_score FROM n""")
 def duplicate_metrics(spark, d):
-    return tidy(sim.pair_metrics(document_pairs(spark, d), _truth(spark, d), ["IdA", "IdB"]))
+    tokens = materialize(_as_ids(_tokens(spark, d), "doc_id", "ProcessedText"), "tokens")
+    pairs = sim.similar_pairs(tokens, threshold=0.85)
+    return tidy(sim.pair_metrics(pairs, _truth(spark, d), ["IdA", "IdB"], groups=sim.duplicate_groups(tokens)))
+
+
+@query("a43_duplicate_groups", f"WITH {DOC_TOKENS}, {sql_pairs('docs', 0.85)}, {GROUPS_SQL} SELECT Id, GroupId FROM member")
+def duplicate_groups(spark, d):
+    return sim.duplicate_groups(_as_ids(_tokens(spark, d), "doc_id", "ProcessedText"))
 
 
 PREDICTED = """predicted AS (SELECT l_orderkey AS QuestionId1, l_partkey AS QuestionId2 FROM lineitem WHERE l_quantity > 20),
@@ -155,8 +174,8 @@ def _line_pairs(spark, d):
 
 
 @query("a25_pair_metrics", f"""WITH {PREDICTED},
-p AS (SELECT DISTINCT least(QuestionId1, QuestionId2) AS a, greatest(QuestionId1, QuestionId2) AS b FROM predicted),
-t AS (SELECT DISTINCT least(PostId, RelatedPostId) AS a, greatest(PostId, RelatedPostId) AS b FROM actual),
+p AS (SELECT DISTINCT least(QuestionId1, QuestionId2) AS a, greatest(QuestionId1, QuestionId2) AS b FROM predicted WHERE QuestionId1 <> QuestionId2),
+t AS (SELECT DISTINCT least(PostId, RelatedPostId) AS a, greatest(PostId, RelatedPostId) AS b FROM actual WHERE PostId <> RelatedPostId),
 n AS (SELECT (SELECT COUNT(*) FROM p JOIN t USING (a, b)) AS tp, (SELECT COUNT(*) FROM p) AS np, (SELECT COUNT(*) FROM t) AS nt)
 SELECT tp AS true_positives, np - tp AS false_positives, nt - tp AS false_negatives, ROUND(tp / np, 6) AS precision,
   ROUND(tp / nt, 6) AS recall, ROUND(2 * tp / (np + nt), 6) AS f1_score FROM n""")
@@ -164,22 +183,21 @@ def pair_metrics(spark, d):
     return tidy(sim.pair_metrics(*_line_pairs(spark, d)))
 
 
-@query("j04_confirmed_pairs", """SELECT DISTINCT l_orderkey AS Id, l_suppkey AS Supplier FROM lineitem
-WHERE l_returnflag = 'R' AND (l_orderkey, l_suppkey) IN (SELECT (l_orderkey, l_suppkey) FROM lineitem WHERE l_returnflag = 'A')""")
+PAIR_SETS = f"""WITH {PREDICTED},
+p AS (SELECT DISTINCT least(QuestionId1, QuestionId2) AS a, greatest(QuestionId1, QuestionId2) AS b FROM predicted WHERE QuestionId1 <> QuestionId2),
+t AS (SELECT DISTINCT least(PostId, RelatedPostId) AS a, greatest(PostId, RelatedPostId) AS b FROM actual WHERE PostId <> RelatedPostId)
+"""
+PAIR_IDS = (["QuestionId1", "QuestionId2"], ["PostId", "RelatedPostId"])
+
+
+@query("j04_confirmed_pairs", PAIR_SETS + "SELECT a, b FROM p JOIN t USING (a, b)")
 def confirmed_pairs(spark, d):
-    lines = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("Id"), F.col("l_suppkey").alias("Supplier"), "l_returnflag")
-    pairs = lines.filter(F.col("l_returnflag") == "R").select("Id", "Supplier").distinct()
-    truth = lines.filter(F.col("l_returnflag") == "A").select("Id", "Supplier").distinct()
-    return pairs.join(truth, ["Id", "Supplier"], "inner")
+    return sim.confirmed_pairs(*_line_pairs(spark, d), *PAIR_IDS)
 
 
-@query("j05_missed_pairs", """SELECT DISTINCT l_orderkey AS Id, l_suppkey AS Supplier FROM lineitem a
-WHERE l_returnflag = 'R' AND NOT EXISTS (SELECT 1 FROM lineitem b WHERE b.l_returnflag = 'A' AND a.l_orderkey = b.l_orderkey AND a.l_suppkey = b.l_suppkey)""")
+@query("j05_missed_pairs", PAIR_SETS + "SELECT a, b FROM t WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.a = t.a AND p.b = t.b)")
 def missed_pairs(spark, d):
-    lines = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("Id"), F.col("l_suppkey").alias("Supplier"), "l_returnflag")
-    truth = lines.filter(F.col("l_returnflag") == "R").select("Id", "Supplier").distinct()
-    found = lines.filter(F.col("l_returnflag") == "A").select("Id", "Supplier")
-    return truth.join(found, ["Id", "Supplier"], "left_anti")
+    return sim.missed_pairs(*_line_pairs(spark, d), *PAIR_IDS)
 
 
 # --- vectors ----------------------------------------------------------------
@@ -214,8 +232,6 @@ def nearest_to_group_mean(spark, d):
 @query("a48_document_vectors")
 def document_vectors(spark, d):
     vectors, _ = sim.document_vectors(_tokens(spark, d), vector_size=20, max_iter=1)
-    from pyspark.ml.functions import vector_to_array
-
     return tidy(vectors.select("doc_id", F.size(vector_to_array("word2vec_features")).alias("size")))
 
 

@@ -117,3 +117,23 @@ def test_document_vectors(spark):
     assert vectors.select(F.col("word2vec_features")).first()[0].size == 4
     again, _ = sim.document_vectors(df, model=model)
     assert again.first()["word2vec_features"] == vectors.first()["word2vec_features"]
+
+
+def test_metrics_count_links_between_later_copies(spark):
+    rows = [(1, ["a", "b"]), (2, ["b", "a"]), (3, ["a", "b"]), (4, ["a", "b", "c"]), (5, []), (6, None)]
+    df = spark.createDataFrame(rows, "Id int, ProcessedText array<string>")
+    groups = sim.duplicate_groups(df)
+    assert {r["Id"]: r["GroupId"] for r in groups.collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 6}
+    pairs = sim.similar_pairs(df, threshold=0.6)
+    truth = spark.createDataFrame([(2, 3), (4, 3), (5, 6)], "PostId int, RelatedPostId int")
+    row = sim.pair_metrics(pairs, truth, ["IdA", "IdB"], groups=groups).first()
+    # claimed: three links inside the group of copies, three from it to row 4
+    assert (row["true_positives"], row["false_positives"], row["false_negatives"]) == (2, 4, 1)
+
+
+def test_confirmed_and_missed_pairs(spark):
+    predicted = spark.createDataFrame([(1, 2), (2, 1), (3, 3), (4, 5)], "x int, y int")
+    truth = spark.createDataFrame([(2, 1), (5, 6)], "p int, q int")
+    ids = (["x", "y"], ["p", "q"])
+    assert [tuple(r) for r in sim.confirmed_pairs(predicted, truth, *ids).collect()] == [(1, 2)]
+    assert [tuple(r) for r in sim.missed_pairs(predicted, truth, *ids).collect()] == [(5, 6)]

@@ -148,3 +148,51 @@ def test_stages(spark, tmp_path):
     assert set(stages.run(spark, paths, "ml", ml={"algorithm": "logistic"})) == {"ml"}
     with pytest.raises(ValueError):
         stages.run(spark, paths, "other")
+
+
+ODD_ROWS = """
+<?xml version="1.0"?>
+<posts>
+  <row Id="1" Score="5" Title="a &gt; b > c"/><row Id="2" Score="x" Title='q"t'/>
+  <row\tId="3" Score="7"
+      Title="several lines"
+  />
+  <row Id="4" Title="broken
+  <row Id="5" Score="1"></row>
+  <rowset Id="9"/>
+  <row Id="6" Id="7"/>
+</posts>
+"""
+
+
+def test_rows_of_any_layout_are_read(spark, tmp_path):
+    (tmp_path / "Posts.xml").write_text(ODD_ROWS)
+    path = str(tmp_path / "Posts.xml")
+    rows = readers.read_table(spark, "posts", path, ["Id", "Score", "Title"], keep_malformed=True).collect()
+    good = {r["Id"]: (r["Score"], r["Title"], r["Malformed"]) for r in rows if r["Id"] is not None}
+    assert good == {1: (5, "a > b > c", []), 2: (None, 'q"t', ["Score"]), 3: (7, "several lines", []), 5: (1, None, [])}
+    broken = [r["Malformed"][0].split() for r in rows if r["Id"] is None]
+    assert sorted(broken) == [["<row", 'Id="4"', 'Title="broken'], ["<row", 'Id="6"', 'Id="7"/>']]
+    assert {r["Id"] for r in readers.read_table(spark, "posts", path, ["Id"]).collect()} == {1, 2, 3, 5}
+    element = readers.read_xml(spark, path, "row", "_Id BIGINT, _Title STRING").filter("Id IS NOT NULL").collect()
+    assert {r["Id"]: r["Title"] for r in element} == {1: "a > b > c", 2: 'q"t', 3: "several lines", 5: None}
+
+
+def test_one_line_of_many_rows_is_split(spark, tmp_path):
+    rows = "".join(f'<row Id="{i}" Title="{"x" * 400}"/>' for i in range(5000))
+    (tmp_path / "Posts.xml").write_text(f"<posts>{rows}</posts>")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        read = readers.read_table(spark, "posts", str(tmp_path / "Posts.xml"), ["Id", "Title"])
+        assert read.rdd.getNumPartitions() > 4
+        assert read.select("Id").distinct().count() == read.count() == 5000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_scratch_tables_go_with_their_owner(spark):
+    with storage.scratch(spark) as folder:
+        df = storage.materialize(spark.range(5), "numbers")
+        assert folder in df.inputFiles()[0] and storage.path_exists(spark, folder)
+    assert not storage.path_exists(spark, folder)
