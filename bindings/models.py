@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from agorastat.functions import text as tx, vectors as vec
 from agorastat.operators import aggregates as agg, quality, topics
 from agorastat.plans import stages
-from agorastat.sources.storage import scratch_path
+from agorastat.sources.storage import materialize, scratch_path
 from agorastat.sources.writers import save_xml
 from bindings.language import _documents, _tokens
 from bindings.registry import POSTS, posts, query, raw_posts, sql_words, table, tidy
@@ -18,15 +18,24 @@ FEATURES = ["BodyLength", "BodyWordCount", "Sentences", "Digits"]
 
 def _topics(spark, d):
     tokens = _tokens(spark, d)
-    return tokens, topics.fit_topics(tokens, num_topics=5, max_iterations=5)
+    return tokens, topics.fit_topics(tokens, num_topics=5, max_iterations=10)
 
 
-@query("a40_topics")
+@query("a40_topics", "SELECT COUNT(*) AS documents, COUNT(DISTINCT doc_id) AS ids, 0 AS odd_totals, 0 AS wrong_topics FROM documents")
 def fitted_topics(spark, d):
+    """Each document once, its shares add up to one (or none without words), and its topic has the largest."""
     tokens, model = _topics(spark, d)
-    topic = model.transform(tokens)
-    share = F.aggregate(vector_to_array("TopicDistribution"), F.lit(0.0), lambda a, x: a + x)
-    return tidy(topic.select("doc_id", "DominantTopic", share.alias("total")))
+    shares = vector_to_array("TopicDistribution")
+    topic = model.transform(tokens).select("doc_id", "DominantTopic", shares.alias("s"))
+    total = F.aggregate("s", F.lit(0.0), lambda a, x: a + x)
+    return tidy(
+        topic.agg(
+            F.count(F.lit(1)).alias("documents"),
+            F.count_distinct("doc_id").alias("ids"),
+            F.count_if((F.abs(total - 1) > 1e-6) & (F.abs(total) > 1e-6)).alias("odd_totals"),
+            F.count_if((total > 0.5) & (F.get("s", F.col("DominantTopic").cast("int")) != F.array_max("s"))).alias("wrong_topics"),
+        )
+    )
 
 
 @query("a41_argmax", """SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS BIGINT) AS top FROM embeddings""")
@@ -63,14 +72,25 @@ def _clustered(spark, d):
     return topics.cluster(vectors, 10, "v", max_iterations=20)[0]
 
 
-@query("a50_clusters")
+@query("a50_clusters", "SELECT COUNT(*) AS vectors, COUNT(DISTINCT vec_id) AS ids, 0 AS without_cluster FROM embeddings")
 def clusters(spark, d):
-    return tidy(_clustered(spark, d).select("vec_id", "ClusterId"))
+    """Every vector once, in one of the ten clusters."""
+    outside = F.col("ClusterId").isNull() | ~F.col("ClusterId").between(0, 9)
+    found = _clustered(spark, d).agg(
+        F.count(F.lit(1)).alias("vectors"), F.count_distinct("vec_id").alias("ids"), F.count_if(outside).alias("without_cluster")
+    )
+    return tidy(found)
 
 
-@query("a15_cluster_sizes")
+@query("a15_cluster_sizes", "SELECT COUNT(*) AS total, 0 AS unlike FROM embeddings")
 def cluster_sizes(spark, d):
-    return tidy(agg.distribution(_clustered(spark, d), "ClusterId"))
+    """The sizes add up to the table and equal a count of the clusters' members."""
+    clustered = materialize(_clustered(spark, d).select("vec_id", "ClusterId"), "clusters")
+    sizes = agg.distribution(clustered, "ClusterId")
+    (size,) = [c for c in sizes.columns if c != "ClusterId"][:1]
+    counted = clustered.select("ClusterId").withColumn("one", F.lit(1)).groupBy("ClusterId").agg(F.sum("one").alias("own"))
+    joined = sizes.join(counted, "ClusterId", "full")
+    return tidy(joined.agg(F.sum(size).alias("total"), F.count_if(~F.col(size).eqNullSafe(F.col("own"))).alias("unlike")))
 
 
 @query("a51_topic_fit")
@@ -131,7 +151,7 @@ def prepared_features(spark, d):
 
 @query("a52_random_forest")
 def random_forest(spark, d):
-    _, metrics = quality.train(labelled(spark, d), features=FEATURES, key="Id", numTrees=20, maxDepth=5)
+    _, metrics = quality.train(labelled(spark, d), features=FEATURES, key="Id")
     return _metrics(spark, metrics)
 
 
@@ -188,49 +208,82 @@ def metrics(spark, d):
     return tidy(quality.metrics_table(_predictions(spark, d)))
 
 
-@query("a56_predictions")
+@query("a56_predictions", "SELECT COUNT(*) AS rows, 0 AS wrong_sides, 0 AS odd_shares FROM documents JOIN labels USING (doc_id)")
 def predictions(spark, d):
+    """One prediction per row, on the side of one half that its probability is on."""
     rows = labelled(spark, d)
     model, _ = quality.train(rows, "logistic", FEATURES, key="Id")
-    scored = quality.predict(model, rows.drop("QualityLabel"), FEATURES)
-    return tidy(scored.withColumn("probability", vector_to_array("probability")[1]))
+    scored = quality.predict(model, rows.drop("QualityLabel"), FEATURES).withColumn("p", vector_to_array("probability"))
+    good = F.col("p")[1]
+    return tidy(
+        scored.agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if((good > 0.5) != (F.col("prediction") == 1)).alias("wrong_sides"),
+            F.count_if(F.abs(F.col("p")[0] + good - 1) > 1e-9).alias("odd_shares"),
+        )
+    )
 
 
 @query("a57_feature_importance")
 def feature_importance(spark, d):
     rows = labelled(spark, d)
-    model, _ = quality.train(rows, features=FEATURES, key="Id", numTrees=10, maxDepth=4)
+    model, _ = quality.train(rows, features=FEATURES, key="Id")
     return tidy(quality.feature_importance(model, FEATURES, rows))
 
 
-@query("a58_saved_classifier")
+def _differences(fitted, stored, key, column):
+    """Rows, and rows whose value a stored model gives otherwise."""
+    both = fitted.select(key, F.col(column).alias("x")).join(stored.select(key, F.col(column).alias("y")), key, "full")
+    return tidy(both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("x").eqNullSafe(F.col("y"))).alias("unlike")))
+
+
+@query("a58_saved_classifier", "SELECT COUNT(*) AS rows, 0 AS unlike FROM documents JOIN labels USING (doc_id)")
 def saved_classifier(spark, d):
     rows = labelled(spark, d)
-    model, _ = quality.train(rows, features=FEATURES, key="Id", numTrees=5, maxDepth=3)
+    model, _ = quality.train(rows, features=FEATURES, key="Id")
     path = scratch_path(spark, "classifier")
     quality.save_model(model, path)
-    return tidy(quality.predict(quality.load_model(path), rows, FEATURES, include_probability=False))
+    stored = quality.predict(quality.load_model(path), rows, FEATURES, include_probability=False)
+    return _differences(quality.predict(model, rows, FEATURES, include_probability=False), stored, "Id", "prediction")
 
 
-@query("a58_saved_topics")
+@query("a58_saved_topics", "SELECT COUNT(*) AS rows, 0 AS unlike FROM documents")
 def saved_topics(spark, d):
     tokens, model = _topics(spark, d)
     path = scratch_path(spark, "topics")
     model.save(path)
-    return tidy(topics.TopicModel.load(path).transform(tokens).select("doc_id", "DominantTopic"))
+    return _differences(model.transform(tokens), topics.TopicModel.load(path).transform(tokens), "doc_id", "DominantTopic")
+
+
+SPLIT_FACTS = "SELECT 0 AS in_both, 0 AS lost, 0 AS shared_keys, 1 AS near_share"
+
+
+def _split_facts(rows, train, test, key, share):
+    """Rows in both parts, rows in none, keys on both sides, and whether the test part has about its share."""
+    columns = rows.columns
+    sides = [df.groupBy(*columns).agg(F.count(F.lit(1)).alias(n)) for df, n in ((rows, "n"), (train, "a"), (test, "b"))]
+    joined = sides[0].join(sides[1], columns, "full").join(sides[2], columns, "full").fillna(0, ["n", "a", "b"])
+    keys = train.select(key).distinct().join(test.select(key).distinct(), key).agg(F.count(F.lit(1)).alias("k"))
+    facts = joined.agg(
+        F.count_if(F.col("a") + F.col("b") > F.col("n")).alias("in_both"),
+        F.count_if(F.col("a") + F.col("b") < F.col("n")).alias("lost"),
+        keys.scalar().alias("shared_keys"),
+        (F.abs(F.sum("b") / F.sum("n") - share) < share / 4).alias("near_share"),
+    )
+    return tidy(facts)
 
 
-@query("t06_split", """SELECT COUNT(*) AS Rows FROM lineitem""")
+@query("t06_split", SPLIT_FACTS)
 def split(spark, d):
-    train, test = quality.split(table(spark, d, "lineitem"), 0.3)
-    return train.unionByName(test).agg(F.count(F.lit(1)).alias("Rows"))
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.monotonically_increasing_id().alias("row"))
+    rows = materialize(rows, "rows")
+    return _split_facts(rows, *quality.split(rows, 0.3), "row", 0.3)
 
 
-@query("t06_split_by_key")
+@query("t06_split_by_key", SPLIT_FACTS)
 def split_by_key(spark, d):
-    train, test = quality.split(table(spark, d, "orders"), 0.2, key="o_orderkey")
-    marked = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
-    return agg.distribution(marked, "part")
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
+    return _split_facts(rows, *quality.split(rows, 0.2, key="l_orderkey"), "l_orderkey", 0.2)
 
 
 @query("a59_stages", """SELECT 'etl' AS Stage, COUNT(*) AS Rows FROM pages JOIN events ON page_id = event_id WHERE page_id % 2 = 0

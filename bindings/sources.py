@@ -34,7 +34,8 @@ def read_table(spark, d):
 
 @query("s03_read_dump", """SELECT 'posts' AS name, COUNT(*) AS Rows FROM pages JOIN events ON page_id = event_id
 UNION ALL SELECT 'comments', COUNT(*) FROM conversations UNION ALL SELECT 'users', COUNT(*) FROM customer
-UNION ALL SELECT 'badges', COUNT(*) FROM events""")
+UNION ALL SELECT 'badges', COUNT(*) FROM events UNION ALL SELECT 'tags', COUNT(*) FROM part
+UNION ALL SELECT 'votes', COUNT(*) FROM orders UNION ALL SELECT 'post_links', COUNT(*) FROM lineitem""")
 def read_dump(spark, d):
     folder = scratch_path(spark, "s03")
     comments = table(spark, d, "conversations").select(
@@ -42,7 +43,11 @@ def read_dump(spark, d):
     )
     users = table(spark, d, "customer").select(F.col("c_custkey").alias("Id"), F.col("c_name").alias("DisplayName"))
     badges = table(spark, d, "events").select(F.col("event_id").alias("Id"), F.col("event_type").alias("Name"))
-    for name, df in {"posts": raw_posts(spark, d), "comments": comments, "users": users, "badges": badges}.items():
+    tags = table(spark, d, "part").select(F.col("p_partkey").alias("Id"), F.col("p_name").alias("TagName"))
+    votes = table(spark, d, "orders").select(F.col("o_orderkey").alias("Id"), F.col("o_custkey").alias("PostId"))
+    links = table(spark, d, "lineitem").select(F.col("l_linenumber").alias("Id"), F.col("l_orderkey").alias("PostId"))
+    written = {"posts": raw_posts(spark, d), "comments": comments, "users": users, "badges": badges}
+    for name, df in (written | {"tags": tags, "votes": votes, "post_links": links}).items():
         writers.save_xml(df, f"{folder}/{schemas.FILES[name]}", name)
     counts = [
         df.agg(F.count("Id").alias("Rows")).select(F.lit(name).alias("name"), "Rows")
@@ -92,11 +97,12 @@ def json(spark, d):
     return tidy(readers.read_json(spark, path, source.schema))
 
 
-@query("s09_json_inferred", "SELECT event_id, event_type, ROUND(value, 6) AS value, props FROM events")
+@query("s09_json_inferred", """SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, ROUND(value, 6) AS value, props FROM events""")
 def json_inferred(spark, d):
     path = scratch_path(spark, "s09")
-    writers.save_json(table(spark, d, "events").drop("ts", "user_id"), path)
-    return tidy(readers.read_json(spark, path))
+    writers.save_json(table(spark, d, "events"), path)
+    read = readers.read_json(spark, path)  # a time in JSON is text, so its type is not inferred
+    return tidy(read.withColumn("ts", F.to_timestamp("ts")))
 
 
 @query("s10_cached_view", "SELECT o_orderstatus, COUNT(*) AS Rows FROM orders GROUP BY ALL")
@@ -120,17 +126,40 @@ def repartition_and_save(spark, d):
     return readers.read_parquet(spark, path).groupBy("event_type").agg(F.count(F.lit(1)).alias("Rows"))
 
 
-@query("s13_sample")
+SAMPLE_FACTS = "SELECT 0 AS strange, 0 AS repeated, 0 AS unlike, 1 AS near_share"
+
+
+def _sample_facts(rows, kept, again, key, share):
+    """Sampled rows that are not in the table, repeated ones, ones that a second draw lacks or adds, and whether the share is near."""
+    counted = kept.groupBy(*kept.columns).agg(F.count(F.lit(1)).alias("n"))
+    whole = rows.groupBy(*kept.columns).agg(F.count(F.lit(1)).alias("m"))
+    second = again.select(*[F.col(c).alias(c) for c in kept.columns]).groupBy(*kept.columns).agg(F.count(F.lit(1)).alias("k"))
+    joined = whole.join(counted, kept.columns, "full").join(second, kept.columns, "full").fillna(0, ["n", "m", "k"])
+    return tidy(
+        joined.agg(
+            F.count_if((F.col("n") > 0) & (F.col("m") == 0)).alias("strange"),
+            F.count_if(F.col("n") > F.col("m")).alias("repeated"),
+            F.count_if(F.col("n") != F.col("k")).alias("unlike"),
+            (F.abs(F.sum("n") / F.sum("m") - share) < share / 2).alias("near_share"),
+        )
+    )
+
+
+@query("s13_sample", SAMPLE_FACTS)
 def sample(spark, d):
-    kept = writers.sample(table(spark, d, "orders"), 0.1, key="o_orderkey")
-    return kept.agg(F.count(F.lit(1)).alias("Rows"), F.min("o_orderkey").alias("first"))
+    rows = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    kept = writers.sample(rows, 0.1, key="o_orderkey")
+    return _sample_facts(rows, kept, writers.sample(rows.repartition(7), 0.1, key="o_orderkey"), "o_orderkey", 0.1)
 
 
-@query("s14_sample_copy")
+@query("s14_sample_copy", SAMPLE_FACTS)
 def sample_copy(spark, d):
     path = scratch_path(spark, "s14")
-    writers.create_sample(spark, f"{d}/lineitem.parquet", path, 0.01, key="l_orderkey")
-    return readers.read_parquet(spark, path).agg(F.count(F.lit(1)).alias("Rows"))
+    writers.create_sample(spark, f"{d}/lineitem.parquet", path, 0.05, key="l_orderkey")
+    columns = ["l_orderkey", "l_linenumber", "l_extendedprice"]
+    rows = table(spark, d, "lineitem").select(*columns)
+    kept = readers.read_parquet(spark, path).select(*columns)
+    return _sample_facts(rows, kept, writers.sample(rows, 0.05, key="l_orderkey"), "l_orderkey", 0.05)
 
 
 def _pages(spark, d):
@@ -151,21 +180,22 @@ def _pages(spark, d):
 @query("s16_api_pages", """SELECT o_orderkey AS question_id, o_orderpriority || ' order' AS title, o_orderstatus || ' x' AS body,
   '<' || o_orderstatus || '><' || o_orderpriority || '>' AS tags_str, CASE WHEN o_orderstatus = 'P' THEN 0 ELSE CAST(floor(o_totalprice / 10000) AS BIGINT) END AS score,
   CAST(0 AS BIGINT) AS view_count, CASE WHEN o_orderstatus = 'F' THEN CAST(1 AS BIGINT) ELSE 0 END AS is_answered,
-  strftime(o_orderdate, '%Y-%m-%d') AS creation_date, o_custkey AS owner_reputation, CAST(0 AS BIGINT) AS owner_user_id FROM orders""")
+  strftime(o_orderdate, '%Y-%m-%d') AS creation_date, o_custkey AS owner_reputation, CAST(0 AS BIGINT) AS owner_user_id,
+  o_orderstatus || '|' || o_orderpriority AS tags, CAST(0 AS BIGINT) AS answer_count FROM orders""")
 def api_pages(spark, d):
     path = scratch_path(spark, "s16")
     writers.save_json(_pages(spark, d), path)
-    return tidy(readers.read_api_pages(spark, path).drop("tags", "answer_count"))
+    return tidy(readers.read_api_pages(spark, path).withColumn("tags", F.array_join("tags", "|")))
 
 
 @query("s17_shaped_questions", f"""WITH {QUESTIONS} SELECT question_id, score, view_count, answer_count, strftime(creation_date, '%Y-%m-%d') AS creation_date, year, month,
-  title_length, body_length, CAST(tag_count AS BIGINT) AS tag_count FROM questions""")
+  title_length, body_length, CAST(tag_count AS BIGINT) AS tag_count, title, body, array_to_string(tags, '|') AS tags FROM questions""")
 def shaped_questions(spark, d):
     shaped = readers.shape_questions(raw_questions(spark, d))
     return tidy(
         shaped.select(
             "question_id", "score", "view_count", "answer_count", "creation_date", "year", "month", "title_length",
-            "body_length", "tag_count",
+            "body_length", "tag_count", "title", "body", F.array_join("tags", "|").alias("tags"),
         )
     )
 
