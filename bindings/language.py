@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from agorastat.functions import text as tx
 from agorastat.functions.sentiment import INTENSIFIERS, NEGATIVE, NEGATORS, POSITIVE, Lexicon
 from agorastat.operators import aggregates as agg, features as ft, sentiment as se, text
+from agorastat.sources.storage import scratch_path
 from bindings.registry import SPACE, query, raw_questions, sql_clean, sql_list, sql_words, table, tidy
 
 
@@ -321,20 +322,39 @@ f AS (SELECT Token, COUNT(DISTINCT doc_id) AS Df FROM u GROUP BY Token HAVING Df
 c AS (SELECT doc_id, COUNT(*) AS n FROM u SEMI JOIN f USING (Token) GROUP BY doc_id)
 SELECT doc_id, (SELECT COUNT(*) FROM f) AS size, CAST(coalesce(n, 0) AS DOUBLE) AS total FROM documents LEFT JOIN c USING (doc_id)""")
 def count_vectors(spark, d):
-    vectors, _ = ft.count_vectors(_tokens(spark, d), vocab_size=1 << 17)
+    vectors, _ = ft.count_vectors(_tokens(spark, d), vocab_size=(1 << 31) - 1)  # every term
     return _vector(vectors, "CountFeatures")
 
 
-@query("v03_word_vectors")
+@query("v03_word_vectors", "SELECT COUNT(*) AS rows, 100 AS size, 0 AS unlike, 0 AS unlike_stored FROM documents")
 def word_vectors(spark, d):
-    vectors, _ = ft.word_vectors(_tokens(spark, d), vector_size=20, max_iter=1)
-    return _vector(vectors, "Word2VecFeatures").select("doc_id", "size")
+    """Each vector is the mean of its words' vectors, and a stored model gives the same ones."""
+    tokens = _tokens(spark, d).select("doc_id", "ProcessedText")
+    vectors, model = ft.word_vectors(tokens)
+    path = scratch_path(spark, "word-vectors")
+    ft.save_vectors(model, path)
+    stored = ft.load_vectors(path).transform(tokens).select("doc_id", vector_to_array("Word2VecFeatures").alias("stored"))
+    words = model.getVectors().select("word", F.posexplode(vector_to_array("vector")).alias("i", "x"))
+    said = tokens.select("doc_id", F.size("ProcessedText").alias("n"), F.explode("ProcessedText").alias("word"))
+    summed = said.join(words, "word").groupBy("doc_id", "i").agg((F.sum("x") / F.first("n")).alias("mean"))
+    given = vectors.select("doc_id", vector_to_array("Word2VecFeatures").alias("v"))
+    cells = given.select("doc_id", F.posexplode("v").alias("i", "v")).join(summed, ["doc_id", "i"], "left")
+    unlike = cells.agg(F.count_if(F.abs(F.col("v") - F.coalesce("mean", F.lit(0.0))) > 1e-4)).scalar()
+    both = given.join(stored, "doc_id")
+    return tidy(
+        both.agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.max(F.size("v")).alias("size"),
+            unlike.alias("unlike"),
+            F.count_if(F.col("v") != F.col("stored")).alias("unlike_stored"),
+        )
+    )
 
 
 @query("v04_similar_words")
 def similar_words(spark, d):
     tokens = text.word_tokens(_documents(spark, d), "text", "ProcessedText", key="doc_id").select("doc_id", "ProcessedText")
-    _, model = ft.word_vectors(tokens, vector_size=20, max_iter=1)
+    _, model = ft.word_vectors(tokens)
     word = agg.word_frequency(tokens, k=1).first()["Word"]
     return tidy(ft.similar_words(model, word))
 
@@ -374,11 +394,19 @@ def minmax_scale(spark, d):
     return _cells(scaled, "x_scaled")
 
 
-@query("v07_combined_vectors")
+@query("v07_combined_vectors", "SELECT COUNT(*) AS rows, 1001 AS size, 0 AS unlike FROM documents")
 def combined_vectors(spark, d):
+    """The numeric column stands behind the thousand slots of the text."""
     vectors, _ = ft.tfidf(_tokens(spark, d), num_features=1000)
     sized = vectors.withColumn("n", F.size("ProcessedText").cast("double"))
-    return _vector(ft.combine_vectors(sized, "TfidfFeatures", ["n"]), "CombinedFeatures")
+    cells = ft.combine_vectors(sized, "TfidfFeatures", ["n"]).select("n", vector_to_array("CombinedFeatures").alias("v"))
+    return tidy(
+        cells.agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.max(F.size("v")).alias("size"),
+            F.count_if(F.element_at("v", -1) != F.col("n")).alias("unlike"),
+        )
+    )
 
 
 @query("v08_question_vectors")

@@ -229,10 +229,16 @@ def nearest_to_group_mean(spark, d):
     return tidy(sim.nearest_to_group_mean(_vectors(spark, d), "Label"))
 
 
-@query("a48_document_vectors")
+@query("a48_document_vectors", "SELECT COUNT(*) AS rows, 100 AS size, 0 AS unlike FROM documents")
 def document_vectors(spark, d):
-    vectors, _ = sim.document_vectors(_tokens(spark, d), vector_size=20, max_iter=1)
-    return tidy(vectors.select("doc_id", F.size(vector_to_array("word2vec_features")).alias("size")))
+    """Vectors of a model fitted here, equal to those of the same model given."""
+    tokens = _tokens(spark, d).select("doc_id", "ProcessedText")
+    fitted, model = sim.document_vectors(tokens)
+    given, _ = sim.document_vectors(tokens, model=model)
+    both = fitted.select("doc_id", vector_to_array("word2vec_features").alias("v")).join(
+        given.select("doc_id", vector_to_array("word2vec_features").alias("w")), "doc_id"
+    )
+    return tidy(both.agg(F.count(F.lit(1)).alias("rows"), F.max(F.size("v")).alias("size"), F.count_if(F.col("v") != F.col("w")).alias("unlike")))
 
 
 @query("j06_jaccard_of_turns", f"""WITH t AS (SELECT conv_id, turn, list_distinct({sql_words('lower(text)')}) AS w FROM conversations)
