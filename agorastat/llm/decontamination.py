@@ -76,13 +76,13 @@ class Block:
     def window_shingles(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Window, position and key of the shingles of the windows that use this shingle length."""
         own = np.flatnonzero(np.minimum(self.lengths, SHINGLE) == size)
-        row, at = [], []
+        row, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for p in range(self.windows.shape[1] - size + 1):
             inside = own[self.lengths[own] >= p + size]
             row.append(inside)
             at.append(np.full(len(inside), p))
         row, at = np.concatenate(row), np.concatenate(at)
-        return row, at, self.key([self.windows[row, at + k] for k in range(size)]) if len(row) else row
+        return row, at, self.key([self.windows[row, at + k] for k in range(size)]) if len(row) else at
 
     def choose_prefixes(self, counts: dict[tuple[int, int], int]) -> None:
         """Of each window the rarest shingle. Exact containment needs every shingle, so one is enough;
