@@ -1,23 +1,25 @@
 """Removal of repeated byte strings by two-stage suffix sorting (operator 7).
 
-A repeated string of ``LENGTH`` bytes holds the same smallest k-gram wherever it stands. Each
-document therefore gives its smallest k-grams (anchors) with the bytes around them (contexts);
+A repeated string of ``LENGTH`` bytes holds the same smallest k-grams wherever it stands. Each
+document therefore gives the k-grams that are smallest in one of its strings (anchors) with the bytes around them (contexts);
 strings that repeat meet through equal anchors:
 
 1. Contexts that are equal as a whole are settled by their hashes: all but the first are covered.
 2. Of the anchors that still have different contexts, one copy of each context is
    suffix-sorted together with the others, and strings equal in ``LENGTH`` bytes are neighbours.
-3. An anchor with very many contexts sends the hashes of its strings instead, which are combined
-   before the shuffle, so that no task holds them all.
+3. An anchor with very many different contexts sends the hashes of its strings instead, which are
+   combined before the shuffle, so that no task holds them all.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,9 +27,10 @@ from agorastat.llm.common import materialize, utf8
 
 LENGTH = 100
 KGRAM = 32
-SEGMENT = 1 << 20  # bytes a task holds as numbers at a time
-SORTED_BYTES = 1 << 20  # contexts a task sorts at a time
-HOT_ROWS = 20_000  # contexts of an anchor beyond the usual that make it frequent
+SEGMENT = 1 << 19  # bytes a task holds as numbers at a time
+SORTED_BYTES = 1 << 19  # contexts a task sorts at a time
+MANY_CONTEXTS = 20_000  # different contexts of an anchor that one task still sorts
+HOT_ROWS = 1_000_000  # rows of an anchor, beyond the usual, that are no longer sent to one task
 BUCKETS = 1 << 14
 FILTER_BITS = 1 << 28  # the largest filter that is broadcast (32 MB)
 
@@ -41,34 +44,41 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+@functools.lru_cache(maxsize=4)
+def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse."""
+    out = []
+    for factor in (base, pow(base, -1, 1 << 64)):
+        powers = np.full(n, np.uint64(factor))
+        powers[0] = 1
+        out.append(np.cumprod(powers))
+    return out[0], out[1]
+
+
 class _Rolling:
     """Hashes of any stretch of a buffer: a polynomial modulo 2^64 from running sums."""
 
     def __init__(self, buffer: np.ndarray, base: int):
         n = len(buffer)
-        down = np.full(n + 1, np.uint64(base))
-        down[0] = 1
-        down = np.cumprod(down)
-        up = np.full(n + 1, np.uint64(pow(base, -1, 1 << 64)))
-        up[0] = 1
-        self.up = np.cumprod(up)
+        down, self.up = _powers(base, 1 << (n + 1).bit_length())
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum((buffer.astype(np.uint64) + np.uint64(1)) * down[:n], out=self.sums[1:])
 
     def of(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         return (self.sums[end] - self.sums[begin]) * self.up[begin]
 
+    def every(self, size: int) -> np.ndarray:
+        return (self.sums[size:] - self.sums[:-size]) * self.up[: len(self.sums) - size]
+
 
-def _smallest(h: np.ndarray, width: int) -> np.ndarray:
-    """Position of the first smallest of every ``width`` neighbours."""
-    value, at, span = h, np.arange(len(h)), 1
+def _extreme(values: np.ndarray, width: int, pick) -> np.ndarray:
+    """``pick`` (np.minimum or np.maximum) over every ``width`` neighbours."""
+    span = 1
     while span < width:
         step = min(span, width - span)
-        a, b = value[:-step], value[step:]
-        right = b < a
-        value, at = np.where(right, b, a), np.where(right, at[step:], at[:-step])
+        values = pick(values[:-step], values[step:])
         span += step
-    return at
+    return values
 
 
 class _Segments:
@@ -94,11 +104,12 @@ class _Segments:
     def anchors(self) -> tuple[np.ndarray, ...]:
         """Anchor, context hash, document, begin and length of the context, place in the buffer."""
         width = self.length - self.kgram + 1
-        every = np.arange(len(self.buffer) - self.kgram + 1)
-        grams = _mixed(self.rolling.of(every, every + self.kgram))
-        chosen = _smallest(grams, width)[self.starts]
-        new = np.concatenate([[True], (chosen[1:] != chosen[:-1]) | (self.part[1:] != self.part[:-1])])
-        p, part = chosen[new], self.part[new]
+        grams = _mixed(self.rolling.every(self.kgram))
+        least = _extreme(grams, width, np.minimum)  # of each string
+        own = np.zeros(len(least) + 2 * (width - 1), np.uint64)  # 0 where no string of one document starts
+        own[self.starts + width - 1] = least[self.starts]
+        p = np.flatnonzero((_extreme(own, width, np.maximum) == grams) & (grams > 0))
+        part = np.searchsorted(self.at, p, side="right") - 1
         low = np.maximum(p - (self.length - self.kgram), self.at[part])
         high = np.minimum(p + self.length, self.at[part + 1])
         shape = (p - low).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25) + (high - p).astype(np.uint64)
@@ -128,6 +139,7 @@ def _segments(batch: pa.RecordBatch, length: int, kgram: int) -> Iterator[_Segme
                 held, size = [], 0
     if held:
         yield _Segments(held, length, kgram)
+    pa.default_memory_pool().release_unused()
 
 
 def _firsts(a: np.ndarray, c: np.ndarray, doc: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -140,8 +152,8 @@ def _firsts(a: np.ndarray, c: np.ndarray, doc: np.ndarray, begin: np.ndarray) ->
     return order, new, later
 
 
-_ROWS = "a long, c long, doc long, place long"
-COVER, CONTEXT, STRING = 0, 1, 2
+_ROWS = "key long, a long, c long, doc long, place long"
+COVER, CONTEXT, MANY = 0, 1, 2  # kinds of rows; MANY: a context, or string, of a frequent anchor
 
 
 def _place(begin: np.ndarray, size: np.ndarray, kind: int | np.ndarray) -> np.ndarray:
@@ -160,9 +172,9 @@ def _hot_buckets(keyed: DataFrame, length: int, kgram: int, hot_rows: int) -> np
         total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for segments in _segments(batch, length, kgram):
-                a, c, doc, begin, *_ = segments.anchors()
-                order, new, _ = _firsts(a, c, doc, begin)
-                total += np.bincount((a[order][new] >> np.uint64(50)).astype(np.int64), minlength=BUCKETS)
+                # one of each context in a buffer, as in the rows that follow
+                a, c, *_ = segments.anchors()
+                total += np.bincount((a[np.unique(a ^ c, return_index=True)[1]] >> np.uint64(50)).astype(np.int64), minlength=BUCKETS)
         some = np.flatnonzero(total)
         yield _arrow("bucket n", some, total[some])
 
@@ -172,29 +184,30 @@ def _hot_buckets(keyed: DataFrame, length: int, kgram: int, hot_rows: int) -> np
     return n > hot_rows + 4 * int(n.sum()) // BUCKETS
 
 
+def _once(a, c, doc, begin, size, kind, key) -> Iterator[pa.RecordBatch]:
+    """The first of equal (a, c), and as covers those that come later in the same buffer."""
+    order, new, later = _firsts(a, c, doc, begin)
+    place = _place(begin, size, kind)
+    first = order[new]
+    yield _arrow("key a c doc place", key[first], a[first], c[first], doc[first], place[first])
+    rest = order[later]
+    spread = _mixed(doc[rest].view(np.uint64))
+    yield _arrow("key a c doc place", spread, spread, np.zeros(len(rest), np.int64), doc[rest], _place(begin[rest], size[rest], COVER))
+
+
 def _anchor_rows(keyed: DataFrame, hot: np.ndarray, length: int, kgram: int) -> DataFrame:
-    """One row per context, or per string of a frequent anchor's contexts, once per buffer; what comes
-    later in the same buffer is covered already."""
+    """One row per context, once per buffer; what comes later in the same buffer is covered already.
+
+    Equal anchors go to one task. Those of frequent anchors are spread by their context, which keeps equal
+    contexts together, and count as having many.
+    """
 
     def run(batches):
         for batch in batches:
             for segments in _segments(batch, length, kgram):
-                a, c, doc, begin, size, low = segments.anchors()
+                a, c, doc, begin, size, _ = segments.anchors()
                 often = hot[(a >> np.uint64(50)).astype(np.int64)]
-                kind = np.full(len(a), CONTEXT)
-                if often.any():
-                    wa, wc, wdoc, wbegin = segments.strings(low[often], size[often], doc[often], begin[often])
-                    rest = ~often
-                    a, c, doc, begin = (np.concatenate([x[rest], y]) for x, y in ((a, wa), (c, wc), (doc, wdoc), (begin, wbegin)))
-                    size = np.concatenate([size[rest], np.full(len(wa), length)])
-                    kind = np.concatenate([kind[rest], np.full(len(wa), STRING)])
-                order, new, later = _firsts(a, c, doc, begin)
-                a, c, doc, place = a[order], c[order], doc[order], _place(begin, size, kind)[order]
-                yield _arrow("a c doc place", a[new], c[new], doc[new], place[new])
-                cover = doc[later]
-                s, n = begin[order][later], size[order][later]
-                spread = _mixed(cover.view(np.uint64))
-                yield _arrow("a c doc place", spread, np.zeros(len(cover), np.int64), cover, _place(s, n, COVER))
+                yield from _once(a, c, doc, begin, size, np.where(often, MANY, CONTEXT), np.where(often, _mixed(a ^ _mixed(c)), a))
 
     return keyed.mapInArrow(run, _ROWS)
 
@@ -222,35 +235,36 @@ def _whole_groups(batches, key: str, enough: int, weight) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _settle(rows: DataFrame) -> DataFrame:
-    """Covers from equal contexts (kind 0), and the first of each context of anchors that have several (kind 1)."""
+def _settle(rows: DataFrame, many: int) -> DataFrame:
+    """Covers from equal contexts (kind 0), and the first of each context of anchors that have several
+    (kind 1) or many (kind 2)."""
 
     def run(batches):
-        for table in _whole_groups(batches, "a", 200_000, lambda b: b.num_rows):
+        for table in _whole_groups(batches, "key", 200_000, lambda b: b.num_rows):
             a, c, doc, place = (table.column(x).to_numpy() for x in ("a", "c", "doc", "place"))
-            begin, size, kind = place >> 14, (place >> 2) & 0xFFF, place & 3
-            local = kind == COVER
+            local = (place & 3) == COVER
             yield _arrow("kind a doc place", np.zeros(local.sum(), np.int64), a[local], doc[local], place[local])
-            a, c, doc, begin, size, kind, place = (x[~local] for x in (a, c, doc, begin, size, kind, place))
+            a, c, doc, place = (x[~local] for x in (a, c, doc, place))
             if not len(a):
                 continue
-            order, new, later = _firsts(a, c, doc, begin)
-            a, doc, kind, place = a[order], doc[order], kind[order], place[order]
+            order, new, later = _firsts(a, c, doc, place >> 14)
+            a, doc, place = a[order], doc[order], place[order]
             yield _arrow("kind a doc place", np.zeros(later.sum(), np.int64), a[later], doc[later], place[later])
-            first = new & (kind == CONTEXT)
-            a, doc, place = a[first], doc[first], place[first]
-            several = np.zeros(len(a), bool)
-            same = a[1:] == a[:-1]
-            several[1:] |= same
-            several[:-1] |= same
-            yield _arrow("kind a doc place", np.ones(several.sum(), np.int64), a[several], doc[several], place[several])
+            a, doc, place = a[new], doc[new], place[new]
+            heads = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
+            sizes = np.diff(np.append(heads, len(a)))
+            n = np.repeat(sizes, sizes)
+            kind = np.where(((place & 3) == MANY) | (n > many), MANY, CONTEXT)
+            several = (n > 1) | (kind == MANY)
+            yield _arrow("kind a doc place", kind[several], a[several], doc[several], place[several])
 
-    ordered = rows.repartition("a").sortWithinPartitions("a")
-    return ordered.mapInArrow(run, "kind long, a long, doc long, place long")
+    ordered = rows.repartition("key").sortWithinPartitions("key")
+    return ordered.select("key", "a", "c", "doc", "place").mapInArrow(run, "kind long, a long, doc long, place long")
 
 
-def _marks(a: np.ndarray, doc: np.ndarray, begin: np.ndarray, bits: int) -> np.ndarray:
-    h = _mixed(a.view(np.uint64) ^ _mixed(doc.view(np.uint64) * np.uint64(3) + begin.view(np.uint64)))
+def _marks(kind: int, a: np.ndarray, doc: np.ndarray, begin: np.ndarray, bits: int) -> np.ndarray:
+    key = doc.view(np.uint64) * np.uint64(3) + begin.view(np.uint64) * np.uint64(5) + np.uint64(kind)
+    h = _mixed(a.view(np.uint64) ^ _mixed(key))
     return np.stack([(h ^ (h >> np.uint64(s)) * np.uint64(0x9FB21C651E98DF25)) & np.uint64(bits - 1) for s in (0, 17, 31)])
 
 
@@ -260,52 +274,69 @@ def _filter(open_contexts: DataFrame, bits: int) -> np.ndarray:
     def mark(batches):
         table = np.zeros(bits // 64, np.uint64)
         for batch in batches:
-            a, doc, place = (batch.column(x).to_numpy() for x in ("a", "doc", "place"))
-            for m in _marks(a, doc, place >> 14, bits):
-                np.bitwise_or.at(table, m >> np.uint64(6), np.uint64(1) << (m & np.uint64(63)))
+            kind, a, doc, place = (batch.column(x).to_numpy() for x in ("kind", "a", "doc", "place"))
+            for k, own in ((CONTEXT, kind == CONTEXT), (MANY, kind == MANY), (MANY + 1, kind == MANY)):
+                for m in _marks(k, a[own], doc[own], place[own] >> 14, bits):
+                    np.bitwise_or.at(table, m >> np.uint64(6), np.uint64(1) << (m & np.uint64(63)))
         some = np.flatnonzero(table)
         yield _arrow("word value", some, table[some])
 
-    parts = open_contexts.select("a", "doc", "place").mapInArrow(mark, "word long, value long")
+    parts = open_contexts.select("kind", "a", "doc", "place").mapInArrow(mark, "word long, value long")
     rows = parts.groupBy("word").agg(F.bit_or("value").alias("value")).toArrow()
     table = np.zeros(bits // 64, np.uint64)
     table[rows.column("word").to_numpy()] = rows.column("value").to_numpy().view(np.uint64)
     return table
 
 
-_CONTEXTS = "a long, doc long, begin long, bytes binary"
+_CONTEXTS = "key long, a long, c long, doc long, place long, bytes binary"
 
 
-def _context_bytes(keyed: DataFrame, open_contexts: DataFrame, length: int, kgram: int, filter_bits: int) -> DataFrame:
-    """The bytes of the open contexts. While a filter of them stays small it is broadcast and the texts stay where
-    they are; beyond that the texts are joined to their contexts by document. The filter may let further
-    contexts of the same documents pass, which changes no result."""
+def _context_rows(keyed: DataFrame, open_contexts: DataFrame, length: int, kgram: int, filter_bits: int) -> DataFrame:
+    """The bytes of the contexts of anchors that have several, and the strings (as hashes) of those that have many.
+
+    While a filter of the open contexts stays small it is broadcast and the texts stay where
+    they are; beyond that the texts meet their contexts by document. The filter may let further
+    contexts of the same documents pass, which changes no result.
+    """
     n = open_contexts.count()
     bits = 1 << max(16, (16 * n).bit_length())
     if bits <= filter_bits:
         table = keyed.sparkSession.sparkContext.broadcast(_filter(open_contexts, bits))
+        source = keyed.withColumn("_open", F.lit(None).cast("array<struct<kind:long,a:long,place:long>>"))
+    else:
+        table = None
+        by_doc = open_contexts.groupBy("doc").agg(F.collect_list(F.struct("kind", "a", "place")).alias("_open"))
+        source = keyed.join(by_doc, F.col("_doc") == F.col("doc")).select("_doc", "_text", "_open")
+
+    def chosen(wanted: set | None, kind: int, a, doc, begin) -> np.ndarray:
+        if wanted is not None:
+            return np.array([(kind, x, d, s) in wanted for x, d, s in zip(a.view(np.int64).tolist(), doc.tolist(), begin.tolist())], bool)
+        known = np.ones(len(a), bool)
+        for k in (kind, MANY + 1) if kind == MANY else (kind,):  # a wrong MANY would cost a row per string: two tests
+            for m in _marks(k, a, doc, begin, bits):
+                known &= (table.value[m >> np.uint64(6)] >> (m & np.uint64(63))) & np.uint64(1) == 1
+        return known
+
+    def search(batches):
+        for batch in batches:
+            wanted = None
+            if table is None:
+                pairs = zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())
+                wanted = {(o["kind"], o["a"], doc, o["place"] >> 14) for doc, listed in pairs for o in listed}
+            for segments in _segments(batch, length, kgram):
+                a, _, doc, begin, size, low = segments.anchors()
+                at = np.flatnonzero(chosen(wanted, CONTEXT, a, doc, begin))
+                raw = segments.buffer.tobytes()
+                found = pa.array([raw[x : x + y] for x, y in zip(low[at].tolist(), size[at].tolist())], pa.binary())
+                rows = _arrow("key a c doc place", a[at], a[at], a[at], doc[at], _place(begin[at], size[at], CONTEXT))
+                yield pa.RecordBatch.from_arrays([*rows.columns, found], names=[*rows.schema.names, "bytes"])
+                at = np.flatnonzero(chosen(wanted, MANY, a, doc, begin))
+                if len(at):
+                    wa, wc, wdoc, wbegin = segments.strings(low[at], size[at], doc[at], begin[at])
+                    for rows in _once(wa, wc, wdoc, wbegin, np.full(len(wa), length), MANY, wa):
+                        yield pa.RecordBatch.from_arrays([*rows.columns, pa.nulls(rows.num_rows, pa.binary())], names=[*rows.schema.names, "bytes"])
 
-        def search(batches):
-            held = table.value
-            for batch in batches:
-                for segments in _segments(batch, length, kgram):
-                    a, _, doc, begin, size, low = segments.anchors()
-                    known = np.ones(len(a), bool)
-                    for m in _marks(a, doc, begin, bits):
-                        known &= (held[m >> np.uint64(6)] >> (m & np.uint64(63))) & np.uint64(1) == 1
-                    at = np.flatnonzero(known)
-                    raw = segments.buffer.tobytes()
-                    found = [raw[x : x + y] for x, y in zip(low[at].tolist(), size[at].tolist())]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(a[at].view(np.int64)), pa.array(doc[at]), pa.array(begin[at]), pa.array(found, pa.binary())],
-                        names=["a", "doc", "begin", "bytes"],
-                    )
-
-        return keyed.mapInArrow(search, _CONTEXTS)
-    place = F.col("place")
-    wanted = open_contexts.select("a", "doc", F.shiftright(place, 14).alias("begin"), F.shiftright(place, 2).bitwiseAND(F.lit(0xFFF)).alias("size"))
-    cut = F.substring(F.col("_text").cast("binary"), F.col("begin").cast("int") + 1, F.col("size").cast("int"))
-    return wanted.join(keyed.distinct(), wanted["doc"] == keyed["_doc"]).select("a", "doc", "begin", cut.alias("bytes"))
+    return source.mapInArrow(search, _CONTEXTS)
 
 
 def suffix_order(text: np.ndarray, real: np.ndarray, depth: int) -> np.ndarray:
@@ -364,7 +395,7 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarr
     """Bytes, up to ``depth``, that each suffix of the order shares with the one before it."""
     rows = np.lib.stride_tricks.sliding_window_view(text, depth)
     out = np.zeros(len(order), np.int64)
-    step = max(1, (32 << 20) // depth)
+    step = max(1, (8 << 20) // depth)
     for i in range(1, len(order), step):
         here, there = rows[order[i : i + step]], rows[order[i - 1 : i - 1 + len(order[i : i + step])]]
         differ = here != there
@@ -389,7 +420,7 @@ def _repeated_ranges(table: pa.Table, length: int) -> tuple[np.ndarray, np.ndarr
     whole = offset + length <= size[of]
     order, of, offset = order[whole], of[whole], offset[whole]
     group = np.cumsum(common_prefixes(text, order, length) < length)
-    doc, begin = table.column("doc").to_numpy()[of], table.column("begin").to_numpy()[of] + offset
+    doc, begin = table.column("doc").to_numpy()[of], (table.column("place").to_numpy() >> 14)[of] + offset
     by = np.lexsort([begin, doc, group])
     group, doc, begin, of = group[by], doc[by], begin[by], of[by]
     head = np.maximum.accumulate(np.where(np.concatenate([[True], group[1:] != group[:-1]]), np.arange(len(group)), 0))
@@ -404,9 +435,21 @@ def _repeated_ranges(table: pa.Table, length: int) -> tuple[np.ndarray, np.ndarr
     return doc[new], begin[new], begin[last] + length
 
 
-def _sorted_covers(contexts: DataFrame, length: int) -> DataFrame:
+def _last_covers(rows: DataFrame, length: int) -> DataFrame:
+    """Ranges from sorting the contexts of each anchor, and from equal strings of anchors with many."""
+
     def run(batches):
-        for table in _whole_groups(batches, "a", SORTED_BYTES, lambda b: b.column("bytes").nbytes):
+        for table in _whole_groups(batches, "key", SORTED_BYTES, lambda b: 20 * b.num_rows + b.column("bytes").nbytes):
+            kind = table.column("place").to_numpy() & 3
+            strings = table.filter(pa.array(kind != CONTEXT))
+            if strings.num_rows:
+                a, c, doc, place = (strings.column(x).to_numpy() for x in ("a", "c", "doc", "place"))
+                local = (place & 3) == COVER
+                order, _, later = _firsts(a[~local], c[~local], doc[~local], place[~local] >> 14)
+                doc = np.concatenate([doc[local], doc[~local][order][later]])
+                place = np.concatenate([place[local], place[~local][order][later]])
+                yield _arrow("doc s e", doc, place >> 14, (place >> 14) + ((place >> 2) & 0xFFF))
+            table = table.filter(pa.array(kind == CONTEXT))
             a = table.column("a").to_numpy()
             same = a[1:] == a[:-1]
             several = np.zeros(len(a), bool)
@@ -416,26 +459,31 @@ def _sorted_covers(contexts: DataFrame, length: int) -> DataFrame:
             if table.num_rows:
                 yield _arrow("doc s e", *_repeated_ranges(table, length))
 
-    ordered = contexts.repartition("a").sortWithinPartitions("a")
-    return ordered.mapInArrow(run, "doc long, s long, e long")
+    ordered = rows.repartition("key").sortWithinPartitions("key")
+    return ordered.select("key", "a", "c", "doc", "place", "bytes").mapInArrow(run, "doc long, s long, e long")
 
 
 def repeated_ranges(
-    keyed: DataFrame, length: int = LENGTH, kgram: int = KGRAM, hot_rows: int = HOT_ROWS, filter_bits: int = FILTER_BITS
+    keyed: DataFrame,
+    length: int = LENGTH,
+    kgram: int = KGRAM,
+    many: int = MANY_CONTEXTS,
+    hot_rows: int = HOT_ROWS,
+    filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
     """``(doc, s, e)``: byte ranges of ``keyed(_doc, _text)`` that ``length``-byte strings cover which also start
     earlier (smaller _doc, or the same and an earlier byte). Ranges may overlap."""
     hot = _hot_buckets(keyed, length, kgram, hot_rows)
-    settled = materialize(_settle(_anchor_rows(keyed, hot, length, kgram)), "settled")
+    settled = materialize(_settle(_anchor_rows(keyed, hot, length, kgram), many), "settled")
     place = F.col("place")
     covers = settled.filter("kind = 0").select(
         "doc", F.shiftright(place, 14).alias("s"), (F.shiftright(place, 14) + F.shiftright(place, 2).bitwiseAND(F.lit(0xFFF))).alias("e")
     )
-    contexts = _context_bytes(keyed, settled.filter("kind = 1"), length, kgram, filter_bits)
-    return covers.unionByName(_sorted_covers(contexts, length))
+    rows = _context_rows(keyed, settled.filter("kind > 0"), length, kgram, filter_bits)
+    return covers.unionByName(_last_covers(rows, length))
 
 
-def _union(ranges: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:
+def _union(ranges: Iterable[tuple[int, int]], size: int) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for s, e in sorted(ranges):
         e = min(e, size)
@@ -457,7 +505,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, kgram: int = KGRAM, ke
     """
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     keyed = docs.select(key.alias("_doc"), F.coalesce("text", F.lit("")).alias("_text"))
-    ranges = repeated_ranges(keyed, length, kgram, **limits).groupBy("doc").agg(F.collect_set(F.struct("s", "e")).alias("ranges"))
+    ranges = repeated_ranges(keyed, length, kgram, **limits).groupBy("doc").agg(F.collect_list(F.struct("s", "e")).alias("ranges"))
     joined = docs.select("doc_id", key.alias("_doc"), F.coalesce("text", F.lit("")).alias("_text")).join(
         ranges, F.col("_doc") == F.col("doc"), "left"
     )
@@ -466,8 +514,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, kgram: int = KGRAM, ke
     def run(batches):
         for batch in batches:
             out = []
-            for doc, text, found in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), batch.column(2).to_pylist()):
-                gone = _union([(r["s"], r["e"]) for r in found or []], len(text))
+            ranges = batch.column(2)
+            places = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(ranges), 0).to_numpy(zero_copy_only=False))])
+            low, high = (x.to_numpy(zero_copy_only=False) for x in ranges.flatten().flatten())
+            for n, (doc, text) in enumerate(zip(batch.column(0).to_pylist(), utf8(batch.column(1)))):
+                own = slice(places[n], places[n + 1])
+                gone = _union(zip(low[own].tolist(), high[own].tolist()), len(text))
                 kept, at = [], 0
                 for s, e in gone:
                     kept.append(text[at:s])
