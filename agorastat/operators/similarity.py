@@ -76,12 +76,12 @@ def _ordered(sets: DataFrame) -> DataFrame:
     return ranked.withColumns({"Tokens": order, "Size": F.size("Tokens")}).drop("_freq")
 
 
-def _keys(sets: DataFrame, threshold: float, key_rows: int, key_tokens: int) -> DataFrame:
+def _keys(sets: DataFrame, threshold: float, two_sided: bool, key_rows: int, key_tokens: int) -> DataFrame:
     """``(Key, Blocks, Depth, Pos, Side, Id, Size, Loose)``: where a set meets its candidates.
 
     A pair that shares a crowded key shares a longer key too, so a row of a crowded
     key is replaced by rows that add each later token of its prefix. ``Loose`` counts
-    the prefix tokens of the set that were replaced.
+    the prefix tokens of the set that were replaced. Two-sided, side 1 keeps only keys that side 0 has.
     """
     required = _required(F.col("Size"), threshold)
     row = ["Side", "Id", "Size", "Loose"]
@@ -93,6 +93,10 @@ def _keys(sets: DataFrame, threshold: float, key_rows: int, key_tokens: int) ->
     level = sets.select("Side", "Id", "Size", F.lit(0).cast("bigint").alias("Loose"), F.posexplode(first).alias("Pos", "Key"))
     done = []
     for depth in range(1, key_tokens + 1):
+        if two_sided:
+            asked = level.filter(F.col("Side") == 0)
+            answering = level.filter(F.col("Side") == 1).join(asked.select("Key").distinct(), "Key", "left_semi")
+            level = asked.unionByName(answering)
         level = materialize(level, "keys")
         sizes = level.groupBy("Key").agg(F.count(F.lit(1)).alias("_n"))
         crowded = materialize(sizes.filter(F.col("_n") > key_rows), "crowded")
@@ -128,8 +132,12 @@ def _keys(sets: DataFrame, threshold: float, key_rows: int, key_tokens: int) ->
     return materialize(reduce(DataFrame.unionByName, done), "keys")
 
 
-def _block_sides(keys: DataFrame, left: Column, right: Column) -> tuple[DataFrame, DataFrame]:
-    """Both sides of the key join; a crowded key becomes a grid of block pairs."""
+def _block_sides(keys: DataFrame, two_sided: bool) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the key join; a crowded key is compared in blocks.
+
+    With one side, the blocks form a grid of pairs. With two, side 1 is dealt over the blocks without a copy and
+    only the rows of side 0 are repeated.
+    """
     own = F.pmod(F.xxhash64("Id"), F.col("Blocks"))
     others = F.explode(F.sequence(F.lit(0), F.col("Blocks") - 1))
     placed = keys.withColumn("_own", own).withColumn("_other", others)
@@ -138,9 +146,12 @@ def _block_sides(keys: DataFrame, left: Column, right: Column) -> tuple[DataFram
         named = [F.col(c).alias(f"{c}{suffix}") for c in ("Id", "Size", "Pos", "Loose")]
         return df.select("Key", "Depth", cell.alias("_cell"), *named)
 
+    if two_sided:
+        dealt = keys.filter(F.col("Side") == 1).withColumn("_own", own)
+        return side(placed.filter(F.col("Side") == 0), F.col("_other"), "A"), side(dealt, F.col("_own").cast("int"), "B")
     return (
-        side(placed.filter(left), F.col("_own") * F.col("Blocks") + F.col("_other"), "A"),
-        side(placed.filter(right), F.col("_other") * F.col("Blocks") + F.col("_own"), "B"),
+        side(placed, F.col("_own") * F.col("Blocks") + F.col("_other"), "A"),
+        side(placed, F.col("_other") * F.col("Blocks") + F.col("_own"), "B"),
     )
 
 
@@ -154,13 +165,8 @@ def _similar(
     if not 0 < threshold <= 1:
         raise ValueError("the threshold must be above 0 and at most 1")
     ordered = materialize(_ordered(sets), "sets")
-    keys = _keys(ordered, threshold, key_rows, key_tokens)
-    everything = F.lit(True)
-    a, b = _block_sides(
-        keys,
-        F.col("Side") == 0 if two_sided else everything,
-        F.col("Side") == 1 if two_sided else everything,
-    )
+    keys = _keys(ordered, threshold, two_sided, key_rows, key_tokens)
+    a, b = _block_sides(keys, two_sided)
     met = a.join(b, ["Key", "Depth", "_cell"])
     if not two_sided:
         met = met.filter(F.col("IdA") < F.col("IdB"))

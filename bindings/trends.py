@@ -122,6 +122,16 @@ def forecast(spark, d):
     return _dated(tr.forecast(monthly(spark, d)))
 
 
+@query("d15_filled_to_the_last_period", f"""WITH {TRENDS}, days AS (
+  SELECT Tag, CAST(CreationDate AS DATE) AS Period, COUNT(*) AS QuestionCount FROM tagged GROUP BY ALL),
+e AS (SELECT Tag, MIN(Period) AS lo, (SELECT MAX(Period) FROM days) AS hi FROM days GROUP BY Tag),
+c AS (SELECT Tag, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS Period FROM e)
+SELECT Tag, strftime(c.Period, '%Y-%m-%d') AS Period, coalesce(QuestionCount, 0) AS QuestionCount FROM c LEFT JOIN days USING (Tag, Period)""")
+def filled_to_the_last_period(spark, d):
+    daily = tr.tag_trends(posts(spark, d), granularity="day")
+    return _dated(tr.fill_calendar(daily, "day", until_last=True).select("Tag", "Period", "QuestionCount"))
+
+
 @query("d14_filled_calendar", f"""WITH {TRENDS}, days AS (
   SELECT Tag, CAST(CreationDate AS DATE) AS Period, COUNT(*) AS QuestionCount FROM tagged GROUP BY ALL),
 e AS (SELECT Tag, MIN(Period) AS lo, MAX(Period) AS hi FROM days GROUP BY Tag),
