@@ -123,17 +123,21 @@ def coherence(spark, d):
 
 def labelled(spark, d):
     """Labelled documents: length, words, sentences and digits against quality and a three-way class."""
-    docs = _documents(spark, d).join(table(spark, d, "labels"), "doc_id")
-    return docs.select(
-        F.col("doc_id").alias("Id"),
+    numbers = _documents(spark, d).select(  # before the join, which then carries no text
+        "doc_id",
         F.col("source").alias("Title"),
-        F.col("quality").alias("QualityLabel"),
-        (F.col("quality") + F.when(F.col("toxic") == 0, 1).otherwise(0)).alias("ThreeWay"),
         F.length("text").alias("BodyLength"),
         tx.word_count("text").alias("BodyWordCount"),
         F.regexp_count("text", F.lit(r"\.")).alias("Sentences"),
         F.regexp_count("text", F.lit(r"[0-9]")).alias("Digits"),
     )
+    return numbers.join(table(spark, d, "labels"), "doc_id").select(
+        F.col("doc_id").alias("Id"),
+        "Title",
+        F.col("quality").alias("QualityLabel"),
+        (F.col("quality") + F.when(F.col("toxic") == 0, 1).otherwise(0)).alias("ThreeWay"),
+        *FEATURES,
+    )
 
 
 def _metrics(spark, metrics: dict):
