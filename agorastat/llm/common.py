@@ -40,7 +40,7 @@ def row_mapper(
     return run
 
 
-BLOCK_BYTES = 8 << 20  # text that one step in a task holds as words
+BLOCK_BYTES = 4 << 20  # text that one step in a task holds as words
 
 
 def text_blocks(column: pa.Array, most: int = BLOCK_BYTES) -> Iterator[tuple[int, pa.Array]]:
@@ -53,6 +53,7 @@ def text_blocks(column: pa.Array, most: int = BLOCK_BYTES) -> Iterator[tuple[int
         last = max(first + 1, int(np.searchsorted(ends, begun + most, side="right")))
         yield first, texts.slice(first, last - first)
         first = last
+    pa.default_memory_pool().release_unused()
 
 
 def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:

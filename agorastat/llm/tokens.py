@@ -11,7 +11,7 @@ import pyarrow as pa
 
 from agorastat.llm.common import word_codes
 
-KNOWN_WORDS = 600_000  # remembered words of one worker; older ones are looked up anew and results stay the same
+KNOWN_WORDS = 250_000  # remembered words of one worker; older ones are looked up anew and results stay the same
 LONG_WORD = 64  # longer words are not remembered
 
 # Letters, digits and signs of Latin-1 whose class, case and composition are plain; other words take the long way.
