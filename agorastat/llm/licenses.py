@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import math
 import re
 
@@ -54,6 +53,8 @@ NOTICES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
 
+COMMON = frozenset("a and any as be by for in is of or that the this to with".split())
+
 # Runs of anything but ASCII letters, digits and characters beyond ASCII become one space.
 _GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -95,12 +96,12 @@ def telling_words(text: str, at_least: float) -> list[str]:
     """Words of a template of which a similar passage has at least one.
 
     A similar passage shares t / (2 - t) of the template's bigrams or more, so words that stand in more
-    than the rest of them cannot all be missing; the longest words are taken first, as the rarest.
+    than the rest of them cannot all be missing; common words come last, long ones first.
     """
     bigrams = template_bigrams(text)
     spare = len(bigrams) - at_least * len(bigrams) / (2 - at_least)
     chosen: list[str] = []
-    for word in sorted(set(normalised(text)), key=lambda w: (-len(w), w)):
+    for word in sorted(set(normalised(text)), key=lambda w: (w in COMMON, -len(w), w)):
         if sum(not set(b.split(" ")).isdisjoint(chosen) for b in bigrams) > spare + 1e-9:
             break
         chosen.append(word)
@@ -135,8 +136,8 @@ def license_findings(
     rows = [(n, name, len(bigrams), *size_bounds(len(bigrams), at_least), b) for n, name, bigrams in listed for b in bigrams]
     table = spark.createDataFrame(rows, "template int, license string, size int, least int, most int, bigram string")
     words = sorted({w for _, text in notices for w in telling_words(text, at_least)})
-    lowered = F.translate(F.col(text_col), _UPPER, _LOWER)
-    telling = functools.reduce(lambda x, y: x | y, [lowered.contains(w) for w in words])
+    inside = r"A-Za-z0-9\x{80}-\x{10FFFF}"
+    telling = F.col(text_col).rlike(f"(?<![{inside}])(?i:{'|'.join(words)})(?![{inside}])")
     numbered = passages(docs.filter(telling).withColumn("_row", F.monotonically_increasing_id()).select(F.struct(F.col(id_col).alias("id"), "_row").alias("doc_id"), text_col), "doc_id", text_col)
     sized = numbered.select("doc_id", "part", "number", bigrams_of(words_of(F.col("text"))).alias("b")).withColumn("n", F.size("b"))
     sized = sized.filter(F.col("n").between(min(r[3] for r in rows), max(r[4] for r in rows)))
