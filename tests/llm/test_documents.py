@@ -152,7 +152,7 @@ def repeats_by_hand(docs, length):
     return out
 
 
-@pytest.mark.parametrize("limits", [{}, {"hot_rows": -(10**9)}, {"hot_rows": 0}, {"filter_bits": 0}])
+@pytest.mark.parametrize("limits", [{}, {"many": 2}, {"hot_rows": -(10**9)}, {"filter_bits": 0}, {"filter_bits": 0, "many": 2}])
 def test_repeated_strings(spark, limits, monkeypatch):
     monkeypatch.setattr(substrings, "SORTED_BYTES", 3000)
     rng = random.Random(7)
