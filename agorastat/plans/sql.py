@@ -108,10 +108,10 @@ def posts_with_tag_names(posts: DataFrame, tags: DataFrame, key: str = "Id") ->
     starts = F.sequence(F.lit(1), F.length("Tag"))
     suffixes = vocabulary.filter(F.length("Tag") > 0).select("Tag", F.explode(starts).alias("s"))
     names = tags.select("TagName").distinct()
-    lengths = names.select(F.length("TagName").alias("n")).distinct()  # only lengths that a name has
-    pieces = suffixes.join(lengths, F.col("n") <= F.length("Tag") - F.col("s") + 1).select(
-        "Tag", F.expr("substring(Tag, s, n)").alias("TagName")
-    ).distinct()
+    # Only lengths that a name has; the list is no longer than the longest name.
+    lengths = names.agg(F.collect_set(F.length("TagName"))).scalar()
+    sized = suffixes.withColumn("_lengths", lengths).select("Tag", "s", F.explode("_lengths").alias("n"))
+    pieces = sized.filter("n <= length(Tag) - s + 1").select("Tag", F.expr("substring(Tag, s, n)").alias("TagName")).distinct()
     per_tag = pieces.join(names, "TagName").groupBy("Tag").agg(F.collect_set("TagName").alias("_names"))
     found = lookup_join(
         posts.select(key, F.explode(F.array_distinct("TagsList")).alias("Tag")), per_tag, ["Tag"], salt_by=[key]
