@@ -179,9 +179,9 @@ def test_sentiment_cases(one):
     assert one(score_label("c"), None, "double") == "neutral"
 
 
-def test_large_lexicon_is_rejected():
-    with pytest.raises(ValueError):
-        Lexicon(positive=frozenset(str(i) for i in range(30_000)))
+def test_a_lexicon_of_any_size_counts_every_word(one):
+    lexicon = Lexicon(positive=frozenset(f"w{i}" for i in range(30_000)))
+    assert one(lexicon_score("c", lexicon), "w29999 and w0") == 1.0
 
 
 def test_word_tokens_with_dictionary_and_table(spark):
@@ -190,9 +190,10 @@ def test_word_tokens_with_dictionary_and_table(spark):
     table = spark.createDataFrame(list(lemmas.items()), "token string, lemma string")
     expected = {1: ["cat", "run", "cat"], 2: [], 3: []}
     for source in (lemmas, table):
-        for hot in (1, 200_000):
-            got = ops.word_tokens(df, "t", "w", source, min_hot_rows=hot).collect()
-            assert {r["Id"]: r["w"] for r in got} == expected
+        got = ops.word_tokens(df, "t", "w", source).collect()
+        assert {r["Id"]: r["w"] for r in got} == expected
+    plain = ops.word_tokens(df, "t", "w", {}).collect()
+    assert {r["Id"]: r["w"] for r in plain} == {1: ["cats", "running", "cats"], 2: [], 3: []}
 
 
 def test_preprocess_drops_listed_words(spark):
