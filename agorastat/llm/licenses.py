@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import math
 import re
+from importlib import resources
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 AT_LEAST = 0.8
@@ -53,6 +54,13 @@ NOTICES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
 
+# Whole licences: name and file in the folder license_texts.
+WHOLE = (
+    ("Apache-2.0", "Apache-2.0"), ("BSD-3-Clause", "BSD-3-Clause"), ("GPL-2.0", "GPL-2"), ("GPL-3.0", "GPL-3"), ("ISC", "ISC"),
+    ("LGPL-2.1", "LGPL-2.1"), ("LGPL-3.0", "LGPL-3"), ("MIT", "MIT"), ("MPL-2.0", "MPL-2.0"),
+)
+LONG = 300  # bigrams from which a template is looked for by all its bigrams, as its telling words are many
+
 COMMON = frozenset("a and any as be by for in is of or that the this to with".split())
 
 # Runs of anything but ASCII letters, digits and characters beyond ASCII become one space.
@@ -151,3 +159,106 @@ def license_findings(
     )
     best = scored.groupBy("doc_id", "part", "number").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "template", "license")).alias("m"))
     return best.select(F.col("doc_id.id").alias("doc_id"), "part", F.col("number").cast("long").alias("number"), F.col("m.license").alias("license"), (-F.col("m.s")).alias("similarity"))
+
+
+def whole_licenses() -> tuple[tuple[str, str], ...]:
+    """The names and texts of whole licences."""
+    folder = resources.files("agorastat.llm") / "license_texts"
+    return tuple((name, (folder / f"{file}.txt").read_text(encoding="utf-8")) for name, file in WHOLE)
+
+
+def license_windows(
+    docs: DataFrame, notices=None, at_least: float = AT_LEAST, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``(doc_id, license, first_word, n_words, similarity)``: licences anywhere in a text, whatever stands around them.
+
+    Lines do not count: the words of a text are one sequence, so comment signs and line breaks are nothing. Windows of
+    as many bigrams as the size bounds of a template allow are compared with it, all lengths up to 100 bigrams of
+    difference and about 100 lengths beyond; overlapping windows of a licence are one finding, given by its most similar
+    window, unless a more similar window of another licence overlaps that. Without ``notices`` the templates are
+    ``NOTICES`` and whole licences. Rows with the same id and text count once; null and empty texts have none.
+    """
+    notices = NOTICES + whole_licenses() if notices is None else notices
+    if len(notices) > MOST_TEMPLATES:
+        raise ValueError("give the templates in parts")
+    spark = docs.sparkSession
+    listed = [(n, name, template_bigrams(text)) for n, (name, text) in enumerate(notices)]
+    bounds = {n: size_bounds(len(b), at_least) for n, _, b in listed}
+    long = [n for n, _, b in listed if len(b) > LONG]
+    table = F.broadcast(spark.createDataFrame([(n, b) for n, _, bs in listed for b in sorted(bs)], "template int, bigram string"))
+    sizes = F.broadcast(spark.createDataFrame([(n, name, len(b), *bounds[n]) for n, name, b in listed], "template int, license string, size int, least int, most int"))
+
+    words = sorted({w for n, (_, text) in enumerate(notices) if n not in long for w in telling_words(text, at_least)})
+    inside = r"A-Za-z0-9\x{80}-\x{10FFFF}"
+    telling = F.col("_t").rlike(f"(?<![{inside}])(?i:{'|'.join(words)})(?![{inside}])") if words else F.lit(False)
+    keyed = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_t")).filter(F.col("_t") != "")
+    keyed = keyed.select("doc_id", F.xxhash64("_t").alias("key"), telling.alias("telling"), F.col("_t"))
+    shortest = min((bounds[n][0] for n in long), default=None)
+    if shortest is None:
+        keyed = keyed.filter("telling")
+    else:  # a text of so many words has a separator less, at least
+        keyed = keyed.filter(F.col("telling") | (F.length("_t") > 2 * shortest))
+    keyed = keyed.select("doc_id", "key", "telling", _pairs(words_of(F.col("_t"))).alias("b"))
+    whole = [F.when(F.size("b") >= bounds[n][0], _holds("b", listed[n][2], bounds[n][0], n)) for n in long]
+    keyed = keyed.select("doc_id", "key", "telling", "b", F.array_compact(F.array(*whole) if whole else F.array().cast("array<int>")).alias("long"))
+    keyed = keyed.filter(F.col("telling") | (F.size("long") > 0))
+
+    # Where enough bigrams of a template stand close together.
+    pairs = keyed.select("doc_id", "key", "telling", "long", F.posexplode("b").alias("pos", "bigram")).join(table, "bigram")
+    wanted = F.when(F.col("template").isin(long), F.array_contains("long", F.col("template"))).otherwise(F.col("telling"))
+    places = pairs.filter(wanted).groupBy("doc_id", "key", "template").agg(F.sort_array(F.collect_set("pos")).alias("p")).join(sizes, "template")
+    close = F.expr("filter(p, (x, k) -> get(p, k + least - 1) < x + most)")
+    places = places.withColumn("p", close).filter(F.size("p") > 0)
+    places = places.withColumn("firsts", F.expr("filter(p, (x, k) -> k = 0 OR x - get(p, k - 1) > most)"))
+    stretch = F.expr("transform(firsts, (x, k) -> struct(x AS first, array_max(filter(p, y -> y < coalesce(get(firsts, k + 1), 2147483647))) - x + 1 AS starts))")
+    places = places.select("doc_id", "key", "template", "license", "size", "least", "most", F.inline(stretch))
+
+    # Distinct and shared bigrams of each window there: an occurrence counts for the starts after the one before it.
+    own = [F.col("doc_id").eqNullSafe(F.col("_id")), F.col("key") == F.col("_key")]
+    texts = keyed.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "b")
+    near = places.join(texts, own).drop("_id", "_key").withColumn("b", F.expr("slice(b, first + 1, starts + most - 1)"))
+    near = near.dropDuplicates(["doc_id", "key", "template", "first"]).withColumn("until", F.col("first") + F.size("b") - 1)
+    place = ["doc_id", "key", "template", "first"]
+    seen = near.select(*place, "license", "size", "least", "most", "starts", "until", F.posexplode("b").alias("pos", "bigram"))
+    seen = seen.withColumn("before", F.coalesce(F.lag("pos").over(Window.partitionBy(*place, "bigram").orderBy("pos")), F.lit(-1)))
+    seen = seen.join(table.withColumn("shared", F.lit(1)), ["template", "bigram"], "left").fillna(0, ["shared"])
+    lengths = F.expr("sequence(least, most, greatest(1, int((most - least) div 100)))")
+    seen = seen.withColumn("length", F.explode(lengths)).withColumn("at", F.greatest(F.col("pos") - F.col("length") + 1, F.col("before") + 1))
+    group = [*place, "license", "size", "starts", "until", "length"]
+    steps = F.array(F.struct(F.col("at"), F.lit(1).alias("n"), F.col("shared").alias("c")), F.struct((F.col("pos") + 1).alias("at"), F.lit(-1).alias("n"), (-F.col("shared")).alias("c")))
+    counted = seen.withColumn("at", F.greatest("at", F.lit(0))).select(*group, F.inline(steps)).filter("at < starts").groupBy(*group, "at").agg(F.sum("n").alias("n"), F.sum("c").alias("c"))
+    so_far = Window.partitionBy(*place, "length").orderBy("at")
+    counted = counted.withColumn("n", F.sum("n").over(so_far)).withColumn("c", F.sum("c").over(so_far))
+    alike = counted.withColumn("similarity", 2 * F.col("c") / (F.col("n") + F.col("size"))).filter(F.col("similarity") >= at_least)
+
+    # One finding for overlapping windows of a licence, and the most similar licence where they overlap.
+    begin = (F.col("first") + F.col("at")).alias("begin")
+    last = F.least(F.col("first") + F.col("at") + F.col("length") - 1, F.col("until"))
+    ends = alike.groupBy("doc_id", "key", "license", begin).agg(
+        F.max(last).alias("end"), F.min(F.struct((-F.col("similarity")).alias("s"), F.col("template"), begin, last.alias("last"))).alias("m")
+    )
+    ordered = Window.partitionBy("doc_id", "key", "license").orderBy("begin")
+    apart = F.coalesce(F.col("begin") > F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+    chained = ends.withColumn("apart", apart.cast("int")).withColumn("number", F.sum("apart").over(ordered))
+    best = chained.groupBy("doc_id", "key", "license", "number").agg(F.min("m").alias("m"))
+    found = best.groupBy("doc_id", "key").agg(F.collect_list(F.struct("m.*", "license")).alias("f"))
+    beaten = "exists(f, y -> y.license <> x.license AND y.begin <= x.last AND x.begin <= y.last AND struct(y.s, y.template) < struct(x.s, x.template))"
+    kept = found.select("doc_id", F.inline(F.expr(f"filter(f, x -> NOT {beaten})")))
+    n_words = (F.col("last") - F.col("begin") + 2).cast("long").alias("n_words")
+    return kept.select("doc_id", "license", F.col("begin").cast("long").alias("first_word"), n_words, (-F.col("s")).alias("similarity"))
+
+
+def _pairs(words: Column) -> Column:
+    """All pairs of neighbouring words in order."""
+
+    def pairs(w: Column) -> Column:
+        joined = F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w)), lambda x, y: F.concat_ws(" ", x, y))
+        return F.when(F.size(w) > 1, joined).otherwise(F.array().cast("array<string>"))
+
+    return F.element_at(F.transform(F.array(words), pairs), 1)
+
+
+def _holds(pairs: str, bigrams: set[str], least: int, template: int) -> Column:
+    """The template's number if at least ``least`` of its bigrams are among the pairs, else null."""
+    listed = F.split(F.lit("\n".join(sorted(bigrams))), "\n")  # one constant
+    return F.when(F.size(F.array_intersect(F.col(pairs), listed)) >= least, F.lit(template))

@@ -224,3 +224,8 @@ _NOTICES_SQL = ", ".join(
 )
 def bigram_dice_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_findings(read(spark, folder, "documents"))
+
+
+@query("op5_license_windows")
+def license_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_windows(read(spark, folder, "documents"))

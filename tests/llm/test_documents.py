@@ -289,6 +289,57 @@ def test_licenses(spark):
     assert licenses.license_findings(frame(spark, HARD)).count() == 0
 
 
+def windows_by_hand(text, notices):
+    """The best similarity of any window within the size bounds, per template."""
+    words = licenses.normalised(text)
+    pairs = [f"{a} {b}" for a, b in zip(words, words[1:])]
+    best = {}
+    for n, (_, notice) in enumerate(notices):
+        own = licenses.template_bigrams(notice)
+        low, high = licenses.size_bounds(len(own), 0.8)
+        for i in range(len(pairs)):
+            for size in range(low, min(high, len(pairs) - i) + 1):
+                window = set(pairs[i : i + size])
+                best[n] = max(best.get(n, 0), 2 * len(window & own) / (len(window) + len(own)))
+    return {n: s for n, s in best.items() if s >= 0.8}
+
+
+def test_licenses_inside_lines_and_comments(spark):
+    notices = dict(licenses.NOTICES)
+    whole = dict(licenses.whole_licenses())
+    commented = "\n".join(f" * {x}" for x in whole["MIT"].splitlines())
+    gpl = "\n".join(f"# {x}" for x in (notices["GPL-3.0"] + " This program is distributed in the hope that it will be useful.").split("you can"))
+    texts = [
+        "Released under the MIT License. See LICENSE for details.", f"/*\n{commented}\n */\nint main;", gpl, "x " * 50 + whole["Apache-2.0"] + " y" * 50,
+        f"{whole['GPL-3.0']}", "no license here, the mit is a school", f"{notices['CC-BY-NC-4.0']} {'a ' * 30} {notices['MPL-2.0']}", *HARD,
+    ]
+    rows = licenses.license_windows(frame(spark, texts)).collect()
+    found = {}
+    for r in rows:
+        found.setdefault(r["doc_id"], []).append((r["license"], r["similarity"]))
+    assert found[0] == [("MIT", 1.0)] and found[1] == [("MIT", 1.0)] and [x for x, _ in found[2]] == ["GPL-3.0"]
+    assert [x for x, _ in found[3]] == ["Apache-2.0"] and "GPL-3.0" in dict(found[4]) and sorted(x for x, _ in found[6]) == ["CC-BY-NC-4.0", "MPL-2.0"]
+    assert set(found) == {0, 1, 2, 3, 4, 6}
+
+
+def test_license_windows_match_brute_force(spark):
+    rng = random.Random(8)
+    chosen = [licenses.NOTICES[i] for i in (0, 3, 6, 10)]
+    texts = []
+    for _ in range(60):
+        words = []
+        for _, notice in rng.choices(chosen, k=2):
+            words += [rng.choice("abc") for _ in range(rng.randint(0, 9))]
+            words += [w if rng.random() > 0.06 else rng.choice(["the", "x", ""]) for w in licenses.normalised(notice)]
+        texts.append(rng.choice([" ", "\n# ", " * "]).join(words))
+    for n, notice in enumerate(chosen):
+        expected = {(i, s) for i, t in enumerate(texts) for s in windows_by_hand(t, [notice]).values()}
+        best = {}
+        for r in licenses.license_windows(frame(spark, texts), [notice]).collect():
+            best[r["doc_id"]] = max(best.get(r["doc_id"], 0), r["similarity"])
+        assert {(i, round(s, 9)) for i, s in best.items()} == {(i, round(s, 9)) for i, s in expected}, n
+
+
 def test_license_bounds_lose_nothing():
     rng = random.Random(4)
     for _, text in licenses.NOTICES:
