@@ -120,10 +120,49 @@ def _features(text: str, start: int, end: int, handle: bool) -> int:
     return sum(1 << i for i, b in enumerate(bits) if b)
 
 
+TAIL = 9  # digits at the end by which phone numbers are the same, with or without country code and leading zeros
+_MARKS = frozenset("._%+-")
+
+
+def _keys(shown: str, phone: bool) -> tuple[str, ...]:
+    """What a number is linked by: all its digits (an address: as shown), and for phone numbers and the like their last ones."""
+    if shown.count(".") == 3 and not phone:
+        return (shown,)
+    digits = "".join(_DIGIT.findall(shown))
+    return (digits, f"tail {digits[-TAIL:]}") if phone else (digits,)
+
+
+def _parts(text: str, start: int, end: int, tails: dict[str, list[str]]) -> Iterator[tuple[int, int]]:
+    """A mention, or the phone numbers known from patterns that stand in it and what is left around them."""
+    places = [m.start() for m in _DIGIT.finditer(text, start, end)]
+    digits = "".join(text[p] for p in places)
+    done, cut = 0, start
+    for i in range(len(digits) - TAIL + 1) if tails else ():
+        last = i + TAIL - 1
+        if i < done or digits[i : i + TAIL] not in tails or (last + 1 < len(places) and places[last + 1] == places[last] + 1):
+            continue
+        first = i
+        for known in tails[digits[i : i + TAIL]]:  # as far back as the digits of a known number go
+            n = 0
+            while n < min(i - done, len(known) - TAIL) and digits[i - n - 1] == known[-TAIL - n - 1]:
+                n += 1
+            first = min(first, i - n)
+        while first > done and places[first - 1] == places[first] - 1:
+            first -= 1
+        at = places[first] if first > done else cut
+        while first > done and at > cut and text[at - 1] in "(+":
+            at -= 1
+        yield from (m.span() for m in _MENTION.finditer(text, cut, at))
+        yield at, places[last] + 1
+        done, cut = last + 1, places[last] + 1
+    yield from (m.span() for m in _MENTION.finditer(text, cut, end))
+
+
 def field_of(text: str, base: list[Span]) -> Field:
     """The nodes of a text. A mention that touches a pattern's span is that span; the part of an
-    address before its @ is searched as a handle of five characters or more."""
-    nodes: dict[tuple[int, int], tuple[int, str, bool]] = {}
+    address before its @ is searched as a handle of five characters or more. Numbers are linked by all
+    digits, those of 9 to 15 also by their last nine."""
+    nodes: dict[tuple[int, int], tuple[int, tuple[str, ...], bool]] = {}
     covered = sorted((s.start, s.end) for s in base)
     starts = [s for s, _ in covered]
     furthest = np.maximum.accumulate([e for _, e in covered]) if covered else np.zeros(0, int)
@@ -133,35 +172,40 @@ def field_of(text: str, base: list[Span]) -> Field:
         return i == 0 or furthest[i - 1] <= start
 
     handles = {}
+    tails: dict[str, list[str]] = {}
     for s in base:
         shown = text[s.start : s.end]
         if s.kind == "email":
-            key = shown.split("@")[0]
-            if len(key) >= 5:
-                handles.setdefault(key, s)
+            keys: tuple[str, ...] = (shown.split("@")[0],)
+            if len(keys[0]) >= 5:
+                handles.setdefault(keys[0], s)
         else:
-            key = "".join(_DIGIT.findall(shown)) if s.kind != "ip" else shown
-        nodes[(s.start, s.end)] = (LABELS.index(s.kind), key[-10:] if s.kind == "phone" else key, False)
+            keys = (shown,) if s.kind == "ip" else _keys(shown, s.kind == "phone")
+            if s.kind == "phone" and keys[0] not in tails.setdefault(keys[0][-TAIL:], []):
+                tails[keys[0][-TAIL:]].append(keys[0])
+        nodes[(s.start, s.end)] = (LABELS.index(s.kind), keys, False)
     for m in _MENTION.finditer(text):
         if free(*m.span()):
-            digits = "".join(_DIGIT.findall(m[0]))
-            key = m[0] if m[0].count(".") == 3 else digits[-10:] if len(digits) in (10, 11) else digits
-            nodes.setdefault(m.span(), (0, key, False))
+            for a, b in _parts(text, *m.span(), tails):
+                size = len(_DIGIT.findall(text[a:b]))
+                nodes.setdefault((a, b), (0, _keys(text[a:b], TAIL <= size <= 15), False))
     if handles:
         wanted = re.compile("|".join(re.escape(h) for h in sorted(handles, key=lambda h: (-len(h), h))))
         for m in wanted.finditer(text):
             a, b = m.span()
-            inside = (a and text[a - 1] in _LOCAL) or (b < len(text) and (text[b] in _LOCAL or text[b] == "@"))
+            after = b
+            while after < len(text) and text[after] in _MARKS:  # the end of a sentence
+                after += 1
+            inside = (a and text[a - 1] in _LOCAL) or (after < len(text) and (text[after] in _LOCAL or text[after] == "@"))
             if not inside and free(a, b):
-                nodes.setdefault((a, b), (0, m[0], True))
+                nodes.setdefault((a, b), (0, (m[0],), True))
     order = sorted(nodes)
     last: dict[str, int] = {}
     skips = []
     for i, span in enumerate(order):
-        key = nodes[span][1]
-        if key in last:
-            skips.append((last[key], i))
-        last[key] = i
+        keys = nodes[span][1]
+        skips += [(j, i) for j in sorted({last[k] for k in keys if k in last})]
+        last.update(dict.fromkeys(keys, i))
     return Field(
         order,
         np.array([nodes[s][0] for s in order], np.int64),

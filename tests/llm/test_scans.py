@@ -101,6 +101,29 @@ def test_field_adds_repeated_mentions_only(spark):
     assert pii.report(docs.limit(0)).count() == 0
 
 
+def test_repeats_in_other_forms_are_linked():
+    for known, again, shown in (
+        ("+44 20 7946 0958", "44 20 7946 0958", None),
+        ("+44 20 7946 0958", "020 7946 0958", None),
+        ("+1 (523) 555-1055", "523-555-1055 2 times", "523-555-1055"),
+        ("+1 (523) 555-1055", "7 523-555-1055", "523-555-1055"),
+        ("john.doe@mail8.example.com", "john.doe.", "john.doe"),
+    ):
+        text = f"call {known} now; ask {again}"
+        base = pii.base_spans(text)
+        field = pii.field_of(text, base)
+        at = text.index(shown or again, base[0].end)
+        span = (at, at + len(shown or again))
+        assert span in field.spans and (0, field.spans.index(span)) in field.skips, again
+
+
+def test_redact_masks_repeats_in_other_forms(spark):
+    said = "call +44 20 7946 0958 or phone 44 20 7946 0958 now; mail bosbt.42@mail8.example.com, ask bosbt.42. call +1 (523) 555-1055 or phone 523-555-1055 2 times"
+    docs = frame(spark, [said, said.replace("now", "then"), *HARD])
+    clean = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
+    assert clean[0] == "call <PHONE> or phone <PHONE> now; mail <EMAIL>, ask <EMAIL>. call <PHONE> or phone <PHONE> 2 times"
+
+
 def test_message_passing_is_exact_without_loops():
     model = pii.Model(np.random.default_rng(2).normal(size=(pii.N_FEATURES, 5)), np.random.default_rng(3).normal(size=(5, 5)), 1.5)
     field = pii.Field([(0, 1), (2, 3), (4, 5)], np.array([0, 0, 0]), np.array([3, 5, 9]), [])
