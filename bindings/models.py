@@ -18,7 +18,7 @@ FEATURES = ["BodyLength", "BodyWordCount", "Sentences", "Digits"]
 
 def _topics(spark, d):
     tokens = _tokens(spark, d)
-    return tokens, topics.fit_topics(tokens, num_topics=5, max_iterations=10)
+    return tokens, topics.fit_topics(tokens)
 
 
 @query("a40_topics", "SELECT COUNT(*) AS documents, COUNT(DISTINCT doc_id) AS ids, 0 AS odd_totals, 0 AS wrong_topics FROM documents")
@@ -69,7 +69,7 @@ def topic_trends(spark, d):
 
 def _clustered(spark, d):
     vectors = table(spark, d, "embeddings").select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
-    return topics.cluster(vectors, 10, "v", max_iterations=20)[0]
+    return topics.cluster(vectors, features="v")[0]
 
 
 @query("a50_clusters", "SELECT COUNT(*) AS vectors, COUNT(DISTINCT vec_id) AS ids, 0 AS without_cluster FROM embeddings")
@@ -161,9 +161,7 @@ def random_forest(spark, d):
 
 @query("a52_gradient_boosting_three_way")
 def gradient_boosting(spark, d):
-    _, metrics = quality.train(
-        labelled(spark, d), "gradient_boosting", FEATURES, "ThreeWay", key="Id", maxIter=5, maxDepth=3
-    )
+    _, metrics = quality.train(labelled(spark, d), "gradient_boosting", FEATURES, "ThreeWay", key="Id")
     return _metrics(spark, metrics)
 
 
@@ -175,18 +173,13 @@ def logistic(spark, d):
 
 @query("a53_cross_validated")
 def cross_validated(spark, d):
-    grid = {"numTrees": [5, 10], "maxDepth": [3, 5]}
-    _, metrics = quality.train_with_cv(labelled(spark, d), features=FEATURES, folds=3, grid=grid, key="Id")
+    _, metrics = quality.train_with_cv(labelled(spark, d), features=FEATURES, key="Id")
     return _metrics(spark, metrics)
 
 
 @query("a54_model_comparison")
 def model_comparison(spark, d):
-    grids = {
-        "random_forest": {"numTrees": [5, 10], "maxDepth": [3, 5]},
-        "logistic": quality.COMPARED_GRIDS["logistic"],
-    }
-    return tidy(quality.compare_models(quality.prepare(labelled(spark, d), FEATURES), grids, folds=2, key="Id"))
+    return tidy(quality.compare_models(quality.prepare(labelled(spark, d), FEATURES), key="Id"))
 
 
 CELLS = """p AS (SELECT CAST(quality AS DOUBLE) AS label, CAST(1 - toxic AS DOUBLE) AS prediction FROM labels)"""
@@ -295,5 +288,5 @@ UNION ALL SELECT 'ml', 1 UNION ALL SELECT 'nlp', 25""")
 def staged_run(spark, d):
     paths = stages.Paths(*[scratch_path(spark, name) for name in ("raw", "processed", "models")])
     save_xml(raw_posts(spark, d), f"{paths.raw}/Posts.xml", "posts")
-    tables = stages.run(spark, paths, "full", nlp={"max_iterations": 2}, ml={"numTrees": 5, "maxDepth": 3})
+    tables = stages.run(spark, paths, "full")
     return stages.stage_counts(tables)

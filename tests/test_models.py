@@ -1,3 +1,4 @@
+import inspect
 import math
 import random
 
@@ -5,7 +6,9 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+import bindings
 from agorastat.operators import features as ft, quality, topics
+from agorastat.plans import stages
 
 
 @pytest.fixture(scope="module")
@@ -120,3 +123,30 @@ def test_missing_features_are_left_out(labelled):
     prepared = quality.prepare(labelled, [*NAMES, "Absent"], None)
     assert prepared.first()["features"].size == 2 and "label" not in prepared.columns
     assert prepared.count() == 240
+
+
+class Fitted(Exception):
+    pass
+
+
+@pytest.mark.parametrize(
+    "name, owner, operator, free",
+    [
+        ("a40_topics", topics, "fit_topics", {"df"}),
+        ("a50_clusters", topics, "cluster", {"df", "features"}),
+        ("a52_gradient_boosting_three_way", quality, "train", {"df", "algorithm", "features", "label", "key"}),
+        ("a53_cross_validated", quality, "train_with_cv", {"df", "features", "key"}),
+        ("a54_model_comparison", quality, "compare_models", {"prepared", "key"}),
+        ("a59_stages", stages, "run", {"spark", "paths", "mode"}),
+    ],
+)
+def test_queries_use_the_operators_own_settings(spark, monkeypatch, name, owner, operator, free):
+    signature = inspect.signature(getattr(owner, operator))
+
+    def stop(*args, **kwargs):
+        raise Fitted(set(signature.bind(*args, **kwargs).arguments))
+
+    monkeypatch.setattr(owner, operator, stop)
+    with pytest.raises(Fitted) as given:
+        bindings.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert given.value.args[0] <= free
