@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from importlib import resources
 
 from pyspark.sql import Column, DataFrame, Window
@@ -100,16 +101,18 @@ def template_bigrams(text: str) -> set[str]:
     return {" ".join(pair) for pair in zip(words, words[1:])} if len(words) > 1 else set(words)
 
 
-def telling_words(text: str, at_least: float) -> list[str]:
+def telling_words(text: str, at_least: float, few: bool = False) -> list[str]:
     """Words of a template of which a similar passage has at least one.
 
     A similar passage shares t / (2 - t) of the template's bigrams or more, so words that stand in more
-    than the rest of them cannot all be missing; common words come last, long ones first.
+    than the rest of them cannot all be missing; common words come last, long ones first. With ``few``
+    words of six letters and more in many bigrams come first, so that fewer are needed.
     """
     bigrams = template_bigrams(text)
     spare = len(bigrams) - at_least * len(bigrams) / (2 - at_least)
     chosen: list[str] = []
-    for word in sorted(set(normalised(text)), key=lambda w: (w in COMMON, -len(w), w)):
+    held = Counter(w for b in bigrams for w in set(b.split(" "))) if few else {}
+    for word in sorted(set(normalised(text)), key=lambda w: (w in COMMON, few and len(w) < 6, -held.get(w, 0), -len(w), w)):
         if sum(not set(b.split(" ")).isdisjoint(chosen) for b in bigrams) > spare + 1e-9:
             break
         chosen.append(word)
@@ -188,19 +191,25 @@ def license_windows(
     table = F.broadcast(spark.createDataFrame([(n, b) for n, _, bs in listed for b in sorted(bs)], "template int, bigram string"))
     sizes = F.broadcast(spark.createDataFrame([(n, name, len(b), *bounds[n]) for n, name, b in listed], "template int, license string, size int, least int, most int"))
 
-    words = sorted({w for n, (_, text) in enumerate(notices) if n not in long for w in telling_words(text, at_least)})
     inside = r"A-Za-z0-9\x{80}-\x{10FFFF}"
-    telling = F.col("_t").rlike(f"(?<![{inside}])(?i:{'|'.join(words)})(?![{inside}])") if words else F.lit(False)
+
+    def names_one(numbers: list[int], few: bool) -> Column:
+        words = sorted({w for n in numbers for w in telling_words(notices[n][1], at_least, few)})
+        return F.col("_t").rlike(f"(?<![{inside}])(?i:{'|'.join(words)})(?![{inside}])") if words else F.lit(False)
+
+    telling = names_one([n for n, _, _ in listed if n not in long], False)
     keyed = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_t")).filter(F.col("_t") != "")
     keyed = keyed.select("doc_id", F.xxhash64("_t").alias("key"), telling.alias("telling"), F.col("_t"))
     shortest = min((bounds[n][0] for n in long), default=None)
     if shortest is None:
         keyed = keyed.filter("telling")
     else:  # a text of so many words has a separator less, at least
-        keyed = keyed.filter(F.col("telling") | (F.length("_t") > 2 * shortest))
-    keyed = keyed.select("doc_id", "key", "telling", _pairs(words_of(F.col("_t"))).alias("b"))
+        keyed = keyed.filter(F.col("telling") | ((F.length("_t") > 2 * shortest) & names_one(long, True)))
+    # explode gives one row, from which no filter takes the words apart again
+    keyed = keyed.select("doc_id", "key", "telling", F.explode(F.array(_pairs(words_of(F.col("_t"))))).alias("b"))
     whole = [F.when(F.size("b") >= bounds[n][0], _holds("b", listed[n][2], bounds[n][0], n)) for n in long]
-    keyed = keyed.select("doc_id", "key", "telling", "b", F.array_compact(F.array(*whole) if whole else F.array().cast("array<int>")).alias("long"))
+    holds = F.array_compact(F.array(*whole)) if whole else F.array().cast("array<int>")
+    keyed = keyed.select("doc_id", "key", "telling", "b", F.explode(F.array(holds)).alias("long"))
     keyed = keyed.filter(F.col("telling") | (F.size("long") > 0))
 
     # Where enough bigrams of a template stand close together.
