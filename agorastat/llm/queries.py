@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorastat.llm import attribution, chat, decontamination, licenses, packing, pii, quality, secrets, simhash, substrings
+from agorastat.llm import attribution, chat, decontamination, licenses, negatives, packing, pii, prefix_trie, quality, secrets, simhash, substrings
 from agorastat.llm.common import read, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -229,3 +229,79 @@ def bigram_dice_licenses(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_license_windows")
 def license_windows(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_windows(read(spark, folder, "documents"))
+
+
+#: CRC-32 of a text of ASCII characters, bit by bit.
+_CRC_SQL = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda r, c: list_reduce([xor(r, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"""
+
+
+@query(
+    "op12_euler_tour_prefix_trie",
+    f"""
+    WITH turns AS (
+        SELECT CAST(conv_id AS BIGINT) AS conv_id, length(t) AS chars, turn, sha256(CAST(length(r) AS VARCHAR) || ':' || r || t) AS digest
+        FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL)
+    ),
+    convs AS (
+        SELECT conv_id, list(digest || '/' || chars ORDER BY turn NULLS FIRST, digest) AS own, ({_CRC_SQL}) % 6 AS h FROM turns GROUP BY conv_id
+    ),
+    rebuilt AS (
+        SELECT c.conv_id, list_concat(coalesce(list_slice(b.own, 1, c.h), []), list_slice(c.own, c.h + 1, len(c.own))) AS w
+        FROM convs c LEFT JOIN convs b ON b.conv_id = c.conv_id - c.conv_id % 100
+    ),
+    paths AS (
+        SELECT conv_id, d, len(w) = d AS last, array_to_string(list_slice(w, 1, d), ' ') AS node,
+               CASE WHEN d > 0 THEN array_to_string(list_slice(w, 1, d - 1), ' ') END AS parent,
+               CASE WHEN d > 0 THEN CAST(split_part(w[d], '/', 2) AS BIGINT) ELSE 0 END AS chars
+        FROM (SELECT conv_id, w, unnest(range(0, len(w) + 1)) AS d FROM rebuilt)
+    ),
+    nodes AS (
+        SELECT node, d, min(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(chars) AS saved,
+               sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE last), '')) AS ends_sha256
+        FROM paths GROUP BY node, d
+    ),
+    children AS (SELECT parent, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+    counted AS (SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children ON children.parent = nodes.node),
+    above AS (
+        SELECT array_to_string(list_slice(w, 1, k), ' ') AS up, saved, n_children
+        FROM (SELECT saved, n_children, w, unnest(range(0, len(w) + 1)) AS k
+              FROM (SELECT saved, n_children, CASE WHEN node = '' THEN [] ELSE string_split(node, ' ') END AS w FROM counted))
+    ),
+    sums AS (SELECT up, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens FROM above GROUP BY up)
+    SELECT c.conv_id, c.d AS depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, n_leaves,
+           CAST(saved_tokens AS BIGINT) AS saved_tokens, c.ends_sha256
+    FROM counted c JOIN sums ON sums.up = c.node LEFT JOIN counted p ON p.node = c.parent
+    """,
+)
+def euler_tour_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.report(read(spark, folder, "conversations"))
+
+
+@query(
+    "op13_str_rtree_hard_negatives",
+    """
+    WITH usable AS (
+        SELECT DISTINCT CAST(vec_id AS BIGINT) AS id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    scored AS (
+        SELECT a.id AS anchor_id, a.label AS anchor_label, b.id, b.label,
+               CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) AS BIGINT) AS score
+        FROM usable a JOIN usable b ON a.id % 100 = 0 AND a.id <> b.id
+    ),
+    positives AS (
+        SELECT anchor_id, id, score FROM scored WHERE label = anchor_label
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+    )
+    SELECT p.anchor_id, p.id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS INTEGER) AS rank,
+           n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+    FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND n.label <> n.anchor_label
+     AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+    QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) <= 5
+    """,
+)
+def str_rtree_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.report(read(spark, folder, "embeddings"))
