@@ -301,7 +301,8 @@ def hard_negatives(rows: DataFrame, anchors: DataFrame, positives: int = 5, nega
     index = build_index(rows, max(positives + 1, negatives), tile_points)
     asked = anchors.filter(F.col("id").isNotNull())
     blocks = max(1, -(-asked.count() // anchor_rows))
-    asked = materialize(asked.withColumn("block", F.pmod(F.xxhash64("id", "label"), F.lit(blocks))), "anchors", ["block"])
+    dealt = asked.withColumn("block", F.pmod(F.xxhash64("id", "label"), F.lit(blocks)))
+    asked = materialize(dealt.repartitionByRange("block").sortWithinPartitions("block"), "anchors")  # a pass reads its own row groups
     path = scratch_path(spark, "negatives")
     for block in range(blocks):
         table = asked.filter(F.col("block") == block).toArrow()  # at most about anchor_rows

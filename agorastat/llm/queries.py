@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorastat.llm import attribution, chat, decontamination, licenses, negatives, packing, pii, prefix_trie, quality, secrets, simhash, substrings
+from agorastat.llm import attribution, chat, decontamination, licenses, log_bilinear, negatives, packing, pii, prefix_trie, quality, secrets, simhash, substrings
 from agorastat.llm.common import read, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -305,3 +305,8 @@ def euler_tour_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
 )
 def str_rtree_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return negatives.report(read(spark, folder, "embeddings"))
+
+
+@query("op11_log_bilinear_scores")
+def log_bilinear_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return log_bilinear.report(read(spark, folder, "documents"))
