@@ -322,8 +322,22 @@ f AS (SELECT Token, COUNT(DISTINCT doc_id) AS Df FROM u GROUP BY Token HAVING Df
 c AS (SELECT doc_id, COUNT(*) AS n FROM u SEMI JOIN f USING (Token) GROUP BY doc_id)
 SELECT doc_id, (SELECT COUNT(*) FROM f) AS size, CAST(coalesce(n, 0) AS DOUBLE) AS total FROM documents LEFT JOIN c USING (doc_id)""")
 def count_vectors(spark, d):
-    vectors, _ = ft.count_vectors(_tokens(spark, d), vocab_size=(1 << 31) - 1)  # every term
-    return _vector(vectors, "CountFeatures")
+    tokens = _tokens(spark, d).select("doc_id", "ProcessedText")
+    counts, words = ft.count_table(tokens, key="doc_id")
+    totals = tokens.select("doc_id").join(counts.groupBy("doc_id").agg(F.sum("Tf").alias("n")), "doc_id", "left")
+    size = words.agg(F.count(F.lit(1))).scalar()
+    return tidy(totals.select("doc_id", size.alias("size"), F.coalesce("n", F.lit(0)).cast("double").alias("total")), 4)
+
+
+@query("v02_vocabulary", f"""WITH {TOKENS}, u AS (SELECT doc_id, unnest(t) AS Token FROM tok),
+f AS (SELECT Token, COUNT(DISTINCT doc_id) AS Df FROM u GROUP BY Token HAVING Df >= 5 AND Df <= 0.95 * (SELECT COUNT(*) FROM documents)),
+n AS (SELECT Token, Df, row_number() OVER (ORDER BY Df DESC, encode(Token)) - 1 AS Index FROM f),
+o AS (SELECT Token, COUNT(*) AS n FROM u GROUP BY Token)
+SELECT Token, Df, Index, CAST(o.n AS BIGINT) AS occurrences FROM n JOIN o USING (Token)""")
+def vocabulary(spark, d):
+    """Every kept token with its number, and its occurrences summed from the counts that carry the number."""
+    counts, words = ft.count_table(_tokens(spark, d).select("doc_id", "ProcessedText"), key="doc_id")
+    return tidy(words.join(counts.groupBy("Index").agg(F.sum("Tf").alias("occurrences")), "Index"))
 
 
 @query("v03_word_vectors", "SELECT COUNT(*) AS rows, 100 AS size, 0 AS unlike, 0 AS unlike_stored FROM documents")

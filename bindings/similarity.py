@@ -7,8 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from agorastat.functions import text as tx, vectors as vec
-from agorastat.operators import similarity as sim
-from agorastat.sources.storage import materialize
+from agorastat.operators import nearest as near, signatures as sig, similarity as sim
+from agorastat.sources.storage import materialize, scratch_path
 from bindings.language import TOKENS, _documents, _tokens
 from bindings.registry import query, sql_words, table, tidy
 
@@ -95,11 +95,10 @@ def sql_top(queries: str, corpus: str, threshold: float, k: int) -> str:
 
 
 
-@query("a46_similar_questions", f"WITH {DOC_TOKENS}, asked AS (SELECT Id, t FROM docs JOIN labels ON Id = doc_id), {sql_top('asked', 'docs', 0.5, 5).strip()}")
+@query("a46_similar_questions", f"WITH {DOC_TOKENS}, asked AS (SELECT Id, t FROM docs WHERE Id % 100 = 0), {sql_top('asked', 'docs', 0.5, 5).strip()}")
 def similar_questions(spark, d):
     tokens = _as_ids(_tokens(spark, d), "doc_id", "ProcessedText")
-    asked = tokens.join(table(spark, d, "labels"), F.col("Id") == F.col("doc_id"), "left_semi")
-    return tidy(sim.similar_questions(tokens, asked, k=5))
+    return tidy(sim.similar_questions(tokens, tokens.filter("Id % 100 = 0"), k=5))
 
 
 @query("a46_similar_to_one", f"WITH {DOC_TOKENS}, one AS (SELECT * FROM docs WHERE Id = (SELECT MIN(doc_id) FROM labels)), {sql_top('one', 'docs', 0.2, 10).strip()}")
@@ -121,6 +120,34 @@ def minhash_signatures(spark, d):
     return tidy(per_set.agg(F.min("n").alias("tables"), F.sum("rows").alias("rows"), F.count_if(F.col("kinds") > 1).alias("unlike_copies")))
 
 
+@query("a44_signature_store", f"""WITH {DOC_TOKENS}, s AS (SELECT Id, list_sort(list_distinct(t)) AS t FROM docs)
+SELECT COUNT(*) AS members, COUNT(DISTINCT t) AS sets, 24 * COUNT(DISTINCT t) FILTER (len(t) > 0) AS bands, 0 AS unlike FROM s""")
+def signature_store(spark, d):
+    """A store filled by half the documents and then all of them holds what one filled at once does."""
+    tokens = materialize(_as_ids(_tokens(spark, d), "doc_id", "ProcessedText"), "tokens")
+    stepwise, whole = scratch_path(spark, "store"), scratch_path(spark, "store")
+    for part, store in ((tokens.filter("Id % 2 = 0"), stepwise), (tokens, stepwise), (tokens, whole)):
+        sig.add(part, store)
+    names = ("members", "sets", "bands")
+    one, two = ({n: spark.read.parquet(f"{store}/{n}") for n in names} for store in (stepwise, whole))
+    counts = [one[n].agg(F.count(F.lit(1))).scalar().alias(n) for n in names]
+    unlike = sum(one[n].exceptAll(two[n]).unionAll(two[n].exceptAll(one[n])).agg(F.count(F.lit(1))).scalar() for n in names)
+    return tidy(spark.range(1).select(*counts, unlike.alias("unlike")))
+
+
+@query("a46_stored_lookup", f"WITH {DOC_TOKENS}, x AS ({sql_top('docs', 'docs', 0.5, 5).strip().replace('q AS', 'WITH q AS', 1)}) SELECT COUNT(*) AS links, 1 AS recall_reached, 0 AS unlike FROM x")
+def stored_lookup(spark, d):
+    """All documents looked up in the store: nine tenths of the exact best five, with the exact similarity."""
+    tokens = materialize(_as_ids(_tokens(spark, d), "doc_id", "ProcessedText"), "tokens")
+    store = scratch_path(spark, "store")
+    sig.add(tokens, store)
+    found = materialize(sig.look_up(tokens, store, k=5), "found")
+    exact = materialize(sim.similar_questions(tokens, tokens, k=5), "exact")
+    both = found.select("QueryId", "Id", F.col("Similarity").alias("s")).join(exact, ["QueryId", "Id"])
+    unlike = both.agg(F.count_if(F.abs(F.col("s") - F.col("Similarity")) > 1e-9)).scalar()
+    return tidy(near.recall(found, exact).select("links", (F.col("recall") >= 0.9).alias("recall_reached"), unlike.alias("unlike")))
+
+
 TRUTH = """truth AS (SELECT * FROM (SELECT doc_id AS PostId, lag(doc_id) OVER (PARTITION BY text, lang ORDER BY doc_id) AS RelatedPostId
   FROM documents) WHERE RelatedPostId IS NOT NULL)"""
 
@@ -229,6 +256,31 @@ def nearest_to_group_mean(spark, d):
     return tidy(sim.nearest_to_group_mean(_vectors(spark, d), "Label"))
 
 
+NEAREST_SQL = f"""WITH {VECTORS}, s AS (SELECT a.vec_id AS QueryId, b.vec_id AS Id, list_cosine_similarity(a.e, b.e) AS c
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY QueryId ORDER BY c DESC, Id) AS Rank FROM s)
+"""
+
+
+@query("a49_nearest_vectors", NEAREST_SQL + "SELECT QueryId, Id, ROUND(c, 6) AS Cosine, Rank FROM r WHERE Rank <= 10")
+def nearest_vectors(spark, d):
+    """The ten nearest of every vector among all others."""
+    vectors = _vectors(spark, d)
+    return tidy(near.nearest(near.vector_index(vectors, planes=near.EXACT), vectors, planes=near.EXACT))
+
+
+@query("a49_vector_index", NEAREST_SQL + "SELECT COUNT(*) AS links, 1 AS recall_reached, 0 AS unlike FROM r WHERE Rank <= 10")
+def vector_index(spark, d):
+    """The index finds nine tenths of the ten nearest of every vector, and gives its finds their exact cosine."""
+    vectors = _vectors(spark, d)
+    exact = materialize(near.nearest(near.vector_index(vectors, planes=near.EXACT), vectors, planes=near.EXACT), "exact")
+    found = materialize(near.nearest(near.vector_index(vectors), vectors), "found")
+    scored = sim.score_pairs(found.select(F.col("QueryId").alias("IdA"), F.col("Id").alias("IdB"), F.col("Cosine").alias("c")), vectors)
+    unlike = scored.agg(F.count_if(F.abs(F.col("c") - F.col("Cosine")) > 1e-9)).scalar()
+    counted = near.recall(found, exact)
+    return tidy(counted.select("links", (F.col("recall") >= 0.9).alias("recall_reached"), unlike.alias("unlike")))
+
+
 @query("a48_document_vectors", "SELECT COUNT(*) AS rows, 100 AS size, 0 AS unlike FROM documents")
 def document_vectors(spark, d):
     """Vectors of a model fitted here, equal to those of the same model given."""
