@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
@@ -14,11 +15,14 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agorastat.operators.clean import fill_zero
+from agorastat.operators.order_stats import running_counts
+from agorastat.sources.storage import materialize, scratch_path
 from agorastat.sources.writers import hash_share
 
 # The default model features.
@@ -150,6 +154,20 @@ def train(
         prepared.unpersist()
 
 
+def with_folds(df: DataFrame, key: str, folds: int = 5, seed: int = 42, output: str = "Fold") -> DataFrame:
+    """``output``: the fold of each key, from its hash, so the folds are the same on any cluster and in any run."""
+    return df.withColumn(output, F.floor(hash_share(key, seed + 1) * folds).cast("int"))
+
+
+def _grid(algorithm: str, classes: int, grid: Mapping[str, Sequence] | None, seed: int, settings: Mapping) -> tuple[Estimator, list[dict]]:
+    estimator = classifier(algorithm, classes, seed, **settings)
+    tuned = estimator.getClassifier() if isinstance(estimator, OneVsRest) else estimator
+    builder = ParamGridBuilder()
+    for name, values in (GRIDS[algorithm] if grid is None else grid).items():
+        builder.addGrid(tuned.getParam(name), list(values))
+    return estimator, builder.build()
+
+
 def search(
     prepared: DataFrame,
     algorithm: str,
@@ -158,23 +176,78 @@ def search(
     metric: str = "accuracy",
     seed: int = 42,
     parallelism: int = 4,
+    key: str | None = None,
     **settings,
 ) -> Model:
-    """The best model of a cross-validated grid."""
-    estimator = classifier(algorithm, class_count(prepared), seed, **settings)
-    tuned = estimator.getClassifier() if isinstance(estimator, OneVsRest) else estimator
-    builder = ParamGridBuilder()
-    for name, values in (GRIDS[algorithm] if grid is None else grid).items():
-        builder.addGrid(tuned.getParam(name), list(values))
+    """The best model of a cross-validated grid; with ``key`` the folds follow its hash."""
+    estimator, cells = _grid(algorithm, class_count(prepared), grid, seed, settings)
     validator = CrossValidator(
         estimator=estimator,
-        estimatorParamMaps=builder.build(),
+        estimatorParamMaps=cells,
         evaluator=MulticlassClassificationEvaluator(metricName=metric),
         numFolds=folds,
         seed=seed,
         parallelism=parallelism,
+        foldCol="Fold" if key else "",
     )
-    return validator.fit(prepared).bestModel
+    return validator.fit(with_folds(prepared, key, folds, seed) if key else prepared).bestModel
+
+
+def held_out_predictions(
+    prepared: DataFrame,
+    key: str,
+    algorithm: str = "random_forest",
+    grid: Mapping[str, Sequence] | None = None,
+    folds: int = 5,
+    seed: int = 42,
+    parallelism: int = 4,
+    **settings,
+) -> DataFrame:
+    """A-53: ``(Cell, Settings, Fold, key, label, prediction)``: every row predicted once per grid cell by a model that did not see its fold.
+
+    Written cell by cell, so no table is held by the driver; models of different cells and folds are fitted side by side.
+    """
+    rows = with_folds(_slim(prepared, key), key, folds, seed).persist()
+    path = scratch_path(prepared.sparkSession, "held-out")
+    try:
+        estimator, cells = _grid(algorithm, class_count(rows), grid, seed, settings)
+
+        def run(task: tuple[int, int]) -> None:
+            number, fold = task
+            model = estimator.fit(rows.filter(F.col("Fold") != fold), cells[number])
+            described = ", ".join(f"{p.name}={v}" for p, v in sorted(cells[number].items(), key=lambda c: c[0].name))
+            model.transform(rows.filter(F.col("Fold") == fold)).select(
+                F.lit(number).alias("Cell"), F.lit(described).alias("Settings"), "Fold", key, "label", "prediction"
+            ).write.parquet(f"{path}/cell={number}/fold={fold}")
+
+        with ThreadPoolExecutor(parallelism) as pool:
+            list(pool.map(run, [(c, f) for c in range(len(cells)) for f in range(folds)]))
+    finally:
+        rows.unpersist()
+    parts = [f"{path}/cell={c}/fold={f}" for c in range(len(cells)) for f in range(folds)]
+    return prepared.sparkSession.read.parquet(*parts)
+
+
+def grid_metrics(held_out: DataFrame, metric: str = "Accuracy") -> DataFrame:
+    """``(Cell, Settings, Fold, HeldOut, Accuracy, F1, Best)`` of held-out predictions.
+
+    F1 is weighted by the share of each label. ``Best`` marks the rows of the cell with the highest mean of ``metric`` over
+    its folds, the first of equals.
+    """
+    place = ["Cell", "Settings", "Fold"]
+    counts = held_out.groupBy(*place, "label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+    hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
+    actual = counts.groupBy(*place, F.col("label").alias("c")).agg(F.sum("n").alias("actual"), F.sum(hit).alias("hits"))
+    claimed = counts.groupBy(*place, F.col("prediction").alias("c")).agg(F.sum("n").alias("claimed"))
+    f1 = 2 * F.col("hits") / (F.col("actual") + F.coalesce("claimed", F.lit(0)))
+    folds = actual.join(claimed, [*place, "c"], "left").groupBy(*place).agg(
+        F.sum("actual").alias("HeldOut"),
+        (F.sum("hits") / F.sum("actual")).alias("Accuracy"),
+        (F.sum(f1 * F.col("actual")) / F.sum("actual")).alias("F1"),
+    )
+    means = folds.groupBy("Cell").agg(F.avg(metric).alias("mean"))
+    best = means.agg(F.min(F.struct((-F.col("mean")).alias("m"), "Cell"))["Cell"]).scalar()
+    return folds.withColumn("Best", F.col("Cell") == best)
 
 
 def train_with_cv(
@@ -193,7 +266,7 @@ def train_with_cv(
     prepared = _slim(prepare(df, features, label), key).persist()
     try:
         fitted, test = split(prepared, test_share, seed, key)
-        model = search(fitted, algorithm, grid, folds, seed=seed, **settings)
+        model = search(fitted, algorithm, grid, folds, seed=seed, key=key, **settings)
         return model, evaluate(model.transform(test))
     finally:
         prepared.unpersist()
@@ -213,7 +286,7 @@ def compare_models(
         fitted, test = split(slim, test_share, seed, key)
         rows = []
         for algorithm, grid in grids.items():
-            model = search(fitted, algorithm, grid, folds, "f1", seed)
+            model = search(fitted, algorithm, grid, folds, "f1", seed, key=key)
             rows.append((algorithm, *evaluate(model.transform(test)).values()))
     finally:
         slim.unpersist()
@@ -255,6 +328,34 @@ def feature_importance(model: Model, features: Sequence[str], df: DataFrame) ->
     return table.orderBy(F.desc("importance"), "feature")
 
 
+def permuted_predictions(model: Model, prepared: DataFrame, features: Sequence[str], key: str, seed: int = 42) -> DataFrame:
+    """A-57: ``(key, Feature, Value, label, prediction)``: each row as it is (``Feature`` null) and once per feature with a donor's value.
+
+    Rows are numbered by the hash of their key, in ranges, and the next row (the first after the last) is
+    the donor, so every feature keeps its values and loses its tie to the label. All variants are predicted in one pass.
+    """
+    cells = vector_to_array("features")
+    rows = materialize(prepared.select(key, "label", cells.alias("x"), F.struct(F.xxhash64(key, F.lit(seed)).alias("h"), F.col(key).alias("k")).alias("at")), "rows")
+    places = running_counts(rows.select("at"), "at").select("at", F.col("ValuesBefore").alias("place"), "TotalValues")
+    placed = materialize(rows.dropDuplicates([key]).join(places, "at"), "placed")
+    donors = placed.select(F.pmod(F.col("place") - 1, F.col("TotalValues")).alias("place"), F.col("x").alias("y"))
+    variants = F.explode(F.array(F.lit(None).cast("int"), *[F.lit(i) for i in range(len(features))]))
+    both = placed.join(donors, "place").select(key, "label", "x", "y", variants.alias("i"))
+    changed = F.transform("x", lambda v, j: F.when(j == F.col("i"), F.get("y", j)).otherwise(v))
+    names = F.array(*[F.lit(f) for f in features])
+    given = both.select(key, "label", F.get(names, F.col("i")).alias("Feature"), F.get("y", F.col("i")).alias("Value"), array_to_vector(changed).alias("features"))
+    return model.transform(given).select(key, "Feature", "Value", "label", "prediction")
+
+
+def score_drops(predictions: DataFrame) -> DataFrame:
+    """A-57 for any model: ``(Feature, Accuracy, Importance)``, the accuracy lost when a feature is permuted, largest first."""
+    right = (F.col("label") == F.col("prediction")).cast("double")
+    accuracy = predictions.groupBy("Feature").agg(F.avg(right).alias("Accuracy"))
+    whole = predictions.filter("Feature IS NULL").agg(F.avg(right)).scalar()
+    table = accuracy.filter("Feature IS NOT NULL").withColumn("Importance", whole - F.col("Accuracy"))
+    return table.orderBy(F.desc("Importance"), "Feature")
+
+
 def save_model(model: Model, path: str) -> None:
     """A-58: any fitted model, of any algorithm."""
     PipelineModel(stages=[model]).write().overwrite().save(path)

@@ -93,6 +93,23 @@ def cluster_sizes(spark, d):
     return tidy(joined.agg(F.sum(size).alias("total"), F.count_if(~F.col(size).eqNullSafe(F.col("own"))).alias("unlike")))
 
 
+@query("a50_cluster_tree", "SELECT COUNT(*) AS vectors, COUNT(*) AS leaf_rows, 0 AS unlike, 0 AS odd_costs FROM embeddings")
+def cluster_tree(spark, d):
+    """Walking the tree table leads every vector to its cluster, and the distances met add up to the leaves' costs."""
+    vectors = table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("a")).withColumn("v", array_to_vector("a"))
+    clustered, model = topics.cluster(vectors, features="v")
+    tree = materialize(topics.cluster_tree(model, spark), "tree")
+    walked = materialize(topics.walk_tree(vectors, tree, "a", "vec_id"), "walked")
+    met = walked.groupBy("Node").agg(F.sum("Distance").alias("met"), F.count(F.lit(1)).alias("n"))
+    leaves = tree.join(met, "Node", "left_semi").join(met, "Node")
+    odd = leaves.agg(F.count_if(F.abs(F.col("met") - F.col("Cost")) > 1e-6 * F.greatest("Cost", F.lit(1.0)))).scalar()
+    both = clustered.select("vec_id", "ClusterId").join(walked, "vec_id", "left")
+    return tidy(both.agg(
+        F.count(F.lit(1)).alias("vectors"), leaves.agg(F.sum("Rows")).scalar().alias("leaf_rows"),
+        F.count_if(~F.col("ClusterId").eqNullSafe(F.col("Node"))).alias("unlike"), odd.alias("odd_costs"),
+    ))
+
+
 @query("a51_topic_fit")
 def topic_fit(spark, d):
     tokens, model = _topics(spark, d)
@@ -177,6 +194,27 @@ def cross_validated(spark, d):
     return _metrics(spark, metrics)
 
 
+@query("a53_grid_cells", """WITH s AS (SELECT unnest(['elasticNetParam=0.0, regParam=0.01', 'elasticNetParam=0.0, regParam=0.1',
+  'elasticNetParam=0.5, regParam=0.01', 'elasticNetParam=0.5, regParam=0.1']) AS Settings)
+SELECT Settings, 5 AS folds, (SELECT COUNT(*) FROM documents JOIN labels USING (doc_id)) AS held_out, 0 AS not_once, 0 AS unlike, 1 AS best_cells FROM s""")
+def grid_cells(spark, d):
+    """Every grid cell predicts each row once, by a model of other folds; its fold metrics equal those of the evaluation; one cell is best."""
+    prepared = quality.prepare(labelled(spark, d), FEATURES)
+    held_out = materialize(quality.held_out_predictions(prepared, "Id", "logistic"), "held-out")
+    cells = materialize(quality.grid_metrics(held_out), "cells")
+    right = F.avg((F.col("label") == F.col("prediction")).cast("double"))
+    counted = held_out.groupBy("Cell", "Fold").agg(right.alias("own"), F.count_distinct("Id").alias("ids"))
+    joined = cells.join(counted, ["Cell", "Fold"])
+    times = held_out.groupBy("Cell", "Id").agg(F.count(F.lit(1)).alias("n")).groupBy("Cell").agg(F.count_if(F.col("n") != 1).alias("not_once"))
+    per_cell = joined.groupBy("Cell", "Settings").agg(
+        F.count(F.lit(1)).alias("folds"), F.sum("HeldOut").alias("held_out"),
+        F.count_if((F.abs(F.col("own") - F.col("Accuracy")) > 1e-9) | ~F.col("F1").between(0, 1)).alias("unlike"), F.avg("Accuracy").alias("mean"), F.max("Best").alias("Best"),
+    )
+    top = per_cell.agg(F.max("mean")).scalar()
+    best = per_cell.agg(F.count_if(F.col("Best") & (F.col("mean") >= top - 1e-12))).scalar()
+    return tidy(per_cell.join(times, "Cell").select("Settings", "folds", "held_out", "not_once", "unlike", best.alias("best_cells")))
+
+
 @query("a54_model_comparison")
 def model_comparison(spark, d):
     return tidy(quality.compare_models(quality.prepare(labelled(spark, d), FEATURES), key="Id"))
@@ -228,6 +266,23 @@ def feature_importance(spark, d):
     return tidy(quality.feature_importance(model, FEATURES, rows))
 
 
+@query("a57_permuted_features", f"""WITH r AS (SELECT length(text) AS BodyLength, len({sql_words('text')}) AS BodyWordCount,
+  len(regexp_extract_all(text, '\\.')) AS Sentences, len(regexp_extract_all(text, '[0-9]')) AS Digits FROM documents JOIN labels USING (doc_id))
+SELECT Feature, COUNT(*) AS rows, CAST(SUM(Value) AS DOUBLE) AS total, 0 AS odd FROM (UNPIVOT r ON BodyLength, BodyWordCount, Sentences, Digits INTO NAME Feature VALUE Value) GROUP BY Feature
+""")
+def permuted_features(spark, d):
+    """Each feature keeps its rows and values when permuted; the drops recomputed from the predictions equal the table's."""
+    rows = labelled(spark, d)
+    model, _ = quality.train(rows, "logistic", FEATURES, key="Id")
+    predicted = materialize(quality.permuted_predictions(model, quality.prepare(rows, FEATURES), FEATURES, "Id"), "permuted")
+    drops = quality.score_drops(predicted)
+    as_is = predicted.filter("Feature IS NULL").select("Id", (F.col("label") == F.col("prediction")).cast("int").alias("was"))
+    changed = predicted.filter("Feature IS NOT NULL").withColumn("now", (F.col("label") == F.col("prediction")).cast("int")).join(as_is, "Id")
+    own = changed.groupBy("Feature").agg(F.count(F.lit(1)).alias("rows"), F.sum("Value").alias("total"), F.avg(F.col("was") - F.col("now")).alias("own"))
+    joined = own.join(drops, "Feature")
+    return tidy(joined.select("Feature", "rows", "total", (F.abs(F.col("own") - F.col("Importance")) > 1e-9).alias("odd")))
+
+
 def _differences(fitted, stored, key, column):
     """Rows, and rows whose value a stored model gives otherwise."""
     both = fitted.select(key, F.col(column).alias("x")).join(stored.select(key, F.col(column).alias("y")), key, "full")
