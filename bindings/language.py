@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from agorastat.functions import text as tx
+from agorastat.functions import text as tx, vectors as vec
 from agorastat.functions.sentiment import INTENSIFIERS, NEGATIVE, NEGATORS, POSITIVE, Lexicon
 from agorastat.operators import aggregates as agg, features as ft, sentiment as se, text
-from agorastat.sources.storage import scratch_path
+from agorastat.sources.storage import materialize, scratch_path
 from bindings.registry import SPACE, query, raw_questions, sql_clean, sql_list, sql_words, table, tidy
 
 
@@ -365,12 +365,23 @@ def word_vectors(spark, d):
     )
 
 
-@query("v04_similar_words")
+@query("v04_similar_words", "SELECT 10 AS words, 0 AS unlike, 0 AS closer_left_out, 0 AS itself FROM documents LIMIT 1")
 def similar_words(spark, d):
+    """Ten other words with the cosine of the two vectors; no word that is left out is closer."""
     tokens = text.word_tokens(_documents(spark, d), "text", "ProcessedText", key="doc_id").select("doc_id", "ProcessedText")
     _, model = ft.word_vectors(tokens)
     word = agg.word_frequency(tokens, k=1).first()["Word"]
-    return tidy(ft.similar_words(model, word))
+    near = materialize(ft.similar_words(model, word), "near")
+    vectors = materialize(model.getVectors().select("word", vector_to_array("vector").alias("v")), "vectors")
+    asked = vectors.filter(F.col("word") == word).select("v").scalar()
+    beside = vectors.withColumn("asked", asked)
+    scored = beside.select("word", vec.cosine("v", "asked").alias("own")).join(near, "word", "left")
+    least = near.agg(F.min("similarity")).scalar()
+    return tidy(scored.agg(
+        F.count("similarity").alias("words"), F.count_if(F.abs(F.col("own") - F.col("similarity")) > 1e-4).alias("unlike"),
+        F.count_if(F.col("similarity").isNull() & (F.col("word") != word) & (F.col("own") > least + 1e-4)).alias("closer_left_out"),
+        F.count_if((F.col("word") == word) & F.col("similarity").isNotNull()).alias("itself"),
+    ))
 
 
 LINE = ["l_quantity", "l_extendedprice", "l_discount"]
@@ -423,8 +434,14 @@ def combined_vectors(spark, d):
     )
 
 
-@query("v08_question_vectors")
+@query("v08_question_vectors", """SELECT COUNT(*) AS rows, 1003 AS size, 0 AS unlike, 0 AS negative
+FROM orders""")
 def question_vectors(spark, d):
+    """A thousand weights, none negative, then views, answers and tags as they are."""
     shaped = raw_questions(spark, d).withColumn("tag_count", F.size("tags"))
     vectors, _ = ft.question_vectors(shaped)
-    return _vector(vectors, "features", "question_id")
+    cells = vectors.select(vector_to_array("features").alias("v"), F.array("view_count", "answer_count", "tag_count").cast("array<double>").alias("own"))
+    return tidy(cells.agg(
+        F.count(F.lit(1)).alias("rows"), F.max(F.size("v")).alias("size"), F.count_if(F.slice("v", 1001, 3) != F.col("own")).alias("unlike"),
+        F.count_if(F.exists("v", lambda x: x < 0)).alias("negative"),
+    ))

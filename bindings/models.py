@@ -43,9 +43,22 @@ def argmax(spark, d):
     return tidy(table(spark, d, "embeddings").select("vec_id", vec.argmax("embedding").alias("top")))
 
 
-@query("a42_topic_words")
+@query("a42_topic_words", "SELECT 20 AS topics, 160 AS words, 0 AS unlike, 0 AS heavier_left_out FROM documents LIMIT 1")
 def topic_words(spark, d):
-    return tidy(_topics(spark, d)[1].words(8))
+    """Eight different words per topic; their weights and places are those of the model's own topic matrix."""
+    _, model = _topics(spark, d)
+    matrix = model.lda.topicsMatrix().toArray()  # terms x topics, as fitted
+    shares = matrix / matrix.sum(axis=0)
+    cells = [(t, w, float(shares[i, t])) for i, w in enumerate(model.vectorizer.vocabulary) for t in range(shares.shape[1])]
+    own = spark.createDataFrame(cells, "topic int, word string, share double")
+    listed = materialize(model.words(8), "words")
+    least = listed.groupBy("topic").agg(F.min("weight").alias("least"))
+    joined = own.join(least, "topic").join(listed, ["topic", "word"], "left")
+    return tidy(joined.agg(
+        F.count_distinct("topic").alias("topics"), F.count("weight").alias("words"),
+        F.count_if(F.abs(F.col("weight") - F.col("share")) > 1e-9).alias("unlike"),
+        F.count_if(F.col("weight").isNull() & (F.col("share") > F.col("least") + 1e-12)).alias("heavier_left_out"),
+    ))
 
 
 TOPICAL = f"""WITH {POSTS}, docs AS (SELECT *, OwnerUserId % 7 AS DominantTopic FROM posts)"""
@@ -170,28 +183,51 @@ def prepared_features(spark, d):
     return prepared.select("Id", "label", cells[0].alias("f0"), cells[1].alias("f1"))
 
 
-@query("a52_random_forest")
+TRAINED_SQL = "SELECT COUNT(*) AS rows, 0 AS unlike, 1 AS as_good_as_the_commonest FROM documents JOIN labels USING (doc_id)"
+
+
+def _facts(prepared, predictions, metrics):
+    """Rows, metrics that differ from those counted here, and whether the model reaches the share of the commonest label (less 0.1)."""
+    own = predictions.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+    n, hit = F.col("n"), F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
+    by_label = own.groupBy("label").agg(F.sum(n).alias("actual"), F.sum(hit).alias("hits"))
+    claimed = own.groupBy(F.col("prediction").alias("label")).agg(F.sum(n).alias("claimed"))
+    f1 = 2 * F.col("hits") / (F.col("actual") + F.coalesce("claimed", F.lit(0)))
+    row = by_label.join(claimed, "label", "left").agg(
+        (F.sum("hits") / F.sum("actual")).alias("accuracy"), (F.sum(f1 * F.col("actual")) / F.sum("actual")).alias("f1"),
+        (F.max("actual") / F.sum("actual")).alias("commonest"),
+    )
+    unlike = sum((F.abs(F.col(m) - metrics[m]) > 1e-9).cast("int") for m in ("accuracy", "f1"))
+    rows = prepared.agg(F.count(F.lit(1))).scalar()
+    return tidy(row.select(rows.alias("rows"), unlike.alias("unlike"), (F.col("accuracy") >= F.col("commonest") - 0.1).alias("as_good_as_the_commonest")))
+
+
+def _trained(spark, d, train, label="QualityLabel", **settings):
+    rows = labelled(spark, d)
+    model, metrics = train(rows, features=FEATURES, label=label, key="Id", **settings)
+    prepared = quality.prepare(rows, FEATURES, label)
+    _, test = quality.split(prepared.select("Id", "features", "label"), key="Id")
+    return _facts(prepared, materialize(model.transform(test).select("label", "prediction"), "predictions"), metrics)
+
+
+@query("a52_random_forest", TRAINED_SQL)
 def random_forest(spark, d):
-    _, metrics = quality.train(labelled(spark, d), features=FEATURES, key="Id")
-    return _metrics(spark, metrics)
+    return _trained(spark, d, quality.train)
 
 
-@query("a52_gradient_boosting_three_way")
+@query("a52_gradient_boosting_three_way", TRAINED_SQL)
 def gradient_boosting(spark, d):
-    _, metrics = quality.train(labelled(spark, d), "gradient_boosting", FEATURES, "ThreeWay", key="Id")
-    return _metrics(spark, metrics)
+    return _trained(spark, d, quality.train, "ThreeWay", algorithm="gradient_boosting")
 
 
-@query("a52_logistic")
+@query("a52_logistic", TRAINED_SQL)
 def logistic(spark, d):
-    _, metrics = quality.train(labelled(spark, d), "logistic", FEATURES, key="Id")
-    return _metrics(spark, metrics)
+    return _trained(spark, d, quality.train, algorithm="logistic")
 
 
-@query("a53_cross_validated")
+@query("a53_cross_validated", TRAINED_SQL)
 def cross_validated(spark, d):
-    _, metrics = quality.train_with_cv(labelled(spark, d), features=FEATURES, key="Id")
-    return _metrics(spark, metrics)
+    return _trained(spark, d, quality.train_with_cv)
 
 
 @query("a53_grid_cells", """WITH s AS (SELECT unnest(['elasticNetParam=0.0, regParam=0.01', 'elasticNetParam=0.0, regParam=0.1',
@@ -215,9 +251,14 @@ def grid_cells(spark, d):
     return tidy(per_cell.join(times, "Cell").select("Settings", "folds", "held_out", "not_once", "unlike", best.alias("best_cells")))
 
 
-@query("a54_model_comparison")
+@query("a54_model_comparison", "SELECT unnest(['logistic', 'random_forest']) AS model, 0 AS outside, 1 AS best_has_highest_f1, 1 AS one_best FROM documents LIMIT 2")
 def model_comparison(spark, d):
-    return tidy(quality.compare_models(quality.prepare(labelled(spark, d), FEATURES), key="Id"))
+    """One row per algorithm, metrics between 0 and 1, and the one best row has the highest F1."""
+    compared = materialize(quality.compare_models(quality.prepare(labelled(spark, d), FEATURES), key="Id"), "compared")
+    top = compared.agg(F.max("f1")).scalar()
+    best = compared.agg(F.count_if("best")).scalar()
+    outside = sum((~F.col(m).between(0, 1)).cast("int") for m in ("accuracy", "f1", "precision", "recall", "auc"))
+    return tidy(compared.select("model", outside.alias("outside"), ((F.col("f1") == top) | ~F.col("best")).alias("best_has_highest_f1"), best.alias("one_best")))
 
 
 CELLS = """p AS (SELECT CAST(quality AS DOUBLE) AS label, CAST(1 - toxic AS DOUBLE) AS prediction FROM labels)"""
@@ -259,11 +300,17 @@ def predictions(spark, d):
     )
 
 
-@query("a57_feature_importance")
+@query("a57_feature_importance", """SELECT unnest(['BodyLength', 'BodyWordCount', 'Digits', 'Sentences']) AS feature, 1 AS total_is_one, 0 AS unlike FROM documents LIMIT 4""")
 def feature_importance(spark, d):
+    """The forest's importances add up to one and are the means of its trees' normalised ones."""
     rows = labelled(spark, d)
     model, _ = quality.train(rows, features=FEATURES, key="Id")
-    return tidy(quality.feature_importance(model, FEATURES, rows))
+    trees = [t.featureImportances.toArray() for t in model.trees]
+    means = sum(trees) / sum(t.sum() for t in trees)
+    own = spark.createDataFrame([(f, float(x)) for f, x in zip(FEATURES, means)], "feature string, own double")
+    found = materialize(quality.feature_importance(model, FEATURES, rows), "importance")
+    total = found.agg(F.sum("importance")).scalar()
+    return tidy(found.join(own, "feature").select("feature", (F.abs(total - 1) < 1e-9).alias("total_is_one"), (F.abs(F.col("own") - F.col("importance")) > 1e-9).alias("unlike")))
 
 
 @query("a57_permuted_features", f"""WITH r AS (SELECT length(text) AS BodyLength, len({sql_words('text')}) AS BodyWordCount,
