@@ -275,6 +275,18 @@ def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, starts[:-1]) if len(starts) > 1 else np.zeros(0)
 
 
+def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The ``most`` most frequent words; only words of a power of two that can be among them are sorted."""
+    power = F.floor(F.log2("c"))
+    powers = counts.groupBy(power.alias("power")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("power")).collect()  # 64 rows at most
+    least, held = 0, 0
+    for row in powers:
+        least, held = 1 << int(row["power"]), held + row["n"]
+        if held >= most:
+            break
+    return counts.filter(F.col("c") >= least).orderBy(F.col("c").desc(), "word").limit(most)
+
+
 def score_documents(docs: DataFrame, held_out, sizes: Sizes = Sizes()) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` of each row of ``docs(doc_id, text)``.
 
@@ -285,7 +297,7 @@ def score_documents(docs: DataFrame, held_out, sizes: Sizes = Sizes()) -> DataFr
     counts = materialize(training.mapInArrow(_count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("c")).filter("c > 0"), "counts")
     last = F.conv(F.hex(F.substring(F.encode("word", "utf-8"), -1, 1)), 16, 10).cast("int") % FORMS
     forms = counts.groupBy(last.alias("form")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()  # 32 rows at most
-    head = counts.orderBy(F.col("c").desc(), "word").limit(sizes.head_words).toArrow()
+    head = _most_frequent(counts, sizes.head_words).toArrow()
     vocabulary = Vocabulary(head["word"].combine_chunks(), head["c"].to_numpy().astype(np.int64), sizes)
     tokens, words = sum(r["n"] for r in forms), sum(r["v"] for r in forms)
     n, v = np.zeros(FORMS, np.int64), np.zeros(FORMS, np.int64)
