@@ -9,6 +9,8 @@ import time
 import duckdb
 from pyspark.sql import SparkSession
 
+from agorastat.sources import storage
+
 TABLES = """region nation customer supplier part orders lineitem events documents embeddings pages benchmark
 labels conversations""".split()
 
@@ -37,8 +39,9 @@ def compare(spark: SparkSession, name: str, folder: str) -> str:
     from bindings import ORACLES, QUERIES
 
     started = time.time()
-    df = QUERIES[name](spark, folder)
-    rows = [tuple(r[c] for c in sorted(df.columns)) for r in df.collect()]
+    with storage.scratch(spark):
+        df = QUERIES[name](spark, folder)
+        rows = [tuple(r[c] for c in sorted(df.columns)) for r in df.collect()]
     took = time.time() - started
     if name not in ORACLES:
         return f"ROWS {name}: {len(rows)} rows, {took:.1f}s {df.columns}"

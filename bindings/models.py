@@ -204,7 +204,9 @@ def _facts(prepared, predictions, metrics):
 
 def _trained(spark, d, train, label="QualityLabel", **settings):
     rows = labelled(spark, d)
-    model, metrics = train(rows, features=FEATURES, label=label, key="Id", **settings)
+    if label != "QualityLabel":
+        settings["label"] = label
+    model, metrics = train(rows, features=FEATURES, key="Id", **settings)
     prepared = quality.prepare(rows, FEATURES, label)
     _, test = quality.split(prepared.select("Id", "features", "label"), key="Id")
     return _facts(prepared, materialize(model.transform(test).select("label", "prediction"), "predictions"), metrics)

@@ -3,7 +3,7 @@ import math
 import random
 
 import pytest
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 import bindings
@@ -150,3 +150,51 @@ def test_queries_use_the_operators_own_settings(spark, monkeypatch, name, owner,
     with pytest.raises(Fitted) as given:
         bindings.QUERIES[name](spark, "/root/testdata/sf0.001")
     assert given.value.args[0] <= free
+
+
+def labelled_rows(spark, n=300):
+    rng = random.Random(8)
+    rows = [(i, float(rng.random()), float(rng.random()), 0.5) for i in range(n)]
+    return spark.createDataFrame([(*r, int(r[1] > 0.5)) for r in rows], "Id long, A double, B double, Same double, QualityLabel int")
+
+
+def test_held_out_cells_follow_the_keys(spark):
+    prepared = quality.prepare(labelled_rows(spark), ["A", "B"])
+    settings = {"grid": {"regParam": [0.0, 100.0]}, "folds": 3}
+    held_out = quality.held_out_predictions(prepared, "Id", "logistic", **settings)
+    rows = held_out.collect()
+    assert len(rows) == 600 and len({(r["Cell"], r["Id"]) for r in rows}) == 600
+    again = quality.held_out_predictions(prepared.repartition(5), "Id", "logistic", **settings).collect()
+    assert {(r["Id"], r["Fold"]) for r in rows} == {(r["Id"], r["Fold"]) for r in again}
+    table = quality.grid_metrics(held_out).collect()
+    assert {(r["Cell"], r["Fold"]) for r in table} == {(c, f) for c in range(2) for f in range(3)}
+    assert {r["Settings"] for r in table if r["Best"]} == {"regParam=0.0"}
+    for r in table:
+        own = [x for x in rows if (x["Cell"], x["Fold"]) == (r["Cell"], r["Fold"])]
+        assert r["HeldOut"] == len(own) and r["Accuracy"] == pytest.approx(sum(x["label"] == x["prediction"] for x in own) / len(own))
+
+
+def test_permuting_the_feature_that_decides_costs_most(spark):
+    rows = labelled_rows(spark)
+    features = ["A", "B", "Same"]
+    model, _ = quality.train(rows, "logistic", features, key="Id")
+    predicted = quality.permuted_predictions(model, quality.prepare(rows, features), features, "Id").persist()
+    assert predicted.count() == 4 * 300
+    for feature in features:
+        values = [r["Value"] for r in predicted.filter(F.col("Feature") == feature).collect()]
+        assert sorted(values) == sorted(r[0] for r in rows.select(feature).collect())
+    drops = {r["Feature"]: r["Importance"] for r in quality.score_drops(predicted).collect()}
+    assert drops["A"] > 0.3 and abs(drops["B"]) < 0.1 and drops["Same"] == 0
+
+
+def test_walking_the_tree_finds_each_cluster(spark):
+    rng = random.Random(2)
+    rows = [(i, [rng.gauss(i % 5 * 10, 1), rng.gauss(i % 3 * 10, 1)]) for i in range(200)]
+    df = spark.createDataFrame(rows, "Id long, a array<double>").withColumn("v", array_to_vector("a"))
+    clustered, model = topics.cluster(df, 6, "v")
+    tree = topics.cluster_tree(model, spark)
+    assert tree.filter("Parent IS NULL").count() == 1 and tree.count() == 11
+    walked = topics.walk_tree(df, tree, "a", "Id")
+    assert clustered.join(walked, "Id").filter("ClusterId = Node").count() == 200
+    costs = walked.groupBy("Node").agg(F.sum("Distance").alias("d")).join(tree, "Node").collect()
+    assert all(r["d"] == pytest.approx(r["Cost"], rel=1e-6) for r in costs)
