@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agorastat.llm.common import materialize, utf8
+from agorastat.operators.order_stats import running_counts
 
 LENGTH = 100
 KGRAM = 32
@@ -496,19 +497,32 @@ def _union(ranges: Iterable[tuple[int, int]], size: int) -> list[tuple[int, int]
     return [(s, e) for s, e in out]
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``doc_id, _doc, _text``: each distinct pair of id and text is a document of its own, and ``_doc`` orders them by id.
+
+    Where no id occurs twice it is the id itself, and no text moves. Otherwise the pairs are numbered in ranges
+    by id and hash of the text.
+    """
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    rows = docs.select("doc_id", key.alias("_doc"), F.coalesce("text", F.lit("")).alias("_text"))
+    if rows.groupBy("_doc").count().filter("count > 1").isEmpty():
+        return rows
+    paired = rows.withColumn("_pair", F.struct("_doc", F.sha2("_text", 256).alias("sha"))).drop("_doc")
+    places = running_counts(paired.select("_pair"), "_pair").select("_pair", F.col("ValuesBefore").alias("_doc"))
+    return materialize(paired.join(places, "_pair").select("doc_id", "_doc", "_text"), "numbered")
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, kgram: int = KGRAM, keep_bytes: bool = False, **limits) -> DataFrame:
     """Per document ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``, and with ``keep_bytes`` the bytes that stay.
 
-    Texts count as UTF-8 bytes, null as empty; a null doc_id comes before all others. Rows that share a doc_id
-    are one document: the ranges found in any of them are removed from each, so equal rows keep equal
-    results. Texts are shuffled once, by document.
+    Texts count as UTF-8 bytes, null as empty; a null doc_id comes before all others. Repeated rows are one
+    document and keep equal results; different texts under one doc_id are documents of their own, in the order of
+    their hashes. Texts are shuffled once, by document, and once more where an id repeats.
     """
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    keyed = docs.select(key.alias("_doc"), F.coalesce("text", F.lit("")).alias("_text"))
+    numbered = _numbered(docs)
+    keyed = numbered.select("_doc", "_text")
     ranges = repeated_ranges(keyed, length, kgram, **limits).groupBy("doc").agg(F.collect_list(F.struct("s", "e")).alias("ranges"))
-    joined = docs.select("doc_id", key.alias("_doc"), F.coalesce("text", F.lit("")).alias("_text")).join(
-        ranges, F.col("_doc") == F.col("doc"), "left"
-    )
+    joined = numbered.join(ranges, F.col("_doc") == F.col("doc"), "left")
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * keep_bytes
 
     def run(batches):
