@@ -305,12 +305,28 @@ def marginals(field: Field, model: Model, rounds: int = 20, damping: float = 0.3
     return p / p.sum(axis=1, keepdims=True)
 
 
+def _tied(field: Field) -> np.ndarray:
+    """Whether skip links lead from each mention, directly or over others, to a pattern's span."""
+    least = list(range(len(field.labels)))
+
+    def top(i: int) -> int:
+        while least[i] != i:
+            least[i] = least[least[i]]
+            i = least[i]
+        return i
+
+    for i, j in field.skips:
+        least[top(max(i, j))] = top(min(i, j))
+    tops = np.array([top(i) for i in range(len(least))], np.int64)
+    return np.isin(tops, tops[field.labels > 0])
+
+
 def find(text: str | None, model: Model, at_least: float = 0.5) -> tuple[list[Span], list[Span]]:
     """The patterns' spans, and those that the field adds.
 
-    A mention is added if a skip link ties it to others and its likeliest label is an entity
-    with more than ``at_least``; without a link to a pattern's span no mention can be added,
-    so the field runs only where there is one.
+    A mention is added if skip links lead from it to a pattern's span and its likeliest label is an
+    entity with more than ``at_least``. Repeats that no link ties to a span are never added, whatever
+    else the text holds, so the field runs only where an open link to a span can exist.
     """
     if not text or not ("@" in text or _DIGIT.search(text)):
         return [], []
@@ -320,12 +336,14 @@ def find(text: str | None, model: Model, at_least: float = 0.5) -> tuple[list[Sp
     field = field_of(text, base)
     if all(field.labels[i] and field.labels[j] for i, j in field.skips):
         return base, []
+    tied = _tied(field)
+    if not (tied & (field.labels == 0)).any():
+        return base, []
     p = marginals(field, model)
-    tied = {i for link in field.skips for i in link}
     added = []
     for i, (start, end) in enumerate(field.spans):
         label = int(p[i].argmax())
-        if field.labels[i] == 0 and i in tied and label and p[i, label] > at_least:
+        if field.labels[i] == 0 and tied[i] and label and p[i, label] > at_least:
             added.append(Span(LABELS[label], start, end))
     return base, added
 

@@ -186,3 +186,14 @@ def test_chat_digests(spark):
 
 if __name__ == "__main__":
     pytest.main([__file__])
+
+
+def test_an_unrelated_span_adds_no_unlinked_repeat(spark):
+    repeat = "call (523) 555 1055 x and (523) 555 1055"
+    known = "call +1 523 555 1055 now, mail a@b.com " + repeat
+    model = pii.fit(spark.createDataFrame([(f"reach +1 523 555 {1000 + i} or m{i}@b.com today 12 {i}",) for i in range(50)], "text string"))
+    assert pii.find(repeat, model) == ([], [])
+    base, added = pii.find("mail a@b.com " + repeat, model)
+    assert [s.kind for s in base] == ["email"] and added == []
+    base, added = pii.find(known, model)
+    assert sorted(s.kind for s in base) == ["email", "phone"] and [s.kind for s in added] == ["phone", "phone"]
