@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from agorastat.llm.common import byte_table, mapped, materialize, text_blocks
 from agorastat.llm.components import components
@@ -241,26 +242,66 @@ def hamming_links(nodes: DataFrame, most: int = MOST_BITS, crowded: int = CROWDE
     return out.distinct()
 
 
+def _groups(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, fp)`` per row, and ``(fp, label, component_id)`` per fingerprint.
+
+    Nodes are the fingerprints themselves, so rows without an id link others too. The label names a
+    component; ``component_id`` is its least doc_id, null where no row of it has one.
+    """
+    prints = materialize(fingerprints(docs, id_col, text_col), "fingerprints")
+    nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+    reached = components(hamming_links(nodes.select(F.col("fp").alias("node"), "fp")))
+    linked = materialize(nodes.join(reached, F.col("fp") == F.col("node")).select("fp", "least", "component"), "linked")
+    ids = linked.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = linked.join(ids, "component").select("fp", F.col("component").alias("label"), "component_id")
+    return prints, materialize(
+        nodes.join(named, "fp", "left").select(
+            "fp", F.coalesce("label", "fp").alias("label"), F.coalesce("component_id", "least").alias("component_id")
+        ),
+        "groups",
+    )
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, fingerprint, component_id)``: documents linked by fingerprints within three bits.
 
-    Equal fingerprints are one node with the least doc_id, so copies never meet as pairs.
-    ``component_id`` is the least doc_id that links reach; a null doc_id is left out of it and
-    belongs to the component of its fingerprint. Repeated rows stay.
+    Equal fingerprints are one node, so copies never meet as pairs. ``component_id`` is the least
+    doc_id that links reach; rows with a null doc_id link others like any row and are left out of the
+    least, which is null only where all ids of a component are. Repeated rows stay.
     """
-    prints = materialize(fingerprints(docs, id_col, text_col), "fingerprints")
-    nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("node")).filter("node IS NOT NULL"), "nodes")
-    reached = components(hamming_links(nodes))
-    named = nodes.join(reached, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(named, "fp", "left").select(
+    prints, groups = _groups(docs, id_col, text_col)
+    return prints.join(groups, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the least id, with all its columns."""
+    """One row of each group of near-duplicates, the one with the least id (nulls last), with all its columns.
+
+    Of repeated rows, different texts under the least id and rows without any id, the one with the
+    least hash of its columns stays. Only rows whose id is null or occurs twice are looked at again;
+    all others are told apart by their id, and no text is shuffled for them.
+    """
     inner = docs.toDF(*[f"_d{i}" for i in range(len(docs.columns))])
-    key = f"_d{docs.columns.index('doc_id')}"
-    groups = near_duplicates(docs.select("doc_id", "text"))
-    dropped = materialize(groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("_dropped")).distinct(), "dropped")
-    return inner.join(dropped, F.col(key) == F.col("_dropped"), "left_anti").toDF(*docs.columns)
+    place = docs.columns.index("text")
+    key = F.col(f"_d{docs.columns.index('doc_id')}").cast("long")
+    prints, groups = _groups(docs.select("doc_id", "text"), "doc_id", "text")
+    counted = prints.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    again = materialize(counted.filter("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("_again")), "again")
+    later = prints.join(groups, "fp").filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
+    gone = materialize(later.unionByName(again.filter("_again IS NOT NULL").toDF("_gone")).distinct(), "dropped")
+    once = inner.filter(key.isNotNull()).join(gone, key == F.col("_gone"), "left_anti")
+    if again.isEmpty():
+        return once.toDF(*docs.columns)
+
+    def run(batches):
+        for batch in batches:
+            fps = pa.array(fingerprints_of(batch.column(place)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, fps], names=[*batch.schema.names, "_fp"])
+
+    schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in inner.schema.fields], T.StructField("_fp", T.LongType())])
+    rows = inner.join(again, key.eqNullSafe(F.col("_again")), "left_semi").mapInArrow(run, schema)
+    rivals = rows.join(groups, F.col("_fp") == F.col("fp")).filter(key.eqNullSafe(F.col("component_id")))
+    order = F.xxhash64(*[f.name for f in inner.schema.fields if "map<" not in f.dataType.simpleString()])
+    best = rivals.groupBy("label").agg(F.min_by(F.struct(*inner.columns), order).alias("row"))
+    return once.unionByName(best.select("row.*")).toDF(*docs.columns)

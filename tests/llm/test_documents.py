@@ -164,6 +164,20 @@ def test_repeated_strings(spark, limits, monkeypatch):
     df = spark.createDataFrame(docs + docs[-1:], "doc_id long, text string").selectExpr("*", "1 AS doc", "2 AS ranges")
     got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in substrings.remove_repeats(df, 40, 12, **limits).collect()}
     assert got == repeats_by_hand(docs, 40)
+    if not limits:  # without a repeated id no text is numbered
+        again = substrings.remove_repeats(df.dropDuplicates(["doc_id"]), 40, 12)
+        assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in again.collect()} == got
+
+
+def test_different_texts_under_one_id_keep_their_own_bytes(spark):
+    rng = random.Random(3)
+    unique = lambda: "".join(rng.choice("abcdefgh") for _ in range(312))
+    first, other, third = unique(), unique(), unique()
+    rows = [(1, first), (5, first), (5, other), (None, third), (None, unique()), (9, third), (9, third)]
+    found = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), keep_bytes=True).collect()
+    got = sorted((str(r["doc_id"]), r["n_removed"]) for r in found)
+    assert got == [("1", 0), ("5", 0), ("5", 312), ("9", 312), ("9", 312), ("None", 0), ("None", 0)]
+    assert {bytes(r["kept"]).decode() for r in found if r["doc_id"] == 5} == {"", other}
 
 
 def test_repeated_strings_of_no_documents(spark):
@@ -269,12 +283,32 @@ def test_near_duplicates(spark):
     fps = np.array([fingerprint_by_hand(t) for t in HARD], np.uint64)
     assert rows == {i: (f"{f:016x}", g) for i, (f, g) in enumerate(zip(fps.tolist(), groups_by_hand(fps).tolist()))}
     kept = simhash.keep_one(docs)
-    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == set(groups_by_hand(fps).tolist())
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(set(groups_by_hand(fps).tolist()))
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
     nameless = docs.selectExpr("CAST(null AS long) AS doc_id", "text")
     assert simhash.near_duplicates(nameless).filter("component_id IS NULL").count() == len(HARD) + 1
 
 
+def test_one_row_of_each_group_stays(spark):
+    words = [f"w{i}" for i in range(400)]
+    near = " ".join([*words[:399], "other"])
+    copy, lone = " ".join(words), " ".join(f"v{i}" for i in range(50))
+    assert bin(fingerprint_by_hand(copy) ^ fingerprint_by_hand(near)).count("1") <= 3
+    rows = [(1, copy), (1, copy), (2, near), (None, copy), (None, near), (5, lone), (5, copy), (None, "only here"), (None, "only here"), (7, "plain text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS fp", "2 AS label")
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted([(1, copy), (5, lone), (None, "only here"), (7, "plain text")], key=str)
+    assert simhash.keep_one(docs.filter("doc_id IS NULL")).count() == 2
+
+
+def test_a_row_without_id_links_others(spark, monkeypatch):
+    fps = {"a": 0, "b": 0b111, "c": 0b111111}
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, *_: docs.replace({k: str(v) for k, v in fps.items()}, subset="text").selectExpr("doc_id", "CAST(text AS long) AS fp"))
+    docs = spark.createDataFrame([(4, "a"), (None, "b"), (3, "c")], "doc_id long, text string")
+    assert {r["component_id"] for r in simhash.near_duplicates(docs).collect()} == {3}
+
+
 def test_a_long_chain_is_one_component(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 300)], "a long, b long")
     found = {r["node"]: r["component"] for r in components(links).collect()}
