@@ -184,3 +184,23 @@ def preview(c: Column | str, max_length: int = 100, suffix: str = "...") -> Colu
     text = as_column(c)
     cut = F.concat(F.substring(text, 1, max(max_length - len(suffix), 0)), F.lit(suffix))
     return F.when(F.length(text) > max_length, cut).otherwise(text)
+
+
+_BREAKS = (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def escaped_breaks(c: Column | str) -> Column:
+    """The text on one line: every backslash is followed by s, n or r, for a backslash and the two breaks; an
+    empty text is a backslash with e, so that formats which write null as nothing keep both apart."""
+    out = as_column(c)
+    for raw, written in _BREAKS:
+        out = F.replace(out, F.lit(raw), F.lit(written))
+    return F.when(out == "", F.lit("\\e")).otherwise(out)
+
+
+def unescaped_breaks(c: Column | str) -> Column:
+    """The inverse of ``escaped_breaks``: breaks first, for a written backslash never stands before n or r."""
+    out = F.replace(as_column(c), F.lit("\\e"), F.lit(""))
+    for raw, written in reversed(_BREAKS):
+        out = F.replace(out, F.lit(written), F.lit(raw))
+    return out

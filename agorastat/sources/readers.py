@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from agorastat.functions.text import as_column, drop_html, pack_tags
+from agorastat.functions.text import as_column, drop_html, pack_tags, unescaped_breaks
 from agorastat.sources import schemas
 from agorastat.sources.storage import path_exists
 
@@ -140,13 +140,18 @@ def read_csv(
     header: bool = True,
     schema: StructType | str | None = None,
     multi_line: bool = False,
+    escaped_breaks: bool = False,
 ) -> DataFrame:
     """S-07: CSV; without a schema the types are inferred by a pass over the file.
 
-    ``multi_line`` allows line breaks inside quotes, and then one task reads a file.
+    ``multi_line`` allows line breaks inside quotes, and then one task reads a file. ``escaped_breaks`` undoes
+    what ``save_csv(escape_breaks=True)`` wrote; such files are split.
     """
     reader = spark.read.option("header", header).option("escape", '"').option("multiLine", multi_line)
-    return reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
+    df = reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
+    if not escaped_breaks:
+        return df
+    return df.select(*[unescaped_breaks(f"`{c}`").alias(c) if kind == "string" else F.col(f"`{c}`") for c, kind in df.dtypes])
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:

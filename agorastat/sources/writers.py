@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, NumericType
+from pyspark.sql.types import ArrayType, NumericType, StringType
 
-from agorastat.functions.text import as_column
+from agorastat.functions.text import as_column, escaped_breaks
 from agorastat.sources.readers import read_parquet
 
 SAMPLE_STEPS = 1_000_000
@@ -21,26 +21,38 @@ def save_parquet(
     mode: str = "overwrite",
     compression: str = "snappy",
     replace_partitions: bool = False,
+    seen: Observation | None = None,
 ) -> None:
     """S-04: Parquet, optionally in one folder per value.
 
-    ``replace_partitions`` overwrites only the partitions that the frame holds.
+    ``replace_partitions`` overwrites only the partitions that the frame holds. ``seen`` gets the
+    number of rows as ``Rows``, counted by the tasks that write them.
     """
+    if seen is not None:
+        df = df.observe(seen, F.count(F.lit(1)).alias("Rows"))
     writer = df.write.mode(mode).option("compression", compression)
     if replace_partitions:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def save_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite", glue: str = "|") -> None:
-    """S-06: CSV; arrays are joined by ``glue``."""
-    flat = [
-        F.concat_ws(glue, F.col(f.name).cast("array<string>")).alias(f.name)
-        if isinstance(f.dataType, ArrayType)
-        else F.col(f.name)
-        for f in df.schema.fields
-    ]
-    df.select(*flat).write.mode(mode).option("header", header).option("escape", '"').csv(path)
+def save_csv(
+    df: DataFrame, path: str, header: bool = True, mode: str = "overwrite", glue: str = "|", escape_breaks: bool = False
+) -> None:
+    """S-06: CSV; arrays are joined by ``glue``.
+
+    ``escape_breaks`` writes line breaks and backslashes in texts as ``\\n``, ``\\r`` and ``\\s`` empty texts
+    as ``\\e``, and keeps white space at their ends. Each row is then one line, so ``read_csv(escaped_breaks=True)`` reads one file by many tasks.
+    """
+    flat = []
+    for f in df.schema.fields:
+        column = F.concat_ws(glue, F.col(f.name).cast("array<string>")) if isinstance(f.dataType, ArrayType) else F.col(f.name)
+        text = isinstance(f.dataType, (ArrayType, StringType))
+        flat.append((escaped_breaks(column) if escape_breaks and text else column).alias(f.name))
+    writer = df.select(*flat).write.mode(mode).option("header", header).option("escape", '"')
+    if escape_breaks:
+        writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    writer.csv(path)
 
 
 def save_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -393,4 +393,4 @@ def staged_run(spark, d):
     paths = stages.Paths(*[scratch_path(spark, name) for name in ("raw", "processed", "models")])
     save_xml(raw_posts(spark, d), f"{paths.raw}/Posts.xml", "posts")
     tables = stages.run(spark, paths, "full")
-    return stages.stage_counts(tables)
+    return stages.stage_counts(spark, tables)

@@ -82,6 +82,17 @@ def csv_arrays(spark, d):
     return read.select("doc_id", "tags", F.md5("text").alias("text"))
 
 
+@query("s06_csv_breaks", r"""SELECT doc_id, length(lang || chr(10) || text || '\r' || chr(13)) AS n,
+md5(lang || chr(10) || text || '\r' || chr(13)) AS text FROM documents""")
+def csv_breaks(spark, d):
+    """Texts with line breaks and backslashes, one row a line, so that a file is split."""
+    path = scratch_path(spark, "s06-breaks")
+    docs = table(spark, d, "documents").select("doc_id", F.concat("lang", F.lit("\n"), "text", F.lit("\\r\r")).alias("text"))
+    writers.save_csv(docs, path, escape_breaks=True)
+    read = readers.read_csv(spark, path, schema="doc_id BIGINT, text STRING", escaped_breaks=True)
+    return tidy(read.select("doc_id", F.char_length("text").alias("n"), F.md5("text").alias("text")))
+
+
 @query("s07_csv_inferred", CUSTOMER)
 def csv_inferred(spark, d):
     path = scratch_path(spark, "s07")

@@ -143,7 +143,12 @@ def test_stages(spark, tmp_path):
     (tmp_path / "Posts.xml").write_text(f"<posts>\n{rows}\n</posts>\n")
     paths = stages.Paths(str(tmp_path), str(tmp_path / "tables"), str(tmp_path / "models"))
     tables = stages.run(spark, paths, "full", nlp={"num_topics": 2, "max_iterations": 2, "min_doc_freq": 1}, ml={"numTrees": 3, "maxDepth": 2})
-    assert {r["Stage"]: r["Rows"] for r in stages.stage_counts(tables).collect()} == {"etl": 100, "nlp": 10, "ml": 1}
+    spark.sparkContext.setJobGroup("counts", "rows of the stages")
+    counts = {r["Stage"]: r["Rows"] for r in stages.stage_counts(spark, tables).collect()}
+    assert counts == {"etl": 100, "nlp": 10, "ml": 1} == {n: t.count() for n, t in tables.items()} | counts
+    spark.sparkContext.setJobGroup("counted", "")
+    assert stages.stage_counts(spark, tables).collect() and not spark.sparkContext.statusTracker().getJobIdsForGroup("counted")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert 0 <= tables["ml"].first()["accuracy"] <= 1
     assert set(stages.run(spark, paths, "ml", ml={"algorithm": "logistic"})) == {"ml"}
     with pytest.raises(ValueError):
@@ -196,3 +201,21 @@ def test_scratch_tables_go_with_their_owner(spark):
         df = storage.materialize(spark.range(5), "numbers")
         assert folder in df.inputFiles()[0] and storage.path_exists(spark, folder)
     assert not storage.path_exists(spark, folder)
+
+
+def test_one_csv_file_with_breaks_is_read_by_many_tasks(spark, tmp_path):
+    odd = ["a\nb", "\\n", "\\\\\n\r\n", " end \n", 'q "x", \r', None, "\\s", "", "é\u2028", "\\"]
+    rows = [(i, odd[i % len(odd)], [f"t{i}", "x\ny"]) for i in range(2000)]
+    df = spark.createDataFrame(rows, "Id INT, `a.b` STRING, tags ARRAY<STRING>").toDF("Id", "a_b", "tags")
+    path = str(tmp_path / "breaks")
+    writers.save_csv(df.coalesce(1), path, escape_breaks=True)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        read = readers.read_csv(spark, path, schema="Id INT, a_b STRING, tags STRING", escaped_breaks=True)
+        assert read.rdd.getNumPartitions() > 4
+        assert {r["Id"]: (r["a_b"], r["tags"]) for r in read.collect()} == {i: (t, "|".join(g)) for i, t, g in rows}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
