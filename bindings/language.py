@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from agorastat.functions import text as tx, vectors as vec
 from agorastat.functions.sentiment import INTENSIFIERS, NEGATIVE, NEGATORS, POSITIVE, Lexicon
-from agorastat.operators import aggregates as agg, features as ft, sentiment as se, text
+from agorastat.operators import aggregates as agg, cooccurrence as co, features as ft, sentiment as se, text
 from agorastat.sources.storage import materialize, scratch_path
 from bindings.registry import SPACE, query, raw_questions, sql_clean, sql_list, sql_words, table, tidy
 
@@ -365,6 +365,58 @@ def word_vectors(spark, d):
     )
 
 
+PPMI = f"""WITH {TOKENS}, w AS (SELECT doc_id, unnest(t) AS Word, unnest(range(len(t))) AS i FROM tok),
+kept AS (SELECT Word FROM w GROUP BY Word HAVING COUNT(*) >= 5),
+near AS (SELECT a.Word, b.Word AS Context, COUNT(*) AS N FROM w a JOIN (SELECT doc_id, Word, i, unnest(range(-5, 6)) AS d FROM w) b
+  ON a.doc_id = b.doc_id AND a.i = b.i + b.d AND b.d <> 0 WHERE a.Word IN (FROM kept) AND b.Word IN (FROM kept) GROUP BY ALL),
+sums AS (SELECT Word, CAST(SUM(N) AS DOUBLE) AS total FROM near GROUP BY Word),
+ppmi AS (SELECT near.Word, Context, N, ln(N * (SELECT SUM(total) FROM sums) / (s.total * c.total)) AS p FROM near JOIN sums s ON near.Word = s.Word JOIN sums c ON Context = c.Word)"""
+
+
+@query("v03_ppmi", f"{PPMI} SELECT Word, Context, N, ROUND(p, 6) AS Ppmi FROM ppmi WHERE p > 1e-9")
+def ppmi_table(spark, d):
+    """Weights that differ from 0 by rounding only are left out on both sides."""
+    return tidy(co.ppmi(_tokens(spark, d)).filter("Ppmi > 1e-9"))
+
+
+def _ppmi_vectors(spark, d):
+    tokens = _tokens(spark, d).select("doc_id", "ProcessedText")
+    table = materialize(co.ppmi(tokens), "ppmi")
+    return tokens, table, co.factorize(table)
+
+
+@query("v03_ppmi_vectors", f"""{PPMI} SELECT i, (SELECT COUNT(DISTINCT Word) FROM ppmi WHERE p > 0) AS words, 0 AS unlike, 0 AS beside
+FROM (SELECT unnest(range(100)) AS i)""")
+def ppmi_vectors(spark, d):
+    """Per place of the vectors: the table of weights, applied to the column, gives the eigenvalue times its square length; and
+    it is at right angles to the next column."""
+    _, table, model = _ppmi_vectors(spark, d)
+    cells = materialize(model.vectors.select("Word", F.posexplode("Vector").alias("i", "x")), "cells")
+    after = cells.select("Word", (F.col("i") - 1).alias("i"), F.col("x").alias("next"))
+    length = cells.join(after, ["Word", "i"], "left").groupBy("i").agg(
+        F.count(F.lit(1)).alias("words"), F.sum(F.col("x") * F.col("x")).alias("l"), F.coalesce(F.sum(F.col("x") * F.col("next")), F.lit(0.0)).alias("across")
+    )
+    sides = [model.vectors.select(F.col("Word").alias(s), F.col("Vector").alias(f"v{s}")) for s in ("Word", "Context")]
+    products = table.join(sides[0], "Word").join(sides[1], "Context").select("Ppmi", F.posexplode(F.zip_with("vWord", "vContext", lambda a, b: a * b)).alias("i", "ab"))
+    form = products.groupBy("i").agg(F.sum(F.col("Ppmi") * F.col("ab")).alias("q"))
+    off = F.abs(F.abs("q") - F.col("l") * F.col("l")) > 1e-6 * F.col("l") * F.col("l")
+    return tidy(length.join(form, "i").select("i", "words", off.cast("int").alias("unlike"), (F.abs("across") > 1e-6 * F.col("l")).cast("int").alias("beside")))
+
+
+@query("a48_mean_vectors", f"""{PPMI}, has AS (SELECT DISTINCT Word FROM ppmi WHERE p > 0)
+SELECT doc_id, COUNT(*) AS Words, 100 AS size, 0 AS unlike FROM w WHERE Word IN (FROM has) GROUP BY doc_id""")
+def mean_vectors(spark, d):
+    """Counted words per text, and whether the sum over the vector is the mean of its words' sums."""
+    tokens, _, model = _ppmi_vectors(spark, d)
+    total = lambda v: F.aggregate(v, F.lit(0.0), lambda a, x: a + x)
+    means = co.mean_vectors(tokens, model.vectors, key="doc_id")
+    said = tokens.select("doc_id", F.explode("ProcessedText").alias("Word")).join(model.vectors.select("Word", total("Vector").alias("s")), "Word")
+    own = said.groupBy("doc_id").agg(F.avg("s").alias("own"))
+    both = means.join(own, "doc_id", "left")
+    unlike = F.coalesce((F.abs(total("Vector") - F.col("own")) > 1e-9).cast("int"), F.lit(1))
+    return tidy(both.select("doc_id", "Words", F.size("Vector").alias("size"), unlike.alias("unlike")))
+
+
 @query("v04_similar_words", "SELECT 10 AS words, 0 AS unlike, 0 AS closer_left_out, 0 AS itself FROM documents LIMIT 1")
 def similar_words(spark, d):
     """Ten other words with the cosine of the two vectors; no word that is left out is closer."""
