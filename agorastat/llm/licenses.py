@@ -5,13 +5,16 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import reduce
 from importlib import resources
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from agorastat.llm.common import materialize
+
 AT_LEAST = 0.8
-MOST_TEMPLATES = 2_000  # templates that are matched together; more go in several calls
+MOST_TEMPLATES = 2_000  # templates that are matched together; more go through the texts in several passes
 
 # Notices as their licences ask for them or as they are commonly written.
 NOTICES = (
@@ -141,7 +144,7 @@ def license_findings(
     of at most ``MOST_TEMPLATES``, so they may be broadcast. Repeated documents are findings of their own; null and empty texts have none.
     """
     if len(notices) > MOST_TEMPLATES:
-        raise ValueError("give the templates in parts")
+        raise ValueError("license_windows takes more templates")
     spark = docs.sparkSession
     listed = [(n, name, sorted(template_bigrams(text))) for n, (name, text) in enumerate(notices)]
     rows = [(n, name, len(bigrams), *size_bounds(len(bigrams), at_least), b) for n, name, bigrams in listed for b in bigrams]
@@ -175,27 +178,70 @@ def license_windows(
 ) -> DataFrame:
     """``(doc_id, license, first_word, n_words, similarity)``: licences anywhere in a text, whatever stands around them.
 
-    Lines do not count: the words of a text are one sequence, so comment signs and line breaks are nothing. Windows of
-    as many bigrams as the size bounds of a template allow are compared with it, all lengths up to 100 bigrams of
-    difference and about 100 lengths beyond; overlapping windows of a licence are one finding, given by its most similar
-    window, unless a more similar window of another licence overlaps that. Without ``notices`` the templates are
-    ``NOTICES`` and whole licences. Rows with the same id and text count once; null and empty texts have none.
+    Lines do not count: the words of a text are one sequence, so comment signs and line breaks are nothing. All windows
+    of as many bigrams as the size bounds of a template allow count: up to ``LONG`` bigrams of a template every length
+    is compared, beyond that the windows of ``_longest_windows``, which hold every similar
+    window inside one as similar (it may be longer where bigrams repeat). Overlapping windows of a licence are one finding, given by its most similar window, unless a
+    more similar window of another licence overlaps that. Without ``notices`` the templates are ``NOTICES`` and whole
+    licences; any number may be given. Rows with the same id and text count once; null and empty texts have none.
     """
-    notices = NOTICES + whole_licenses() if notices is None else notices
-    if len(notices) > MOST_TEMPLATES:
-        raise ValueError("give the templates in parts")
+    notices = tuple(NOTICES + whole_licenses() if notices is None else notices)
+    parts = [_alike_windows(docs, notices, numbers, at_least, id_col, text_col) for numbers in _parts(len(notices))]
+    alike = reduce(DataFrame.unionByName, parts)
+
+    # One finding for overlapping windows of a licence, and the most similar licence where they overlap.
+    ends = alike.groupBy("doc_id", "key", "license", "begin").agg(
+        F.max("last").alias("end"), F.min(F.struct((-F.col("similarity")).alias("s"), "template", "begin", "last")).alias("m")
+    )
+    ordered = Window.partitionBy("doc_id", "key", "license").orderBy("begin")
+    apart = F.coalesce(F.col("begin") > F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+    chained = ends.withColumn("apart", apart.cast("int")).withColumn("number", F.sum("apart").over(ordered))
+    best = chained.groupBy("doc_id", "key", "license", "number").agg(F.min("m").alias("m"))
+    found = best.groupBy("doc_id", "key").agg(F.collect_list(F.struct("m.*", "license")).alias("f"))
+    beaten = "exists(f, y -> y.license <> x.license AND y.begin <= x.last AND x.begin <= y.last AND struct(y.s, y.template) < struct(x.s, x.template))"
+    kept = found.select("doc_id", F.inline(F.expr(f"filter(f, x -> NOT {beaten})")))
+    n_words = (F.col("last") - F.col("begin") + 2).cast("long").alias("n_words")
+    return kept.select("doc_id", "license", F.col("begin").cast("long").alias("first_word"), n_words, (-F.col("s")).alias("similarity"))
+
+
+def _parts(count: int) -> list[range]:
+    return [range(i, min(i + MOST_TEMPLATES, count)) for i in range(0, max(count, 1), MOST_TEMPLATES)]
+
+
+def one_of(words: list[str]) -> str:
+    """A pattern for any of the words, in either case of A-Z; equal beginnings are tried once."""
+    tree: dict = {}
+    for word in words:
+        node = tree
+        for letter in word:
+            node = node.setdefault(letter, {})
+        node[""] = {}
+
+    def pattern(node: dict) -> str:
+        branches = [re.escape(letter) + pattern(node[letter]) for letter in sorted(node) if letter]
+        if not branches:
+            return ""
+        inner = branches[0] if len(branches) == 1 else f"(?:{'|'.join(branches)})"
+        return f"(?:{inner})?" if "" in node else inner
+
+    return f"(?i:{pattern(tree)})"
+
+
+def _alike_windows(docs: DataFrame, notices, numbers: range, at_least: float, id_col: str, text_col: str) -> DataFrame:
+    """``(doc_id, key, template, license, begin, last, similarity)``: windows that are similar to the templates of these numbers."""
     spark = docs.sparkSession
-    listed = [(n, name, template_bigrams(text)) for n, (name, text) in enumerate(notices)]
+    listed = [(n, name, template_bigrams(text)) for n, (name, text) in ((n, notices[n]) for n in numbers)]
     bounds = {n: size_bounds(len(b), at_least) for n, _, b in listed}
+    bigrams = {n: b for n, _, b in listed}
     long = [n for n, _, b in listed if len(b) > LONG]
     table = F.broadcast(spark.createDataFrame([(n, b) for n, _, bs in listed for b in sorted(bs)], "template int, bigram string"))
     sizes = F.broadcast(spark.createDataFrame([(n, name, len(b), *bounds[n]) for n, name, b in listed], "template int, license string, size int, least int, most int"))
 
     inside = r"A-Za-z0-9\x{80}-\x{10FFFF}"
 
-    def names_one(numbers: list[int], few: bool) -> Column:
-        words = sorted({w for n in numbers for w in telling_words(notices[n][1], at_least, few)})
-        return F.col("_t").rlike(f"(?<![{inside}])(?i:{'|'.join(words)})(?![{inside}])") if words else F.lit(False)
+    def names_one(chosen: list[int], few: bool) -> Column:
+        words = sorted({w for n in chosen for w in telling_words(notices[n][1], at_least, few)})
+        return F.concat(F.lit(" "), "_t").rlike(f"[^{inside}]{one_of(words)}(?![{inside}])") if words else F.lit(False)
 
     telling = names_one([n for n, _, _ in listed if n not in long], False)
     keyed = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_t")).filter(F.col("_t") != "")
@@ -207,10 +253,10 @@ def license_windows(
         keyed = keyed.filter(F.col("telling") | ((F.length("_t") > 2 * shortest) & names_one(long, True)))
     # explode gives one row, from which no filter takes the words apart again
     keyed = keyed.select("doc_id", "key", "telling", F.explode(F.array(_pairs(words_of(F.col("_t"))))).alias("b"))
-    whole = [F.when(F.size("b") >= bounds[n][0], _holds("b", listed[n][2], bounds[n][0], n)) for n in long]
+    whole = [F.when(F.size("b") >= bounds[n][0], _holds("b", bigrams[n], bounds[n][0], n)) for n in long]
     holds = F.array_compact(F.array(*whole)) if whole else F.array().cast("array<int>")
     keyed = keyed.select("doc_id", "key", "telling", "b", F.explode(F.array(holds)).alias("long"))
-    keyed = keyed.filter(F.col("telling") | (F.size("long") > 0))
+    keyed = materialize(keyed.filter(F.col("telling") | (F.size("long") > 0)), "license_words")  # texts in question only
 
     # Where enough bigrams of a template stand close together.
     pairs = keyed.select("doc_id", "key", "telling", "long", F.posexplode("b").alias("pos", "bigram")).join(table, "bigram")
@@ -226,35 +272,60 @@ def license_windows(
     own = [F.col("doc_id").eqNullSafe(F.col("_id")), F.col("key") == F.col("_key")]
     texts = keyed.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "b")
     near = places.join(texts, own).drop("_id", "_key").withColumn("b", F.expr("slice(b, first + 1, starts + most - 1)"))
-    near = near.dropDuplicates(["doc_id", "key", "template", "first"]).withColumn("until", F.col("first") + F.size("b") - 1)
+    near = materialize(near.dropDuplicates(["doc_id", "key", "template", "first"]), "license_places").withColumn("until", F.col("first") + F.size("b") - 1)
     place = ["doc_id", "key", "template", "first"]
     seen = near.select(*place, "license", "size", "least", "most", "starts", "until", F.posexplode("b").alias("pos", "bigram"))
     seen = seen.withColumn("before", F.coalesce(F.lag("pos").over(Window.partitionBy(*place, "bigram").orderBy("pos")), F.lit(-1)))
     seen = seen.join(table.withColumn("shared", F.lit(1)), ["template", "bigram"], "left").fillna(0, ["shared"])
-    lengths = F.expr("sequence(least, most, greatest(1, int((most - least) div 100)))")
-    seen = seen.withColumn("length", F.explode(lengths)).withColumn("at", F.greatest(F.col("pos") - F.col("length") + 1, F.col("before") + 1))
+    is_long = F.col("size") > LONG
+    alike = _all_lengths(seen.filter(~is_long), place)
+    if long:
+        alike = alike.unionByName(_longest_windows(seen.filter(is_long), place, at_least))
+    begin, last = (F.col("first") + F.col("at")).alias("begin"), F.least(F.col("first") + F.col("end"), F.col("until")).alias("last")
+    return alike.filter(F.col("similarity") >= at_least).select("doc_id", "key", "template", "license", begin, last, "similarity")
+
+
+def _all_lengths(seen: DataFrame, place: list[str]) -> DataFrame:
+    """The windows of each length within the size bounds, at the starts where their counts change."""
+    lengths = F.explode(F.expr("sequence(least, most)"))
+    seen = seen.withColumn("length", lengths).withColumn("at", F.greatest(F.col("pos") - F.col("length") + 1, F.col("before") + 1))
     group = [*place, "license", "size", "starts", "until", "length"]
     steps = F.array(F.struct(F.col("at"), F.lit(1).alias("n"), F.col("shared").alias("c")), F.struct((F.col("pos") + 1).alias("at"), F.lit(-1).alias("n"), (-F.col("shared")).alias("c")))
     counted = seen.withColumn("at", F.greatest("at", F.lit(0))).select(*group, F.inline(steps)).filter("at < starts").groupBy(*group, "at").agg(F.sum("n").alias("n"), F.sum("c").alias("c"))
     so_far = Window.partitionBy(*place, "length").orderBy("at")
     counted = counted.withColumn("n", F.sum("n").over(so_far)).withColumn("c", F.sum("c").over(so_far))
-    alike = counted.withColumn("similarity", 2 * F.col("c") / (F.col("n") + F.col("size"))).filter(F.col("similarity") >= at_least)
+    counted = counted.withColumn("similarity", 2 * F.col("c") / (F.col("n") + F.col("size")))
+    return counted.select(*place, "license", "until", "at", (F.col("at") + F.col("length") - 1).alias("end"), "similarity")
 
-    # One finding for overlapping windows of a licence, and the most similar licence where they overlap.
-    begin = (F.col("first") + F.col("at")).alias("begin")
-    last = F.least(F.col("first") + F.col("at") + F.col("length") - 1, F.col("until"))
-    ends = alike.groupBy("doc_id", "key", "license", begin).agg(
-        F.max(last).alias("end"), F.min(F.struct((-F.col("similarity")).alias("s"), F.col("template"), begin, last.alias("last"))).alias("m")
-    )
-    ordered = Window.partitionBy("doc_id", "key", "license").orderBy("begin")
-    apart = F.coalesce(F.col("begin") > F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
-    chained = ends.withColumn("apart", apart.cast("int")).withColumn("number", F.sum("apart").over(ordered))
-    best = chained.groupBy("doc_id", "key", "license", "number").agg(F.min("m").alias("m"))
-    found = best.groupBy("doc_id", "key").agg(F.collect_list(F.struct("m.*", "license")).alias("f"))
-    beaten = "exists(f, y -> y.license <> x.license AND y.begin <= x.last AND x.begin <= y.last AND struct(y.s, y.template) < struct(x.s, x.template))"
-    kept = found.select("doc_id", F.inline(F.expr(f"filter(f, x -> NOT {beaten})")))
-    n_words = (F.col("last") - F.col("begin") + 2).cast("long").alias("n_words")
-    return kept.select("doc_id", "license", F.col("begin").cast("long").alias("first_word"), n_words, (-F.col("s")).alias("similarity"))
+
+def _longest_windows(seen: DataFrame, place: list[str], at_least: float) -> DataFrame:
+    """The similarity of the windows that no longer window with at least that similarity begins before or ends after.
+
+    A shared bigram that stands once in a place raises both counts of a window by one, any other shared one
+    does so or changes nothing, and a foreign one adds at most one bigram to the window. So an extension whose single
+    shared bigrams are at least as many as its foreign ones never lowers the similarity, which is 1 at most. With weights
+    1, 0 and -1, only positions before which the running sum is lower than ever before can begin such
+    a window, and the same holds for ends from the other side. Every window is inside one of these that is as similar.
+    """
+    there, back = Window.partitionBy(*place).orderBy("pos"), Window.partitionBy(*place).orderBy(F.col("pos").desc())
+    earlier = Window.unboundedPreceding, -1
+    single = (F.count(F.lit(1)).over(Window.partitionBy(*place, "bigram")) == 1).cast("int")
+    rows = seen.withColumn("single", single).withColumn("w", F.when(F.col("shared") == 1, F.col("single")).otherwise(-1))
+    rows = rows.withColumn("left", F.sum("w").over(there) - F.col("w")).withColumn("right", F.sum("w").over(back) - F.col("w"))
+    # At most 2 shared - t single is twice the shared minus t times the distinct bigrams of a window.
+    rows = rows.withColumn("most_gain", 2 * F.col("shared") - at_least * F.col("single"))
+    rows = rows.withColumn("gained", F.sum("most_gain").over(there))
+    lowest = {side: F.min(side).over(order.rowsBetween(*earlier)) for side, order in (("left", there), ("right", back))}
+    record = {side: F.coalesce(F.col(side) < low, F.lit(True)) & (F.col("shared") == 1) for side, low in lowest.items()}
+    reach = F.max("gained").over(back) - F.col("gained") + F.col("most_gain")
+    rows = rows.withColumn("begins", record["left"] & (reach >= at_least * F.col("size") - 1e-6)).withColumn("ends", record["right"])
+    begins = rows.filter("begins").select(*place, F.col("pos").alias("at"))
+    windows = begins.join(rows.select(*place, "license", "size", "until", "pos", "before", "shared", "ends"), place).filter("pos >= at")
+    fresh = (F.col("before") < F.col("at")).cast("int")
+    so_far = Window.partitionBy(*place, "at").orderBy("pos")
+    windows = windows.withColumn("n", F.sum(fresh).over(so_far)).withColumn("c", F.sum(fresh * F.col("shared")).over(so_far)).filter("ends")
+    similarity = (2 * F.col("c") / (F.col("n") + F.col("size"))).alias("similarity")
+    return windows.select(*place, "license", "until", "at", F.col("pos").alias("end"), similarity)
 
 
 def _pairs(words: Column) -> Column:

@@ -374,6 +374,64 @@ def test_license_windows_match_brute_force(spark):
         assert {(i, round(s, 9)) for i, s in best.items()} == {(i, round(s, 9)) for i, s in expected}, n
 
 
+def best_window(text, notice, most=None):
+    """The best similarity of windows of up to ``most`` bigrams, without it of any length."""
+    words = licenses.normalised(text)
+    pairs = [f"{a} {b}" for a, b in zip(words, words[1:])]
+    own, best = licenses.template_bigrams(notice), 0.0
+    for i in range(len(pairs)):
+        window, shared = set(), 0
+        for pair in pairs[i : i + (most or len(pairs))]:
+            shared += pair in own and pair not in window
+            window.add(pair)
+            best = max(best, 2 * shared / (len(window) + len(own)))
+    return round(best, 9)
+
+
+@pytest.mark.parametrize("parts", [licenses.MOST_TEMPLATES, 1])
+def test_long_license_windows_match_brute_force(spark, monkeypatch, parts):
+    monkeypatch.setattr(licenses, "MOST_TEMPLATES", parts)  # templates in one pass, or each in its own
+    rng = random.Random(12)
+    vocabulary = [f"word{i}" for i in range(60)]
+    first = " ".join(rng.choice(vocabulary) for _ in range(330))
+    numbered = [f"term{i}" for i in range(401)]  # 400 bigrams
+    second = " ".join(numbered)
+    assert all(len(licenses.template_bigrams(t)) > licenses.LONG for t in (first, second))
+    texts = [second, " ".join(["x", "y"] * 40 + numbered[:100] + ["z"] * 1 + numbered[101:272] + ["x", "y"] * 40)]
+    # 270 of 275 bigrams are shared, which makes exactly 0.8 in one window only
+    cut = numbered[:100] + ["p", "q"] + numbered[101:173] + ["r"] + numbered[173:276]
+    texts += [" ".join(["x"] * 30 + cut[:n] + ["y"] * 30) for n in range(270, 279)]
+    for _ in range(14):
+        words = [rng.choice("abc") for _ in range(rng.randint(0, 40))]
+        for _ in range(rng.choice([1, 1, 2])):
+            words += [w if rng.random() > rng.choice([0.02, 0.06, 0.09]) else rng.choice(["x", *vocabulary]) for w in first.split()[rng.randint(0, 70) :]]
+            words += [rng.choice(["a", "b", *vocabulary]) for _ in range(rng.randint(0, 60))]
+        texts.append(" ".join(words))
+    notices = [("first", first), ("second", second)]
+    most = {n: licenses.size_bounds(len(licenses.template_bigrams(notice)), 0.8)[1] for n, notice in notices}
+    bounded = {(i, n): best_window(t, notice, most[n]) for i, t in enumerate(texts) for n, notice in notices}
+    found = {}
+    for r in licenses.license_windows(frame(spark, texts), notices).collect():
+        key = r["doc_id"], r["license"]
+        found[key] = max(found.get(key, 0), round(r["similarity"], 9))
+        words = licenses.normalised(texts[r["doc_id"]])[r["first_word"] : r["first_word"] + r["n_words"]]
+        inside, own = licenses.template_bigrams(" ".join(words)), licenses.template_bigrams(dict(notices)[r["license"]])
+        assert abs(r["similarity"] - 2 * len(inside & own) / (len(inside) + len(own))) < 1e-9
+    # A window that repeats bigrams may be longer than its distinct ones: such may be found too, none within the bounds may be lost.
+    assert set(found) == {k for k, b in bounded.items() if b >= 0.8} and len(found) > 12 and min(found.values()) < 0.83
+    assert all(bounded[k] == s or bounded[k] < s <= best_window(texts[k[0]], dict(notices)[k[1]]) for k, s in found.items())
+    assert all(bounded[k] == s for k, s in found.items() if k[1] == "second")
+
+
+def test_telling_pattern_is_the_list_of_words():
+    rng = random.Random(3)
+    words = ["a", "ab", "abc", "b", "licence", "license", "licensed", "é", "éa"]
+    for chosen in (words, words[:1], words[4:7], words[7:]):
+        for _ in range(200):
+            text = "".join(rng.choice("abcliencsd é") for _ in range(rng.randint(1, 4))) + rng.choice(["", *words])
+            assert bool(re.fullmatch(licenses.one_of(chosen), text)) == (text in chosen)
+
+
 def test_license_bounds_lose_nothing():
     rng = random.Random(4)
     for _, text in licenses.NOTICES:
