@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorastat.llm.common import scratch_path
+from agorastat.llm.common import materialize, scratch_path
 from agorastat.sources.storage import path_exists
 
 
@@ -43,31 +43,41 @@ RULES = (
 BASE_KINDS = ("assign", "access", "hex")
 
 SPANS = "array<struct<start:long,end:long>>"
+CHUNK = 512  # matches folded into one list
+FILTER_BITS = 1 << 28  # of the filter of paths to scan: 32 MB at most, whatever the number of paths
 
 
 def spans_of(text: Column, rule: Rule) -> Column:
     """Start and end (code points) of the rule's matches that meet its condition.
 
     Spark gives the matched texts and, by splitting, the texts between them; their lengths
-    in turn are the places.
+    in turn are the places. Matches are folded in chunks, so that a text with very many of them does not
+    copy one growing list at each.
     """
     pattern = F.lit(rule.pattern)
     matches, gaps = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, rule.pattern, -1)
     values = F.regexp_extract_all(text, pattern, F.lit(rule.value)) if rule.value else matches
     triples = F.arrays_zip(matches.alias("m"), gaps.alias("g"), values.alias("v"))
-    nothing = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPANS).alias("spans"))
+    inner = F.filter(triples, lambda t: t["m"].isNotNull())  # the last gap has no match
 
     def step(state: Column, part: Column) -> Column:
         start = state["at"] + F.char_length(part["g"])
         end = start + F.char_length(part["m"])
-        span = F.struct(start.cast("long").alias("start"), end.cast("long").alias("end"))
+        span = F.struct(start.alias("start"), end.alias("end"))
         long_enough = F.char_length(part["v"]) >= rule.at_least
-        return F.struct(
-            end.cast("long").alias("at"), F.when(long_enough, F.array_append(state["spans"], span)).otherwise(state["spans"]).alias("spans")
-        )
+        return F.struct(end.alias("at"), F.when(long_enough, F.array_append(state["spans"], span)).otherwise(state["spans"]).alias("spans"))
 
-    inner = F.filter(triples, lambda t: t["m"].isNotNull())  # the last gap has no match
-    return F.when(text.rlike(rule.pattern), F.aggregate(inner, nothing, step, lambda s: s["spans"])).otherwise(F.array().cast(SPANS))
+    def chunk(state: Column, parts: Column) -> Column:
+        begun = F.struct(state["at"].alias("at"), F.array().cast(SPANS).alias("spans"))
+        folded = F.aggregate(parts, begun, step)
+        return F.transform(F.array(folded), lambda f: F.struct(f["at"].alias("at"), F.array_append(state["lists"], f["spans"]).alias("lists")))[0]
+
+    def folded(parts: Column) -> Column:
+        chunks = F.transform(F.sequence(F.lit(1), F.size(parts), F.lit(CHUNK)), lambda i: F.slice(parts, i, CHUNK))
+        nothing = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{SPANS}>").alias("lists"))
+        return F.aggregate(chunks, nothing, chunk, lambda state: F.flatten(state["lists"]))
+
+    return F.when(text.rlike(rule.pattern), F.transform(F.array(inner), folded)[0]).otherwise(F.array().cast(SPANS))
 
 
 _LEDGER = f"blob string, kind string, version int, spans {SPANS}"
@@ -80,17 +90,36 @@ def ledger(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(_LEDGER).parquet(path)
 
 
-def scan_unseen(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def blobs(versions: DataFrame) -> DataFrame:
+    """``(path, blob)``: the SHA-256 of each text; a null text is an empty one."""
+    return versions.select("path", F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("blob"))
+
+
+def with_path_of(versions: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``versions`` whose path has the hash of a path of ``wanted``, and few others; texts stay where they lie.
+
+    The hashes are bits in maps of 4 kB, of which there are ``FILTER_BITS`` / 32,768 at most: the broadcast is bounded.
+    """
+    bit = F.pmod(F.xxhash64("path"), F.lit(FILTER_BITS))
+    width = 32_768
+    maps = wanted.select(bit.alias("_bit")).groupBy(F.expr(f"int(_bit div {width})").alias("_map"))
+    maps = maps.agg(F.bitmap_construct_agg(F.col("_bit") % width).alias("_bits"))
+    held = versions.withColumn("_bit", bit).withColumn("_map", F.expr(f"int(_bit div {width})")).join(F.broadcast(maps), "_map")
+    byte = "conv(hex(substring(_bits, int(_bit % 32768 div 8) + 1, 1)), 16, 10)"
+    return held.filter(F.expr(f"(int({byte}) & shiftleft(1, int(_bit % 8))) <> 0")).select(*versions.columns)
+
+
+def scan_unseen(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES, hashed: DataFrame | None = None) -> DataFrame:
     """Scan the texts of ``versions(path, text)`` that the ledger lacks, add them to it, and return its rows.
 
     A text is known by its SHA-256, so copies and unchanged versions are scanned once. Only
-    hashes are compared and shuffled; one path of each unseen blob carries its text. The ledger
+    hashes are compared; one path of each unseen blob carries its text, and only texts of such paths (and the few
+    whose paths share a bit with them) are shuffled: none if nothing is unseen. ``hashed`` may give ``blobs(versions)``. The ledger
     grows by one commit at the end: a failed run leaves nothing, and a repeated one finds its rows.
     A null text is an empty one; repeated rows change nothing.
     """
     spark = versions.sparkSession
-    text = F.coalesce(F.col("text"), F.lit(""))
-    hashed = versions.select("path", F.sha2(text, 256).alias("blob"))
+    hashed = blobs(versions) if hashed is None else hashed
     wanted = F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version")) for r in rules])
     seen = ledger(spark, ledger_path).groupBy("blob").agg(F.collect_set(F.struct("kind", "version")).alias("seen"))
     unseen = (
@@ -100,7 +129,9 @@ def scan_unseen(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...] =
         .select("blob", F.col("first.path").alias("path"), F.array_except(wanted, F.coalesce("seen", F.array_except(wanted, wanted))).alias("due"))
         .filter(F.size("due") > 0)
     )
-    carried = versions.select("path", text.alias("text")).withColumn("blob", F.sha2("text", 256))
+    unseen = materialize(unseen, "unseen")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    carried = with_path_of(versions.select("path", "text"), unseen).select("path", text.alias("text"), F.sha2(text, 256).alias("blob"))
     same = carried["path"].eqNullSafe(unseen["path"]) & (carried["blob"] == unseen["blob"])
     texts = carried.join(unseen, same).select(carried["blob"], carried["text"], "due")
 
@@ -113,7 +144,7 @@ def scan_unseen(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...] =
     return ledger(spark, ledger_path)
 
 
-def findings(versions: DataFrame, scanned: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def findings(versions: DataFrame, scanned: DataFrame, rules: tuple[Rule, ...] = RULES, hashed: DataFrame | None = None) -> DataFrame:
     """Each path and text version with its spans by kind (``kind``, ``start``, ``end``; by start, then rule order).
 
     Only blobs with a finding are grouped; the paths of a blob that occurs very often meet them in
@@ -130,7 +161,7 @@ def findings(versions: DataFrame, scanned: DataFrame, rules: tuple[Rule, ...] =
         .groupBy("blob")
         .agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
     )
-    paths = versions.select("path", F.sha2(F.coalesce("text", F.lit("")), 256).alias("blob"))
+    paths = blobs(versions) if hashed is None else hashed
     none = F.array().cast("array<struct<start:long,rank:int,kind:string,end:long>>")
     return paths.join(hits, "blob", "left").select("path", "blob", F.coalesce("spans", none).alias("spans"))
 
@@ -139,8 +170,9 @@ def report(docs: DataFrame, ledger_path: str | None = None) -> DataFrame:
     """Counts and digests per document; without a path the ledger begins empty in the shared folder."""
     spark = docs.sparkSession
     versions = docs.select(F.col("doc_id").alias("path"), "text")
-    scanned = scan_unseen(versions, ledger_path or scratch_path(spark, "ledger"))
-    found = findings(versions, scanned)
+    hashed = materialize(blobs(versions), "blobs")
+    scanned = scan_unseen(versions, ledger_path or scratch_path(spark, "ledger"), hashed=hashed)
+    found = findings(versions, scanned, hashed=hashed)
     base_kinds = ", ".join(f"'{k}'" for k in BASE_KINDS)
     parts = "array_join(transform({}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')"
     return found.select(
