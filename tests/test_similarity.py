@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from agorastat.operators import similarity as sim
+from agorastat.sources.storage import materialize
 
 # Crowded keys at once, at some depth, and never.
 LIMITS = [(2, 1), (2, 3), (4, 2), (2_000, 3)]
@@ -137,3 +138,29 @@ def test_confirmed_and_missed_pairs(spark):
     ids = (["x", "y"], ["p", "q"])
     assert [tuple(r) for r in sim.confirmed_pairs(predicted, truth, *ids).collect()] == [(1, 2)]
     assert [tuple(r) for r in sim.missed_pairs(predicted, truth, *ids).collect()] == [(5, 6)]
+
+
+def test_pairs_that_fail_are_not_written(spark, monkeypatch):
+    rng = random.Random(3)
+    sets = [frozenset(rng.sample(range(40), 20)) for _ in range(120)]
+    written = {}
+
+    def noted(df, name="table", partition_by=None):
+        out = materialize(df, name, partition_by)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(sim, "materialize", noted)
+    found = sim.similar_pairs(frame(spark, sets), threshold=0.5).collect()
+    assert {(r["IdA"], r["IdB"]) for r in found} == set(expected_pairs(sets, 0.5))
+    assert "keys" not in written and written["candidates"] == len(found)
+    assert len(found) < written["token-sets"] * 119 / 4  # most pairs share tokens and fail
+
+
+def test_null_and_repeated_ids(spark):
+    rows = [(None, ["a", "b"]), (1, ["a", "b", "c"]), (1, ["a", "b", "d"]), (2, ["a", "b"]), (3, [])]
+    df = spark.createDataFrame(rows, "Id int, ProcessedText array<string>")
+    found = sorted((r["IdA"], r["IdB"], round(r["Similarity"], 3)) for r in sim.similar_pairs(df, threshold=0.6).collect())
+    assert found == [(1, 2, 0.667), (1, 2, 0.667)]
+    asked = sim.similar_questions(df, df.filter("Id IS NULL"), threshold=0.6, k=2).collect()
+    assert {(r["QueryId"], r["Id"]) for r in asked} == {(None, None), (None, 2)}
