@@ -2,6 +2,7 @@ import inspect
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
@@ -198,3 +199,19 @@ def test_walking_the_tree_finds_each_cluster(spark):
     assert clustered.join(walked, "Id").filter("ClusterId = Node").count() == 200
     costs = walked.groupBy("Node").agg(F.sum("Distance").alias("d")).join(tree, "Node").collect()
     assert all(r["d"] == pytest.approx(r["Cost"], rel=1e-6) for r in costs)
+
+
+def test_tree_counts_rows_that_moved_after_the_last_round(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, v) for i, v in enumerate(rng.normal(size=(400, 3)).tolist())]
+    df = spark.createDataFrame(rows, "Id int, a array<double>").withColumn("v", array_to_vector("a"))
+    clustered, model = topics.cluster(df, 4, features="v", max_iterations=1)
+    tree = {r["Node"]: r for r in topics.cluster_tree(model, spark, clustered, "v").collect()}
+    sizes = {r["ClusterId"]: r["count"] for r in clustered.groupBy("ClusterId").count().collect()}
+    leaves = set(tree) - {r["Parent"] for r in tree.values()}
+    assert {n: tree[n]["Rows"] for n in leaves} == sizes
+    assert [r["Rows"] for r in tree.values() if r["Parent"] is None] == [400]
+    near = {n: 0.0 for n in leaves}
+    for r in clustered.select("a", "ClusterId").collect():
+        near[r["ClusterId"]] += float(((np.array(r["a"]) - np.array(tree[r["ClusterId"]]["Centre"])) ** 2).sum())
+    assert {n: tree[n]["Cost"] for n in leaves} == pytest.approx(near)
