@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -164,3 +165,19 @@ def test_null_and_repeated_ids(spark):
     assert found == [(1, 2, 0.667), (1, 2, 0.667)]
     asked = sim.similar_questions(df, df.filter("Id IS NULL"), threshold=0.6, k=2).collect()
     assert {(r["QueryId"], r["Id"]) for r in asked} == {(None, None), (None, 2)}
+
+
+@pytest.mark.parametrize("scan_pairs", [-1.0, 1e9])
+def test_blocks_compared_by_counts_or_by_bit_maps(monkeypatch, scan_pairs):
+    monkeypatch.setattr(sim, "SCAN_PAIRS", scan_pairs)
+    monkeypatch.setattr(sim, "CHUNK_ROWS", 50)
+    rng = random.Random(7)
+    sets = [sorted(rng.sample(range(60), rng.randint(1, 30))) for _ in range(120)]
+    sets += [sorted(set(s[1:] + [99])) for s in sets[:60]]
+    block = pa.table({"Id": pa.array(range(len(sets))), "Tokens": pa.array(sets, pa.list_(pa.int32()))})
+    for threshold in (0.3, 0.5, 0.85, 1.0):
+        expected = {(i, j) for i, j in itertools.combinations(range(len(sets)), 2) if jaccard(set(sets[i]), set(sets[j])) >= threshold - 1e-9}
+        found = sim._near(threshold, 3, True)(block, block.slice(0, 0)).to_pydict()
+        assert sorted(map(tuple, map(sorted, zip(found["IdA"], found["IdB"])))) == sorted(expected)
+        across = sim._near(threshold, 2, False)(block.slice(0, 100), block.slice(100)).to_pydict()
+        assert sorted(zip(across["IdA"], across["IdB"])) == sorted((i, j) for i, j in expected if i < 100 <= j)
