@@ -54,6 +54,18 @@ def test_vectors(documents):
     assert ft.combine_vectors(counted, "CountFeatures", ["n"]).first()["CombinedFeatures"].size == 9
 
 
+def test_topic_fit_equals_the_library_bound_without_calling_it(spark, documents, monkeypatch):
+    model = topics.fit_topics(documents, num_topics=3, max_iterations=5, min_doc_freq=1)
+    some = documents.unionByName(spark.createDataFrame([(99, ["unheard"], 0.0), (100, [], 0.0)], documents.schema))
+    vectors = model.vectorizer.transform(some)
+    likelihood, perplexity = model.lda.logLikelihood(vectors), model.lda.logPerplexity(vectors)
+    for name in ("logLikelihood", "logPerplexity"):
+        monkeypatch.setattr(type(model.lda), name, lambda *_: pytest.fail("one dense exponential per row"))
+    got = model.fit_quality(some).first()
+    assert math.isclose(got["LogLikelihood"], likelihood, rel_tol=1e-4) and math.isclose(got["LogPerplexity"], perplexity, rel_tol=1e-4)
+    assert np.allclose(topics.digamma([0.05, 1.0, 30.0]), [-20.4978449, -0.5772157, 3.3844382], atol=1e-6)
+
+
 def test_topics(spark, documents, tmp_path):
     model = topics.fit_topics(documents, num_topics=2, max_iterations=15, min_doc_freq=1)
     assigned = model.transform(documents)
