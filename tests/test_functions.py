@@ -184,6 +184,11 @@ def test_a_lexicon_of_any_size_counts_every_word(one):
     assert one(lexicon_score("c", lexicon), "w29999 and w0") == 1.0
 
 
+def test_letter_tokens_cut_two_part_words_only_where_they_end(one):
+    text = "cannot Cannots xcannot can-not lemme-gimme gotta wanna\u00a0gonna cannotcan"
+    assert one(tx.letter_tokens("c", [], 1), text) == "can not cannots xcannot can not lemmegimme got ta wan na gon na cannotcan".split()
+
+
 def test_word_tokens_with_dictionary_and_table(spark):
     df = spark.createDataFrame([(1, "Cats running the cats"), (2, None), (3, "of 12")], "Id int, t string")
     lemmas = {"cats": "cat", "running": "run"}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import bindings
 from agorastat.functions.sentiment import Lexicon
-from agorastat.operators import aggregates as agg, clean, sentiment, text, trends as tr
+from agorastat.operators import aggregates as agg, clean, features, sentiment, text, trends as tr
 from bindings import check
 from bindings.registry import posts, raw_posts, table
 
@@ -47,6 +47,13 @@ def test_expected_nodes(spark):
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan(dated.select("o_orderkey"))
 
 
+@needs_data
+def test_tokens_are_made_once(spark):
+    tokens = text.preprocess(table(spark, FOLDER, "documents"), "text").select("doc_id", "ProcessedText")
+    for df in (features.token_counts(tokens, key="doc_id"), agg.word_frequency(tokens)):
+        assert plan(df).count("split(") == 1
+
+
 @needs_data
 def test_no_query_uses_a_product_of_tables(spark):
     for name in ("q01_above_average_by_month", "q06_posts_with_tag_names", "a43_duplicate_pairs", "a51_coherence"):
