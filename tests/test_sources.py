@@ -46,6 +46,11 @@ def test_dump_files_are_split(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_rows_are_parsed_once(spark, dump):
+    shape = readers.read_table(spark, "posts", f"{dump}/Posts.xml")._jdf.queryExecution().executedPlan().toString()
+    assert shape.count("from_xml(") == 1
+
+
 def test_dump_directory(spark, dump):
     found = readers.read_dump(spark, dump)
     assert set(found) == {"posts", "badges"}
