@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -16,7 +17,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +42,8 @@ COMPARED_GRIDS = {
     "logistic": {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5]},
 }
 
+FIT_ROWS = 50_000  # rows of a training task: fewer make more statistics of tree nodes than they save time
+
 
 def prepare(
     df: DataFrame, features: Sequence[str] = DEFAULT_FEATURES, label: str | None = "QualityLabel"
@@ -69,13 +72,61 @@ def _slim(prepared: DataFrame, key: str | None) -> DataFrame:
     return prepared.select(*([key] if key else []), "features", "label")
 
 
+def packed(rows: DataFrame, key: str | None = None) -> DataFrame:
+    """The rows in tasks of about ``FIT_ROWS``: every task of a tree fit makes statistics of all nodes, and models are fitted side by side."""
+    tasks = max(1, math.ceil(rows.count() / FIT_ROWS))
+    return rows.repartition(tasks, *([key] if key else []))
+
+
+def _side_by_side(rows: DataFrame) -> int:
+    """Models to fit at a time, so that the tasks of one need not fill the cluster."""
+    return max(4, rows.sparkSession.sparkContext.defaultParallelism // rows.rdd.getNumPartitions())
+
+
+def weighted_cells(rows: DataFrame, bins: int = 32, by: Sequence[str] = ()) -> DataFrame:
+    """``(*by, features, label, Weight)``: equal rows once, with their number, each feature moved to the nearest of at most ``bins`` of its quantiles.
+
+    A tree over so many bins splits halfway between two neighbours of these values, and any value lies on the same side as
+    the nearest of them, so the model holds for features as they are.
+    """
+    cells = rows.select(*by, "label", vector_to_array("features").alias("x"))
+    first = cells.first()
+    width = len(first["x"]) if first else 0
+    places = [F.get("x", F.lit(i)).alias(f"x{i}") for i in range(width)]
+    listed = cells.select(*places).approxQuantile([f"x{i}" for i in range(width)], [i / (bins - 1) for i in range(bins)], 0.001) if width else []
+    near = []
+    for i, values in enumerate(sorted(set(v)) for v in listed):
+        halves = F.array(*[F.lit(a + (b - a) / 2) for a, b in zip(values, values[1:])]).cast("array<double>")
+        below = F.size(F.filter(halves, lambda h: h < F.get("x", F.lit(i))))  # noqa: B023
+        near.append(F.get(F.array(*[F.lit(v) for v in values]), below))
+    moved = cells.select(*by, "label", F.array(*near).cast("array<double>").alias("x"))
+    counted = moved.groupBy(*by, "label", "x").agg(F.count(F.lit(1)).cast("double").alias("Weight"))
+    return counted.select(*by, array_to_vector("x").alias("features"), "label", "Weight")
+
+
+def _in_cells(algorithm: str, settings: Mapping) -> bool:
+    """Whether a fit on weighted cells is that on rows: boosting that draws no rows and does not count them."""
+    return algorithm == "gradient_boosting" and not {"subsamplingRate", "minInstancesPerNode", "weightCol", "validationIndicatorCol"} & set(settings)
+
+
+def _fit_rows(rows: DataFrame, algorithm: str, settings: Mapping, key: str | None = None, by: Sequence[str] = ()) -> tuple[DataFrame, dict]:
+    """What a fit passes over, written once, and the settings it needs for that."""
+    if _in_cells(algorithm, settings):
+        cells = weighted_cells(rows, settings.get("maxBins", 32), by)
+        return packed(materialize(cells, "cells")).persist(), {**settings, "weightCol": "Weight"}
+    return packed(rows, key).persist(), dict(settings)
+
+
 def classifier(algorithm: str, classes: int = 2, seed: int = 42, **settings) -> Estimator:
-    """An untrained classifier; boosting of more than two classes trains one model per class."""
+    """An untrained classifier; boosting of more than two classes trains one model per class, side by side."""
     if algorithm == "random_forest":
-        return RandomForestClassifier(**{"numTrees": 100, "maxDepth": 10, "seed": seed, **settings})
+        # rows keep their place in each tree, so they do not walk it again for every level; a fit is too short to be written in between
+        kept = {"cacheNodeIds": True, "checkpointInterval": -1}
+        return RandomForestClassifier(**{"numTrees": 100, "maxDepth": 10, "seed": seed, **kept, **settings})
     if algorithm == "gradient_boosting":
         boosting = GBTClassifier(**{"maxIter": 100, "maxDepth": 10, "seed": seed, **settings})
-        return boosting if classes <= 2 else OneVsRest(classifier=boosting)
+        weights = {"weightCol": settings["weightCol"]} if "weightCol" in settings else {}
+        return boosting if classes <= 2 else OneVsRest(classifier=boosting, parallelism=classes, **weights)
     if algorithm == "logistic":
         return LogisticRegression(**{"maxIter": 100, **settings})
     raise ValueError(f"Unknown algorithm: {algorithm}")
@@ -148,7 +199,11 @@ def train(
     prepared = _slim(prepare(df, features, label), key).persist()
     try:
         fitted, test = split(prepared, test_share, seed, key)
-        model = classifier(algorithm, class_count(prepared), seed, **settings).fit(fitted)
+        rows, settings = _fit_rows(fitted, algorithm, settings, key)
+        try:
+            model = classifier(algorithm, class_count(prepared), seed, **settings).fit(rows)
+        finally:
+            rows.unpersist()
         return model, evaluate(model.transform(test))
     finally:
         prepared.unpersist()
@@ -175,22 +230,39 @@ def search(
     folds: int = 5,
     metric: str = "accuracy",
     seed: int = 42,
-    parallelism: int = 4,
+    parallelism: int | None = None,
     key: str | None = None,
     **settings,
 ) -> Model:
-    """The best model of a cross-validated grid; with ``key`` the folds follow its hash."""
-    estimator, cells = _grid(algorithm, class_count(prepared), grid, seed, settings)
-    validator = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=cells,
-        evaluator=MulticlassClassificationEvaluator(metricName=metric),
-        numFolds=folds,
-        seed=seed,
-        parallelism=parallelism,
-        foldCol="Fold" if key else "",
-    )
-    return validator.fit(with_folds(prepared, key, folds, seed) if key else prepared).bestModel
+    """The best model of a cross-validated grid, the first of equals, fitted on all rows; with ``key`` the folds follow its hash.
+
+    The models of all cells and folds are fitted side by side, by default as many as keep the cluster busy.
+    """
+    classes = class_count(prepared)
+    folded = with_folds(prepared, key, folds, seed) if key else prepared.withColumn("Fold", F.floor(F.rand(seed) * folds).cast("int"))
+    held = folded.persist()
+    sizes = held.groupBy("Fold").agg(F.count(F.lit(1)).alias("n")).count()
+    if sizes < folds:
+        raise ValueError(f"rows in {sizes} of {folds} folds only")
+    rows, settings = _fit_rows(held, algorithm, settings, key, by=["Fold"])
+    try:
+        estimator, cells = _grid(algorithm, classes, grid, seed, settings)
+        evaluator = MulticlassClassificationEvaluator(metricName=metric)
+
+        def score(task: tuple[int, int]) -> float:
+            number, fold = task
+            model = estimator.fit(rows.filter(F.col("Fold") != fold), cells[number])
+            return evaluator.evaluate(model.transform(held.filter(F.col("Fold") == fold)))
+
+        tasks = [(c, f) for c in reversed(range(len(cells))) for f in range(folds)]  # grids rise: the longest fits first
+        with ThreadPoolExecutor(parallelism or _side_by_side(rows)) as pool:
+            scores = dict(zip(tasks, pool.map(score, tasks)))
+        means = [sum(scores[c, f] for f in range(folds)) / folds for c in range(len(cells))]
+        best = max(range(len(cells)), key=lambda c: (means[c], -c))
+        return estimator.fit(rows, cells[best])
+    finally:
+        rows.unpersist()
+        held.unpersist()
 
 
 def held_out_predictions(
@@ -200,14 +272,14 @@ def held_out_predictions(
     grid: Mapping[str, Sequence] | None = None,
     folds: int = 5,
     seed: int = 42,
-    parallelism: int = 4,
+    parallelism: int | None = None,
     **settings,
 ) -> DataFrame:
     """A-53: ``(Cell, Settings, Fold, key, label, prediction)``: every row predicted once per grid cell by a model that did not see its fold.
 
     Written cell by cell, so no table is held by the driver; models of different cells and folds are fitted side by side.
     """
-    rows = with_folds(_slim(prepared, key), key, folds, seed).persist()
+    rows = packed(with_folds(_slim(prepared, key), key, folds, seed), key).persist()
     path = scratch_path(prepared.sparkSession, "held-out")
     try:
         estimator, cells = _grid(algorithm, class_count(rows), grid, seed, settings)
@@ -220,7 +292,7 @@ def held_out_predictions(
                 F.lit(number).alias("Cell"), F.lit(described).alias("Settings"), "Fold", key, "label", "prediction"
             ).write.parquet(f"{path}/cell={number}/fold={fold}")
 
-        with ThreadPoolExecutor(parallelism) as pool:
+        with ThreadPoolExecutor(parallelism or _side_by_side(rows)) as pool:
             list(pool.map(run, [(c, f) for c in range(len(cells)) for f in range(folds)]))
     finally:
         rows.unpersist()
@@ -284,10 +356,13 @@ def compare_models(
     slim = _slim(prepared, key).persist()
     try:
         fitted, test = split(slim, test_share, seed, key)
-        rows = []
-        for algorithm, grid in grids.items():
-            model = search(fitted, algorithm, grid, folds, "f1", seed, key=key)
-            rows.append((algorithm, *evaluate(model.transform(test)).values()))
+
+        def compared(algorithm: str) -> tuple:
+            model = search(fitted, algorithm, grids[algorithm], folds, "f1", seed, key=key)
+            return (algorithm, *evaluate(model.transform(test)).values())
+
+        with ThreadPoolExecutor(max(1, len(grids))) as pool:
+            rows = list(pool.map(compared, grids))
     finally:
         slim.unpersist()
     best = max(rows, key=lambda r: r[2])[0]
