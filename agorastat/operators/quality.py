@@ -83,40 +83,6 @@ def _side_by_side(rows: DataFrame) -> int:
     return max(4, rows.sparkSession.sparkContext.defaultParallelism // rows.rdd.getNumPartitions())
 
 
-def weighted_cells(rows: DataFrame, bins: int = 32, by: Sequence[str] = ()) -> DataFrame:
-    """``(*by, features, label, Weight)``: equal rows once, with their number, each feature moved to the nearest of at most ``bins`` of its quantiles.
-
-    A tree over so many bins splits halfway between two neighbours of these values, and any value lies on the same side as
-    the nearest of them, so the model holds for features as they are.
-    """
-    cells = rows.select(*by, "label", vector_to_array("features").alias("x"))
-    first = cells.first()
-    width = len(first["x"]) if first else 0
-    places = [F.get("x", F.lit(i)).alias(f"x{i}") for i in range(width)]
-    listed = cells.select(*places).approxQuantile([f"x{i}" for i in range(width)], [i / (bins - 1) for i in range(bins)], 0.001) if width else []
-    near = []
-    for i, values in enumerate(sorted(set(v)) for v in listed):
-        halves = F.array(*[F.lit(a + (b - a) / 2) for a, b in zip(values, values[1:])]).cast("array<double>")
-        below = F.size(F.filter(halves, lambda h: h < F.get("x", F.lit(i))))  # noqa: B023
-        near.append(F.get(F.array(*[F.lit(v) for v in values]), below))
-    moved = cells.select(*by, "label", F.array(*near).cast("array<double>").alias("x"))
-    counted = moved.groupBy(*by, "label", "x").agg(F.count(F.lit(1)).cast("double").alias("Weight"))
-    return counted.select(*by, array_to_vector("x").alias("features"), "label", "Weight")
-
-
-def _in_cells(algorithm: str, settings: Mapping) -> bool:
-    """Whether a fit on weighted cells is that on rows: boosting that draws no rows and does not count them."""
-    return algorithm == "gradient_boosting" and not {"subsamplingRate", "minInstancesPerNode", "weightCol", "validationIndicatorCol"} & set(settings)
-
-
-def _fit_rows(rows: DataFrame, algorithm: str, settings: Mapping, key: str | None = None, by: Sequence[str] = ()) -> tuple[DataFrame, dict]:
-    """What a fit passes over, written once, and the settings it needs for that."""
-    if _in_cells(algorithm, settings):
-        cells = weighted_cells(rows, settings.get("maxBins", 32), by)
-        return packed(materialize(cells, "cells")).persist(), {**settings, "weightCol": "Weight"}
-    return packed(rows, key).persist(), dict(settings)
-
-
 def classifier(algorithm: str, classes: int = 2, seed: int = 42, **settings) -> Estimator:
     """An untrained classifier; boosting of more than two classes trains one model per class, side by side."""
     if algorithm == "random_forest":
@@ -125,8 +91,7 @@ def classifier(algorithm: str, classes: int = 2, seed: int = 42, **settings) ->
         return RandomForestClassifier(**{"numTrees": 100, "maxDepth": 10, "seed": seed, **kept, **settings})
     if algorithm == "gradient_boosting":
         boosting = GBTClassifier(**{"maxIter": 100, "maxDepth": 10, "seed": seed, **settings})
-        weights = {"weightCol": settings["weightCol"]} if "weightCol" in settings else {}
-        return boosting if classes <= 2 else OneVsRest(classifier=boosting, parallelism=classes, **weights)
+        return boosting if classes <= 2 else OneVsRest(classifier=boosting, parallelism=classes)
     if algorithm == "logistic":
         return LogisticRegression(**{"maxIter": 100, **settings})
     raise ValueError(f"Unknown algorithm: {algorithm}")
@@ -199,7 +164,7 @@ def train(
     prepared = _slim(prepare(df, features, label), key).persist()
     try:
         fitted, test = split(prepared, test_share, seed, key)
-        rows, settings = _fit_rows(fitted, algorithm, settings, key)
+        rows = packed(fitted, key).persist()
         try:
             model = classifier(algorithm, class_count(prepared), seed, **settings).fit(rows)
         finally:
@@ -244,7 +209,7 @@ def search(
     sizes = held.groupBy("Fold").agg(F.count(F.lit(1)).alias("n")).count()
     if sizes < folds:
         raise ValueError(f"rows in {sizes} of {folds} folds only")
-    rows, settings = _fit_rows(held, algorithm, settings, key, by=["Fold"])
+    rows = packed(held, key).persist()
     try:
         estimator, cells = _grid(algorithm, classes, grid, seed, settings)
         evaluator = MulticlassClassificationEvaluator(metricName=metric)
