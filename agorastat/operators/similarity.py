@@ -18,6 +18,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import HashingTF, MinHashLSH, SQLTransformer, Word2VecModel
 from pyspark.sql import Column, DataFrame
@@ -28,9 +29,10 @@ from agorastat.functions.text import char_ngrams
 from agorastat.functions.vectors import cosine
 from agorastat.operators.features import word_vectors
 from agorastat.operators.joins import lookup_join
+from agorastat.operators.order_stats import running_counts
 from agorastat.sources.storage import materialize
 
-FREQUENCY_CELLS = 1 << 16  # fixed size of the shared frequency table
+CHUNK_TOKENS = 500_000  # tokens with a dictionary of their own
 KEY_ROWS = 200_000  # sets of a block at most
 KEY_TOKENS = 3  # prefix tokens that similar sets share at least
 BLOCK_TOKENS, LEAST_TOKENS, BLOCKS = 12_000_000, 200_000, 8  # of a block at most, at least, and blocks to aim at
@@ -57,27 +59,73 @@ def _with_digest(sets: DataFrame) -> DataFrame:
     )
 
 
-def _frequencies(sets: DataFrame) -> DataFrame:
-    """One row with an array of ``FREQUENCY_CELLS`` token counts, by token number modulo."""
-    cells = sets.select(F.explode("Tokens").alias("t")).groupBy(
-        F.pmod("t", F.lit(FREQUENCY_CELLS)).alias("id")
-    ).agg(F.count(F.lit(1)).alias("n"))
-    every = sets.sparkSession.range(FREQUENCY_CELLS).join(cells, "id", "left")
-    filled = every.select(F.struct("id", F.coalesce("n", F.lit(0)).alias("n")).alias("c"))
-    listed = filled.agg(F.sort_array(F.collect_list("c")).alias("cells"))
-    return listed.select(F.transform("cells", lambda c: c["n"]))
-
-
-def _ordered(sets: DataFrame) -> DataFrame:
-    """Tokens from rare to frequent. Frequencies may be shared by tokens of one cell."""
-    ranked = sets.withColumn("_freq", _frequencies(sets).scalar())
-
-    def place(t: Column) -> Column:
-        cell = F.pmod(t, F.lit(FREQUENCY_CELLS)).cast("int")
-        return F.struct(F.get("_freq", cell).alias("f"), t.alias("t"))
-
-    order = F.transform(F.sort_array(F.transform("Tokens", place)), lambda p: p["t"])
-    return ranked.withColumns({"Tokens": order, "Size": F.size("Tokens")}).drop("_freq")
+def _coded(rows: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Some sets in one row: their distinct tokens with counts, and the place of each token among these."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column("Tokens")), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            start = 0
+            while start < len(ends):
+                before = ends[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, before + CHUNK_TOKENS, "right")))
+                some = batch.slice(start, stop - start)
+                coded = pc.dictionary_encode(some.column("Tokens").flatten())
+                codes = coded.indices.to_numpy(zero_copy_only=False)
+                held = pa.StructArray.from_arrays([some.column(c) for c in rows], fields=[some.schema.field(c) for c in rows])
+                counts = pa.array(np.bincount(codes, minlength=len(coded.dictionary)), pa.int64())
+                lengths = pa.array(np.diff(ends[start:stop], prepend=before).astype(np.int32))
+                columns = {"Words": coded.dictionary, "Counts": counts, "Codes": pa.array(codes, pa.int32()), "Lengths": lengths, "Rows": held}
+                lists = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns.values()]
+                yield pa.RecordBatch.from_arrays([pa.array([made]), *lists], names=["Chunk", *columns])
+                made, start = made + 1, stop
+
+    return run
+
+
+def _placed(rows: Sequence[str], kind: type) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The sets of each chunk with the numbers of their tokens, in order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                codes, lengths = (batch.column(c).slice(row, 1).flatten().to_numpy(zero_copy_only=False) for c in ("Codes", "Lengths"))
+                place, given = (c.to_numpy(zero_copy_only=False) for c in batch.column("Known").slice(row, 1).flatten().flatten())
+                number = np.zeros(len(place), kind)
+                number[place] = given
+                tokens = number[codes]
+                tokens = tokens[np.lexsort((tokens, np.repeat(np.arange(len(lengths)), lengths)))]
+                offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+                held = batch.column("Rows").slice(row, 1).flatten().flatten()
+                yield pa.RecordBatch.from_arrays([*held, pa.ListArray.from_arrays(offsets, pa.array(tokens))], names=[*rows, "Tokens"])
+
+    return run
+
+
+def _numbered(sets: DataFrame) -> DataFrame:
+    """The sets with each token as its place among all tokens from rare to frequent, in order; no tokens are an empty set.
+
+    Tokens are made once, and only the distinct ones of a chunk of sets are joined with their numbers, which take half
+    the room of hashes and name tokens as exactly.
+    """
+    rows = [c for c in sets.columns if c != "Tokens"]
+    kinds = dict(sets.dtypes)
+    held = ", ".join(f"{c}: {kinds[c]}" for c in rows)
+    lists = f"Words array<bigint>, Counts array<bigint>, Codes array<int>, Lengths array<int>, Rows array<struct<{held}>>"
+    chunks = materialize(sets.mapInArrow(_coded(rows), f"Chunk bigint, {lists}"), "token-chunks")
+    each = chunks.select(F.explode(F.arrays_zip("Words", "Counts")).alias("c"))
+    counts = each.groupBy(F.col("c.Words").alias("Word")).agg(F.sum("c.Counts").alias("n")).select(F.struct("n", "Word").alias("w"))
+    numbers = materialize(running_counts(counts, "w").select("w.Word", F.col("ValuesBefore").cast("bigint").alias("Number")), "token-numbers")
+    small = numbers.count() < 1 << 31
+    met = chunks.select("Chunk", F.posexplode("Words").alias("i", "Word")).join(numbers, "Word")
+    known = met.groupBy("Chunk").agg(F.collect_list(F.struct("i", "Number")).alias("Known"))
+    joined = chunks.select("Chunk", "Codes", "Lengths", "Rows").join(known, "Chunk", "left")
+    none = F.array().cast("array<struct<i: int, Number: bigint>>")
+    kept = "".join(f"{c} {kinds[c]}, " for c in rows)
+    return joined.select("Codes", "Lengths", "Rows", F.coalesce("Known", none).alias("Known")).mapInArrow(
+        _placed(rows, np.int32 if small else np.int64), f"{kept}Tokens array<{'int' if small else 'bigint'}>"
+    )
 
 
 @dataclass(frozen=True)
@@ -111,10 +159,16 @@ class _Chunk:
         return np.sort(pc.unique(pa.array(self.listed(np.arange(len(self.places)), self.sizes))).to_numpy())
 
 
-def _chunks(block: pa.Table) -> list[_Chunk]:
-    """The block by rising size, ``CHUNK_ROWS`` at a time."""
+def _tokens(block: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """All tokens, and where those of each set begin and the last ones end."""
     lists = block.column("Tokens").combine_chunks()
-    tokens, offsets = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    offsets = lists.offsets.to_numpy()
+    return lists.flatten().to_numpy(zero_copy_only=False), offsets - offsets[0]
+
+
+def _chunks(tokens: np.ndarray, offsets: np.ndarray) -> list[_Chunk]:
+    """The block by rising size, ``CHUNK_ROWS`` at a time."""
     sizes = np.diff(offsets).astype(np.int64)
     order = np.argsort(sizes, kind="stable")
     cut = (order[i : i + CHUNK_ROWS] for i in range(0, len(order), CHUNK_ROWS))
@@ -250,14 +304,27 @@ def _shared_bits(ours: np.ndarray, theirs: np.ndarray, x: np.ndarray, y: np.ndar
 
 
 def _near(threshold: float, extra: int, same_side: bool) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """For two blocks: pairs whose shortened tokens overlap enough. These never share less than whole tokens do."""
+    """For two blocks: the similar pairs, with their similarity."""
     share = threshold / (1 + threshold)
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: tuple[list, list] = ([], [])
-        ours = _chunks(left)
-        alone = same_side and not len(right)  # a block with itself
-        theirs = ours if alone else _chunks(right)
+        out: tuple[list, list, list] = ([], [], [])
+        alone = same_side and not len(right)  # a block with itself, or one whose partner is empty
+        if alone and len(left) and "Itself" in left.column_names:
+            alone = left.column("Itself")[0].as_py()
+        parts = [_tokens(block) for block in ((left,) if alone else (left, right))]
+        if parts[0][0].dtype.itemsize > 4:  # more tokens than 32 bits number: those of the blocks get numbers of their own
+            codes = np.unique(np.concatenate([t for t, _ in parts]), return_inverse=True)[1].astype(np.int32)
+            parts = [(c, o) for c, (_, o) in zip(np.split(codes, [len(parts[0][0])]), parts)]
+        ours = _chunks(*parts[0])
+        theirs = ours if alone else _chunks(*parts[1])
+
+        def found(a: _Chunk, b: _Chunk, x: np.ndarray, y: np.ndarray, shared: np.ndarray) -> None:
+            similarity = shared / (a.sizes[x] + b.sizes[y] - shared)
+            enough = similarity >= threshold - ROUNDING
+            for column, values in zip(out, (a.places[x], b.places[y], similarity)):
+                column.append(values[enough])
+
         for i, a in enumerate(ours):
             for b in theirs[i:] if alone else theirs:
                 if a.sizes[-1] < b.sizes[0] * threshold - ROUNDING or b.sizes[-1] < a.sizes[0] * threshold - ROUNDING:
@@ -270,20 +337,17 @@ def _near(threshold: float, extra: int, same_side: bool) -> Callable[[pa.Table,
                     if dense is None and tried > len(a.places) + len(b.places):  # so many pairs are worth exact bit maps
                         dense = _dense(a, b) or ()
                     if dense:
-                        enough = _shared_bits(*dense, x, y) >= (a.sizes[x] + b.sizes[y]) * share - ROUNDING
-                        out[0].append(a.places[x[enough]])
-                        out[1].append(b.places[y[enough]])
+                        found(a, b, x, y, _shared_bits(*dense, x, y))
                         continue
                     maps = maps or (a.bits(width), b.bits(width))
                     x, y = _alike(a, b, *maps, x, y, share)
                     steps = np.searchsorted(np.cumsum(a.sizes[x] + b.sizes[y]), np.arange(PAIR_TOKENS, (a.sizes[x] + b.sizes[y]).sum(), PAIR_TOKENS))
                     for xs, ys in zip(np.split(x, steps), np.split(y, steps)):
                         if len(xs):
-                            enough = _shared(a, b, xs, ys) >= (a.sizes[xs] + b.sizes[ys]) * share - ROUNDING
-                            out[0].append(a.places[xs[enough]])
-                            out[1].append(b.places[ys[enough]])
-        one, two = (np.concatenate(o) if o else np.zeros(0, np.int64) for o in out)
-        return pa.table({"IdA": left.column("Id").take(pa.array(one)), "IdB": (left if alone else right).column("Id").take(pa.array(two))})
+                            found(a, b, xs, ys, _shared(a, b, xs, ys))
+        one, two = (np.concatenate(o) if o else np.zeros(0, np.int64) for o in out[:2])
+        ids = left.column("Id").take(pa.array(one)), (left if alone else right).column("Id").take(pa.array(two))
+        return pa.table([*ids, pa.array(np.concatenate([np.zeros(0), *out[2]]))], names=["IdA", "IdB", "Similarity"])
 
     return compare
 
@@ -299,10 +363,10 @@ def _blocks(sets: DataFrame, threshold: float, key_rows: int) -> DataFrame:
 
 
 def _candidates(ordered: DataFrame, threshold: float, two_sided: bool, key_rows: int, key_tokens: int) -> DataFrame:
-    """``(IdA, IdB)`` of all pairs that can be similar: blocks of neighbouring sizes meet pair by pair, each in one task.
+    """``(IdA, IdB, Similarity)`` of all similar pairs: blocks of neighbouring sizes meet pair by pair, each in one task.
 
-    A set is sent once to each block it meets, with 32 bits of each token; pairs are found and tried there, so
-    what is written grows with the sets and the pairs found and not with the pairs tried.
+    A set is sent once to each block it meets; pairs are found, tried and scored there, so what is written grows with
+    the sets and the pairs found and not with the pairs tried, and no token is joined to a pair. Ids can repeat.
     """
     base = max(1 / threshold, 1.05)
     # the rounding keeps sizes that are exactly a factor apart in neighbouring classes
@@ -319,22 +383,22 @@ def _candidates(ordered: DataFrame, threshold: float, two_sided: bool, key_rows:
     cells = a.join(b, meet)
     cells = materialize(cells.withColumn("Cell", F.xxhash64(*cells.columns)), "cells")
     placed = ranked.join(F.broadcast(blocks), ["Side", "Class"]).select(
-        "Side", "Class", F.pmod(F.xxhash64("Id"), "Blocks").cast("int").alias("Block"), "Id",
-        F.transform("Tokens", lambda t: F.shiftright(t, 32).cast("int")).alias("Tokens"),
+        "Side", "Class", F.pmod(F.xxhash64("Id"), "Blocks").cast("int").alias("Block"), "Id", "Tokens"
     )
 
+    itself = F.lit(False) if two_sided else (F.col("ClassA") == F.col("ClassB")) & (F.col("BlockA") == F.col("BlockB"))
+
     def side(suffix: str, where: Column) -> DataFrame:
-        own = cells.filter(where).select("Cell", *[F.col(f"{c}{suffix}").alias(c) for c in numbered.columns])
-        return placed.join(F.broadcast(own), numbered.columns).select("Cell", "Id", "Tokens").toDF("Cell", "Id", "Tokens")
+        own = cells.filter(where).select("Cell", *[F.col(f"{c}{suffix}").alias(c) for c in numbered.columns], itself.alias("Itself"))
+        return placed.join(F.broadcast(own), numbered.columns).select("Cell", "Itself", "Id", "Tokens").toDF("Cell", "Itself", "Id", "Tokens")
 
-    itself = F.lit(False) if two_sided else (F.col("ClassA") == F.col("ClassB")) & (F.col("BlockA") == F.col("BlockB"))
     left, right = side("A", F.lit(True)).groupBy("Cell"), side("B", ~itself).groupBy("Cell")
     near = _near(threshold, key_tokens, not two_sided)
     kind = dict(ordered.dtypes)["Id"]
-    found = left.cogroup(right).applyInArrow(near, f"IdA {kind}, IdB {kind}")
+    found = left.cogroup(right).applyInArrow(near, f"IdA {kind}, IdB {kind}, Similarity double")
     if not two_sided:
-        found = found.filter("IdA <> IdB").select(F.least("IdA", "IdB").alias("IdA"), F.greatest("IdA", "IdB").alias("IdB"))
-    return found.distinct()  # ids can repeat
+        found = found.filter("IdA <> IdB").select(F.least("IdA", "IdB").alias("IdA"), F.greatest("IdA", "IdB").alias("IdB"), "Similarity")
+    return found
 
 
 def _similar(
@@ -342,23 +406,12 @@ def _similar(
 ) -> DataFrame:
     """``(IdA, IdB, Similarity)`` of all sets with at least the threshold.
 
-    ``sets`` has ``(Side, Id, Tokens)``. Two-sided: side 0 with side 1; else each pair once, IdA < IdB.
+    ``sets`` has ``(Side, Id, Tokens)``, with tokens as ``_numbered`` gives them. Two-sided: side 0 with side 1; else each pair once, IdA < IdB.
     """
     if not 0 < threshold <= 1:
         raise ValueError("the threshold must be above 0 and at most 1")
-    ordered = materialize(_ordered(sets), "sets")
-    candidates = materialize(_candidates(ordered, threshold, two_sided, key_rows, key_tokens), "candidates")
-
-    def tokens(side: int, suffix: str) -> DataFrame:
-        chosen = ordered.filter(F.col("Side") == side) if two_sided else ordered
-        return chosen.select(F.col("Id").alias(f"Id{suffix}"), F.col("Tokens").alias(f"Tokens{suffix}"))
-
-    compared = lookup_join(candidates, tokens(0, "A"), ["IdA"])
-    compared = lookup_join(compared, tokens(1, "B"), ["IdB"], salt_by=["IdA"], count_in=candidates)
-    shared = F.size(F.array_intersect("TokensA", "TokensB"))
-    union = F.size("TokensA") + F.size("TokensB") - shared
-    scored = compared.select("IdA", "IdB", (shared / union).alias("Similarity"))
-    return scored.filter(F.col("Similarity") >= threshold - ROUNDING)
+    ordered = materialize(sets.withColumn("Size", F.size("Tokens")), "sets")
+    return materialize(_candidates(ordered, threshold, two_sided, key_rows, key_tokens), "candidates")
 
 
 def similar_pairs(
@@ -375,7 +428,7 @@ def similar_pairs(
     least id of its group (similarity 1), and only that row is compared to others. All
     pairs follow from these rows, while a group of ``n`` copies costs ``n - 1`` rows.
     """
-    sets = _with_digest(token_sets(df, tokens, key))
+    sets = _with_digest(_numbered(token_sets(df, tokens, key)))
     digest = ["_h1", "_h2"]
     # One reader for the groups and one for the members.
     sets = materialize(sets, "token-sets").filter(F.size("Tokens") > 0)
@@ -429,7 +482,7 @@ def similar_questions(
     sides = token_sets(queries, tokens, key).withColumn("Side", F.lit(0)).unionByName(
         token_sets(corpus, tokens, key).withColumn("Side", F.lit(1))
     )
-    sides = materialize(_with_digest(sides), "token-sets")
+    sides = materialize(_with_digest(_numbered(sides)), "token-sets")
     same = W.partitionBy("_h1", "_h2").orderBy("Id")
     answers, digest = sides.filter(F.col("Side") == 1), ["_h1", "_h2"]
     crowded = materialize(answers.groupBy(*digest).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > k).select(*digest), "crowded")
@@ -467,9 +520,10 @@ def duplicate_groups(df: DataFrame, tokens: str = "ProcessedText", key: str = "I
 
     A row without tokens is a group of its own.
     """
-    sets = materialize(_with_digest(token_sets(df, tokens, key)), "token-sets")
+    sets = _with_digest(token_sets(df, tokens, key)).select("Id", "_h1", "_h2", F.size("Tokens").alias("Size"))
+    sets = materialize(sets, "token-sets")
     digest = ["_h1", "_h2"]
-    least = sets.filter(F.size("Tokens") > 0).groupBy(*digest).agg(F.min("Id").alias("GroupId"))
+    least = sets.filter(F.col("Size") > 0).groupBy(*digest).agg(F.min("Id").alias("GroupId"))
     named = lookup_join(sets.select("Id", *digest), least, digest, "left", salt_by=["Id"])
     return named.select("Id", F.coalesce("GroupId", "Id").alias("GroupId"))
 

@@ -181,3 +181,26 @@ def test_blocks_compared_by_counts_or_by_bit_maps(monkeypatch, scan_pairs):
         assert sorted(map(tuple, map(sorted, zip(found["IdA"], found["IdB"])))) == sorted(expected)
         across = sim._near(threshold, 2, False)(block.slice(0, 100), block.slice(100)).to_pydict()
         assert sorted(zip(across["IdA"], across["IdB"])) == sorted((i, j) for i, j in expected if i < 100 <= j)
+
+
+def test_tokens_are_numbered_from_rare_to_frequent(spark, monkeypatch):
+    monkeypatch.setattr(sim, "CHUNK_TOKENS", 3)
+    rows = [(1, [5, 7]), (None, [5]), (3, []), (4, None), (5, [5, 7, 2**62])]
+    df = spark.createDataFrame(rows, "Id int, Tokens array<bigint>").coalesce(1)
+    numbered = sim._numbered(df)
+    assert dict(numbered.dtypes)["Tokens"] == "array<int>"
+    assert {r["Id"]: r["Tokens"] for r in numbered.collect()} == {1: [1, 2], None: [2], 3: [], 4: [], 5: [0, 1, 2]}
+    assert sim._numbered(df.limit(0)).count() == 0
+
+
+def test_pairs_are_scored_in_their_blocks(spark, monkeypatch):
+    monkeypatch.setattr(sim, "DENSE_TOKENS", 0)
+    wide = 1 << 33  # more than 32 bits number
+    block = pa.table({"Id": pa.array([1, 2, 3]), "Tokens": pa.array([[wide, 2 * wide], [wide, 2 * wide, 3 * wide], [7 * wide]])})
+    found = sim._near(0.5, 3, True)(block, block.slice(0, 0)).to_pydict()
+    assert [*zip(*found.values())] == [(1, 2, 2 / 3)]
+    assert sim._near(0.5, 3, False)(block, block.slice(0, 0)).num_rows == 0
+    joined = []
+    monkeypatch.setattr(sim, "lookup_join", lambda *a, **b: joined.append(a[0].columns) or a[0].limit(0))
+    sets = sim._numbered(spark.createDataFrame([(1, [1, 2]), (2, [1, 2, 3])], "Id int, Tokens array<bigint>")).withColumn("Side", F.lit(0))
+    assert [tuple(r) for r in sim._similar(sets, 0.5, False, 10, 3).collect()] == [(1, 2, 2 / 3)] and not joined
