@@ -32,7 +32,8 @@ from agorastat.operators.joins import lookup_join
 from agorastat.operators.order_stats import running_counts
 from agorastat.sources.storage import materialize
 
-CHUNK_TOKENS = 500_000  # tokens with a dictionary of their own
+CHUNK_TOKENS = 2_000_000  # tokens with a dictionary of their own
+UNPACKED = 1_000_000  # bytes of tokens that are unpacked at a time
 KEY_ROWS = 200_000  # sets of a block at most
 KEY_TOKENS = 3  # prefix tokens that similar sets share at least
 BLOCK_TOKENS, LEAST_TOKENS, BLOCKS = 12_000_000, 200_000, 8  # of a block at most, at least, and blocks to aim at
@@ -75,8 +76,7 @@ def _coded(rows: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator
                 codes = coded.indices.to_numpy(zero_copy_only=False)
                 held = pa.StructArray.from_arrays([some.column(c) for c in rows], fields=[some.schema.field(c) for c in rows])
                 counts = pa.array(np.bincount(codes, minlength=len(coded.dictionary)), pa.int64())
-                lengths = pa.array(np.diff(ends[start:stop], prepend=before).astype(np.int32))
-                columns = {"Words": coded.dictionary, "Counts": counts, "Codes": pa.array(codes, pa.int32()), "Lengths": lengths, "Rows": held}
+                columns = {"Words": coded.dictionary, "Counts": counts, "Codes": _packed(codes.astype(np.int64), np.diff(ends[start:stop], prepend=before)), "Rows": held}
                 lists = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns.values()]
                 yield pa.RecordBatch.from_arrays([pa.array([made]), *lists], names=["Chunk", *columns])
                 made, start = made + 1, stop
@@ -84,48 +84,84 @@ def _coded(rows: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator
     return run
 
 
-def _placed(rows: Sequence[str], kind: type) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The sets of each chunk with the numbers of their tokens, in order."""
+def _packed(tokens: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Sets of numbers as bytes, in order: each number less the one before it, seven bits a byte, the last byte below 128."""
+    tokens = tokens[np.lexsort((tokens, np.repeat(np.arange(len(lengths)), lengths)))]
+    starts = np.concatenate([[0], np.cumsum(lengths)])
+    steps = np.diff(tokens, prepend=0)
+    first = starts[:-1][lengths > 0]
+    steps[first] = tokens[first]
+    sizes = np.ones(len(steps), np.int64)
+    for bits in range(7, 63, 7):
+        sizes += steps >= 1 << bits
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    out = np.empty(ends[-1], np.uint8)
+    for k in range(int(sizes.max(initial=0))):
+        longer = np.flatnonzero(sizes > k)
+        out[ends[longer] + k] = (steps[longer] >> 7 * k) & 127 | np.where(sizes[longer] > k + 1, 128, 0)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(ends[starts].astype(np.int32)), pa.py_buffer(out)])
+
+
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all sets, in 32 bits where they fit, and where those of each set begin and the last ones end."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64) if len(column) else np.zeros(1, np.int64)
+    data = np.frombuffer(column.buffers()[2], np.uint8) if ends[-1] else np.zeros(0, np.uint8)
+    parts, places, row, done = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], 0, 0
+    while row < len(column):
+        stop = max(row + 1, int(np.searchsorted(ends, ends[row] + UNPACKED, "right")) - 1)
+        some = data[ends[row] : ends[stop]]
+        last = np.flatnonzero(some < 128)
+        first = np.concatenate([[0], last[:-1] + 1])[: len(last)]
+        steps = (some[first] & 127).astype(np.int64)
+        for k in range(1, int((last - first).max(initial=0)) + 1):
+            longer = np.flatnonzero(last - first >= k)
+            steps[longer] |= (some[first[longer] + k] & 127).astype(np.int64) << 7 * k
+        at = np.searchsorted(last, ends[row : stop + 1] - ends[row])
+        total = np.concatenate([[0], np.cumsum(steps)])
+        tokens = total[1:] - np.repeat(total[at[:-1]], np.diff(at))
+        parts.append(tokens.astype(np.int32) if tokens.max(initial=0) < 1 << 31 else tokens)
+        places.append(done + at[1:])
+        done, row = done + len(tokens), stop
+    return np.concatenate(parts), np.concatenate(places)
+
+
+def _placed(rows: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The sets of each chunk with the numbers of their tokens, in order and packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                codes, lengths = (batch.column(c).slice(row, 1).flatten().to_numpy(zero_copy_only=False) for c in ("Codes", "Lengths"))
+                codes, ends = _unpacked(batch.column("Codes").slice(row, 1).flatten())
+                lengths = np.diff(ends)
                 place, given = (c.to_numpy(zero_copy_only=False) for c in batch.column("Known").slice(row, 1).flatten().flatten())
-                number = np.zeros(len(place), kind)
+                number = np.zeros(len(place), np.int64)
                 number[place] = given
-                tokens = number[codes]
-                tokens = tokens[np.lexsort((tokens, np.repeat(np.arange(len(lengths)), lengths)))]
-                offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
                 held = batch.column("Rows").slice(row, 1).flatten().flatten()
-                yield pa.RecordBatch.from_arrays([*held, pa.ListArray.from_arrays(offsets, pa.array(tokens))], names=[*rows, "Tokens"])
+                yield pa.RecordBatch.from_arrays([*held, pa.array(lengths, pa.int32()), _packed(number[codes], lengths)], names=[*rows, "Size", "Tokens"])
 
     return run
 
 
 def _numbered(sets: DataFrame) -> DataFrame:
-    """The sets with each token as its place among all tokens from rare to frequent, in order; no tokens are an empty set.
+    """The sets with ``Size``, and with each token as its place among all tokens from rare to frequent, in order and packed.
 
-    Tokens are made once, and only the distinct ones of a chunk of sets are joined with their numbers, which take half
-    the room of hashes and name tokens as exactly.
+    Tokens are made once, and only the distinct ones of a chunk of sets are joined with their numbers, which take a
+    fraction of the room of hashes and name tokens as exactly. No tokens are an empty set.
     """
     rows = [c for c in sets.columns if c != "Tokens"]
     kinds = dict(sets.dtypes)
     held = ", ".join(f"{c}: {kinds[c]}" for c in rows)
-    lists = f"Words array<bigint>, Counts array<bigint>, Codes array<int>, Lengths array<int>, Rows array<struct<{held}>>"
+    lists = f"Words array<bigint>, Counts array<bigint>, Codes array<binary>, Rows array<struct<{held}>>"
     chunks = materialize(sets.mapInArrow(_coded(rows), f"Chunk bigint, {lists}"), "token-chunks")
     each = chunks.select(F.explode(F.arrays_zip("Words", "Counts")).alias("c"))
     counts = each.groupBy(F.col("c.Words").alias("Word")).agg(F.sum("c.Counts").alias("n")).select(F.struct("n", "Word").alias("w"))
     numbers = materialize(running_counts(counts, "w").select("w.Word", F.col("ValuesBefore").cast("bigint").alias("Number")), "token-numbers")
-    small = numbers.count() < 1 << 31
     met = chunks.select("Chunk", F.posexplode("Words").alias("i", "Word")).join(numbers, "Word")
     known = met.groupBy("Chunk").agg(F.collect_list(F.struct("i", "Number")).alias("Known"))
-    joined = chunks.select("Chunk", "Codes", "Lengths", "Rows").join(known, "Chunk", "left")
+    joined = chunks.select("Chunk", "Codes", "Rows").join(known, "Chunk", "left")
     none = F.array().cast("array<struct<i: int, Number: bigint>>")
     kept = "".join(f"{c} {kinds[c]}, " for c in rows)
-    return joined.select("Codes", "Lengths", "Rows", F.coalesce("Known", none).alias("Known")).mapInArrow(
-        _placed(rows, np.int32 if small else np.int64), f"{kept}Tokens array<{'int' if small else 'bigint'}>"
-    )
+    return joined.select("Codes", "Rows", F.coalesce("Known", none).alias("Known")).mapInArrow(_placed(rows), f"{kept}Size int, Tokens binary")
 
 
 @dataclass(frozen=True)
@@ -163,6 +199,8 @@ def _tokens(block: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """All tokens, and where those of each set begin and the last ones end."""
     lists = block.column("Tokens").combine_chunks()
     lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    if pa.types.is_binary(lists.type):
+        return _unpacked(lists)
     offsets = lists.offsets.to_numpy()
     return lists.flatten().to_numpy(zero_copy_only=False), offsets - offsets[0]
 
@@ -313,7 +351,7 @@ def _near(threshold: float, extra: int, same_side: bool) -> Callable[[pa.Table,
         if alone and len(left) and "Itself" in left.column_names:
             alone = left.column("Itself")[0].as_py()
         parts = [_tokens(block) for block in ((left,) if alone else (left, right))]
-        if parts[0][0].dtype.itemsize > 4:  # more tokens than 32 bits number: those of the blocks get numbers of their own
+        if any(t.dtype.itemsize > 4 for t, _ in parts):  # more tokens than 32 bits number: those of the blocks get numbers of their own
             codes = np.unique(np.concatenate([t for t, _ in parts]), return_inverse=True)[1].astype(np.int32)
             parts = [(c, o) for c, (_, o) in zip(np.split(codes, [len(parts[0][0])]), parts)]
         ours = _chunks(*parts[0])
@@ -406,11 +444,11 @@ def _similar(
 ) -> DataFrame:
     """``(IdA, IdB, Similarity)`` of all sets with at least the threshold.
 
-    ``sets`` has ``(Side, Id, Tokens)``, with tokens as ``_numbered`` gives them. Two-sided: side 0 with side 1; else each pair once, IdA < IdB.
+    ``sets`` has ``(Side, Id, Size, Tokens)``, with tokens as ``_numbered`` gives them. Two-sided: side 0 with side 1; else each pair once, IdA < IdB.
     """
     if not 0 < threshold <= 1:
         raise ValueError("the threshold must be above 0 and at most 1")
-    ordered = materialize(sets.withColumn("Size", F.size("Tokens")), "sets")
+    ordered = materialize(sets, "sets")
     return materialize(_candidates(ordered, threshold, two_sided, key_rows, key_tokens), "candidates")
 
 
@@ -431,9 +469,9 @@ def similar_pairs(
     sets = _with_digest(_numbered(token_sets(df, tokens, key)))
     digest = ["_h1", "_h2"]
     # One reader for the groups and one for the members.
-    sets = materialize(sets, "token-sets").filter(F.size("Tokens") > 0)
-    groups = sets.groupBy("Tokens", *digest).agg(F.min("Id").alias("Id"))
-    distinct_sets = groups.select(F.lit(0).alias("Side"), "Id", "Tokens")
+    sets = materialize(sets, "token-sets").filter(F.col("Size") > 0)
+    groups = sets.groupBy("Tokens", "Size", *digest).agg(F.min("Id").alias("Id"))
+    distinct_sets = groups.select(F.lit(0).alias("Side"), "Id", "Size", "Tokens")
     members = lookup_join(
         sets.select("Id", *digest), groups.select(*digest, F.col("Id").alias("_least")), digest, salt_by=["Id"]
     )
@@ -487,7 +525,7 @@ def similar_questions(
     answers, digest = sides.filter(F.col("Side") == 1), ["_h1", "_h2"]
     crowded = materialize(answers.groupBy(*digest).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > k).select(*digest), "crowded")
     copies = answers.join(crowded, digest, "left_semi").withColumn("_copy", F.row_number().over(same))
-    columns = ["Side", "Id", "Tokens"]
+    columns = ["Side", "Id", "Size", "Tokens"]
     parts = [sides.filter(F.col("Side") == 0), answers.join(crowded, digest, "left_anti"), copies.filter(F.col("_copy") <= k)]
     sides = reduce(DataFrame.unionByName, [part.select(*columns) for part in parts])
     scored = _similar(sides, threshold, True, key_rows, key_tokens)

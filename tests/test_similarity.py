@@ -188,8 +188,11 @@ def test_tokens_are_numbered_from_rare_to_frequent(spark, monkeypatch):
     rows = [(1, [5, 7]), (None, [5]), (3, []), (4, None), (5, [5, 7, 2**62])]
     df = spark.createDataFrame(rows, "Id int, Tokens array<bigint>").coalesce(1)
     numbered = sim._numbered(df)
-    assert dict(numbered.dtypes)["Tokens"] == "array<int>"
-    assert {r["Id"]: r["Tokens"] for r in numbered.collect()} == {1: [1, 2], None: [2], 3: [], 4: [], 5: [0, 1, 2]}
+    rows = numbered.toArrow()
+    tokens, at = sim._tokens(rows)
+    sets = {i: tokens[a:b].tolist() for i, a, b in zip(rows.column("Id").to_pylist(), at, at[1:])}
+    assert sets == {1: [1, 2], None: [2], 3: [], 4: [], 5: [0, 1, 2]}
+    assert rows.column("Size").to_pylist() == [len(s) for s in sets.values()]
     assert sim._numbered(df.limit(0)).count() == 0
 
 
@@ -204,3 +207,16 @@ def test_pairs_are_scored_in_their_blocks(spark, monkeypatch):
     monkeypatch.setattr(sim, "lookup_join", lambda *a, **b: joined.append(a[0].columns) or a[0].limit(0))
     sets = sim._numbered(spark.createDataFrame([(1, [1, 2]), (2, [1, 2, 3])], "Id int, Tokens array<bigint>")).withColumn("Side", F.lit(0))
     assert [tuple(r) for r in sim._similar(sets, 0.5, False, 10, 3).collect()] == [(1, 2, 2 / 3)] and not joined
+
+
+@pytest.mark.parametrize("bits", [6, 20, 33])
+def test_packed_sets_come_back(monkeypatch, bits):
+    rng = random.Random(bits)
+    sets = [[], *(sorted({rng.randrange(1 << bits) for _ in range(rng.randint(0, 40))}) for _ in range(60)), [], [0], [(1 << bits) - 1]]
+    packed = sim._packed(sim.np.array(sum(sets, []), sim.np.int64), sim.np.array([len(s) for s in sets]))
+    for size in (1, 50, 10**6):
+        monkeypatch.setattr(sim, "UNPACKED", size)
+        tokens, at = sim._unpacked(packed.slice(3))
+        assert [tokens[a:b].tolist() for a, b in zip(at, at[1:])] == sets[3:]
+    assert tokens.dtype.itemsize == (8 if bits > 31 else 4)
+    assert len(sim._unpacked(packed.slice(0, 0))[0]) == 0
