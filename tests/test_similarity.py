@@ -189,7 +189,7 @@ def test_tokens_are_numbered_from_rare_to_frequent(spark, monkeypatch):
     df = spark.createDataFrame(rows, "Id int, Tokens array<bigint>").coalesce(1)
     numbered = sim._numbered(df)
     rows = numbered.toArrow()
-    tokens, at = sim._tokens(rows)
+    tokens, at = sim._unpacked(pa.concat_arrays(rows.column("Tokens").chunks))
     sets = {i: tokens[a:b].tolist() for i, a, b in zip(rows.column("Id").to_pylist(), at, at[1:])}
     assert sets == {1: [1, 2], None: [2], 3: [], 4: [], 5: [0, 1, 2]}
     assert rows.column("Size").to_pylist() == [len(s) for s in sets.values()]
@@ -203,6 +203,12 @@ def test_pairs_are_scored_in_their_blocks(spark, monkeypatch):
     found = sim._near(0.5, 3, True)(block, block.slice(0, 0)).to_pydict()
     assert [*zip(*found.values())] == [(1, 2, 2 / 3)]
     assert sim._near(0.5, 3, False)(block, block.slice(0, 0)).num_rows == 0
+    lists = block.column("Tokens").to_pylist()
+    sent = pa.table({"Id": block.column("Id"), "Size": pa.array([2, 3, 1], pa.int32()), "Tokens": sim._packed(sim.np.array(sum(lists, [])), sim.np.array([2, 3, 1]))})
+    for rows in (1, 8192):
+        monkeypatch.setattr(sim, "CHUNK_ROWS", rows)
+        assert [*zip(*sim._near(0.5, 3, True)(sent, sent.slice(0, 0)).to_pydict().values())] == [(1, 2, 2 / 3)]
+        assert [*zip(*sim._near(0.5, 3, False)(sent.slice(0, 1), sent.slice(1)).to_pydict().values())] == [(1, 2, 2 / 3)]
     joined = []
     monkeypatch.setattr(sim, "lookup_join", lambda *a, **b: joined.append(a[0].columns) or a[0].limit(0))
     sets = sim._numbered(spark.createDataFrame([(1, [1, 2]), (2, [1, 2, 3])], "Id int, Tokens array<bigint>")).withColumn("Side", F.lit(0))
